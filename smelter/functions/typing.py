@@ -24,8 +24,9 @@ def to_date(c: Column | str, fmt: str = "yyyy-MM-dd") -> Column:
     return F.try_to_date(as_column(c), fmt)
 
 
-def to_timestamp(c: Column | str, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
-    return F.try_to_timestamp(as_column(c), F.lit(fmt))
+def to_timestamp(c: Column | str) -> Column:
+    """A wall-clock time (no time zone), so its hour does not depend on the session's zone."""
+    return as_column(c).try_cast("timestamp_ntz")
 
 
 def epoch_micros(c: Column | str) -> Column:

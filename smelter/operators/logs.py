@@ -82,19 +82,16 @@ def classify(df: DataFrame, text: str, rules: tuple[Rule, ...] = RULES) -> DataF
     no shuffle.
     """
     log = F.col(text)
-    hits = F.array_compact(F.array(*[_hit(log, i, r) for i, r in enumerate(rules)]))
-    unique = F.filter(
-        hits, lambda hit, i: ~F.exists(F.slice(hits, F.lit(1), i), lambda h: h["message"] == hit["message"])
-    )
-    last = _last_error(log)
-    fallback = F.when(
-        log.contains("Error") & last.isNotNull(),
-        F.array(F.struct(F.lit(-1).alias("rule"), F.lit("error").alias("severity"),
-                         last.alias("message"), F.lit(None).cast("int").alias("line"))),
-    )
     kept = [c for c in df.columns if c != text]
-    return (
-        df.withColumn("_hits", unique)
-        .withColumn("_hits", F.when(F.size("_hits") > 0, F.col("_hits")).otherwise(fallback))
-        .select(*kept, F.inline("_hits"))
-    )
+    # Each step is a column of its own, so that the next one reads it instead of
+    # working it out again for every element.
+    hits = df.select(
+        *kept, text, F.array_compact(F.array(*[_hit(log, i, r) for i, r in enumerate(rules)])).alias("_all"))
+    unique = F.filter(
+        "_all", lambda hit, i: ~F.exists(F.slice("_all", F.lit(1), i), lambda h: h["message"] == hit["message"]))
+    last = F.when((F.size("_all") == 0) & log.contains("Error"), _last_error(log))
+    listed = hits.select(*kept, unique.alias("_unique"), last.alias("_last"))
+    fallback = F.array(F.struct(F.lit(-1).alias("rule"), F.lit("error").alias("severity"),
+                                F.col("_last").alias("message"), F.lit(None).cast("int").alias("line")))
+    findings = F.when(F.col("_last").isNotNull(), fallback).otherwise(F.col("_unique"))
+    return listed.select(*kept, F.inline(findings))

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from smelter.operators.blocks import HOT_ROWS, Cuts, find_cuts
+from smelter.operators.blocks import HOT_ROWS, Cuts, find_cuts, hot_groups
 from smelter.operators.joins import broadcast_checked, join_null_safe
 from smelter.operators.lineage import cut_lineage
 

@@ -22,11 +22,6 @@ def time_windows(events: DataFrame, key: str, value: str, length: str, slide: st
     return _bounds(_summary(events.groupBy(window.alias("window"), key), value))
 
 
-def sessions(events: DataFrame, key: str, value: str, gap: str, time: str = "ts") -> DataFrame:
-    """Windows that close after ``gap`` without events, per key."""
-    return _bounds(_summary(events.groupBy(F.session_window(time, gap).alias("window"), key), value))
-
-
 def drop_replays(events: DataFrame, keys: list[str], delay: str, time: str = "ts") -> DataFrame:
     """Stream events once each, though they may be delivered again within ``delay``."""
     return events.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
