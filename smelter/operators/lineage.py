@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,3 +31,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """``df`` computed once and stored where a lost executor cannot take it along."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder for intermediate tables, next to the checkpoints."""
+    return f"{ensure_checkpoint_dir(spark)}/smelter-{uuid.uuid4().hex}"

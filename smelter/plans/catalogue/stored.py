@@ -1 +1,113 @@
-"""placeholder"""
+"""Flows, snapshots and incremental files: queries that write tables and read them back."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from smelter.operators.lineage import scratch_folder
+from smelter.plans.catalogue.layers import RAW_SQL, raw_lines
+from smelter.plans.medallion import ORDER_COLUMNS, order_flows
+from smelter.plans.registry import query
+from smelter.sources.incremental import read_new_files, rows_since_with_overlap
+from smelter.sources.readers import read_any, table, with_lineage
+from smelter.sources.snapshots import SnapshotTable
+from smelter.sources.writers import write_by_partition
+
+CUT = "2024-01-20 00:00:00"
+YEARS = (1998, 2000)
+COMMITTED = tuple(dt.datetime(2024, month, 1) for month in (1, 2, 3))
+
+
+@query(f"""
+WITH {RAW_SQL},
+bronze AS (
+    SELECT order_id, product, price, quantity FROM raw
+    QUALIFY row_number() OVER (PARTITION BY order_id
+                               ORDER BY product DESC, price DESC, quantity DESC, order_ts DESC) = 1
+),
+silver AS (
+    SELECT product, try_cast(price AS DOUBLE) * try_cast(quantity AS INTEGER) AS total
+    FROM bronze WHERE try_cast(price AS DOUBLE) IS NOT NULL
+),
+summary AS (
+    SELECT product, count(*) AS order_count, round(sum(total), 2) AS total_revenue FROM silver GROUP BY product
+)
+SELECT product, order_count, total_revenue,
+       CAST(rank() OVER (ORDER BY total_revenue DESC NULLS LAST) AS INTEGER) AS revenue_rank
+FROM summary
+""")
+def flows_gold(spark: SparkSession, sf: str) -> DataFrame:
+    folder = scratch_folder(spark)
+    raw_lines(spark, sf).select(*ORDER_COLUMNS).write.csv(f"{folder}/raw", header=True)
+    order_flows(spark, f"{folder}/raw", f"{folder}/layers", order=ORDER_COLUMNS[1:]).run()
+    gold = spark.read.parquet(f"{folder}/layers/gold_product_summary")
+    return gold.withColumn("total_revenue", F.round("total_revenue", 2)).drop("avg_order_value")
+
+
+def _order_snapshots(spark: SparkSession, sf: str) -> SnapshotTable:
+    """Orders of three spans of years as three commits; the last has one more column."""
+    orders = table(spark, sf, "orders")
+    year = F.year("o_orderdate")
+    narrow = orders.select("o_orderkey", "o_orderdate", "o_totalprice")
+    snapshots = SnapshotTable(spark, scratch_folder(spark))
+    snapshots.create_or_replace(narrow.filter(year < YEARS[0]), COMMITTED[0])
+    snapshots.append(narrow.filter((year >= YEARS[0]) & (year < YEARS[1])), COMMITTED[1])
+    snapshots.append(
+        orders.select(*narrow.columns, "o_orderpriority").filter(year >= YEARS[1]), COMMITTED[2])
+    return snapshots
+
+
+@query(f"SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE year(o_orderdate) < {YEARS[0]}")
+def snapshot_by_id(spark: SparkSession, sf: str) -> DataFrame:
+    return _order_snapshots(spark, sf).read_snapshot(1).drop("o_orderpriority")
+
+
+@query(f"SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE year(o_orderdate) < {YEARS[1]}")
+def snapshot_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    snapshots = _order_snapshots(spark, sf)
+    return snapshots.read_as_of(COMMITTED[1] + dt.timedelta(days=3)).drop("o_orderpriority")
+
+
+@query(f"""
+SELECT o_orderkey, o_orderdate, o_totalprice,
+       CASE WHEN year(o_orderdate) >= {YEARS[1]} THEN o_orderpriority END AS o_orderpriority
+FROM orders
+""")
+def snapshot_evolved(spark: SparkSession, sf: str) -> DataFrame:
+    return _order_snapshots(spark, sf).read()
+
+
+@query(f"SELECT event_id, user_id, event_type, value FROM events WHERE ts >= TIMESTAMP '{CUT}'")
+def incremental_files(spark: SparkSession, sf: str) -> DataFrame:
+    folder = scratch_folder(spark)
+    events = table(spark, sf, "events")
+    cut = F.lit(CUT).cast("timestamp_ntz")
+    events.filter(F.col("ts") < cut).write.parquet(f"{folder}/source/first")
+    with_lineage(spark.read.parquet(f"{folder}/source/first")).write.parquet(f"{folder}/bronze")
+    events.filter(F.col("ts") >= cut).write.parquet(f"{folder}/source/second")
+    fresh = read_new_files(spark, f"{folder}/source", spark.read.parquet(f"{folder}/bronze"),
+                           lambda paths: spark.read.schema(events.schema).parquet(*paths), "*.parquet")
+    return fresh.select("event_id", "user_id", "event_type", "value")
+
+
+@query(f"""
+SELECT * FROM events
+WHERE ts > (SELECT max(ts) - INTERVAL 2 HOUR FROM events WHERE ts < TIMESTAMP '{CUT}' AND event_id % 7 <> 0)
+  AND NOT (ts < TIMESTAMP '{CUT}' AND event_id % 7 <> 0)
+""")
+def incremental_overlap(spark: SparkSession, sf: str) -> DataFrame:
+    # Every seventh event is late: missing from what has been loaded so far.
+    events = table(spark, sf, "events")
+    loaded = events.filter((F.col("ts") < F.lit(CUT).cast("timestamp_ntz")) & (F.pmod("event_id", F.lit(7)) != 0))
+    return rows_since_with_overlap(events, loaded, "ts", ["event_id"], "2 hours")
+
+
+@query("SELECT event_id, ts, user_id, value, event_type FROM events WHERE event_type = 'purchase'")
+def partition_pruned(spark: SparkSession, sf: str) -> DataFrame:
+    folder = scratch_folder(spark)
+    events = table(spark, sf, "events").select("event_id", "ts", "user_id", "value", "event_type")
+    write_by_partition(events, folder, ["event_type"])
+    return read_any(spark, "parquet", folder).filter(F.col("event_type") == "purchase")

@@ -1 +1,143 @@
-"""placeholder"""
+"""Streams over the events table, run until all its rows are read."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from smelter.operators.blocks import HOT_ROWS, hot_groups
+from smelter.operators.lineage import scratch_folder
+from smelter.plans.registry import query
+from smelter.sources.readers import table
+from smelter.streaming import state
+from smelter.streaming.sinks import start_batches, start_files, upsert_into
+from smelter.streaming.sources import bronze_stream, file_stream, parse_messages, with_event_time
+from smelter.streaming.windows import drop_replays, time_windows
+
+DELAY = "10 minutes"
+
+
+def _events(spark: SparkSession, sf: str) -> DataFrame:
+    schema = table(spark, sf, "events").schema
+    return file_stream(spark, sf, schema, pathGlobFilter="events.parquet")
+
+
+def _in_files(df: DataFrame, folder: str, files: int, order: str) -> str:
+    """``df`` as a few files that follow one another in ``order``."""
+    df.repartitionByRange(files, order).write.parquet(folder)
+    return folder
+
+
+@query("""
+SELECT event_id, ts, user_id, event_type, value, props, true AS has_time, 'events.parquet' AS file FROM events
+""")
+def stream_bronze(spark: SparkSession, sf: str) -> DataFrame:
+    folder = scratch_folder(spark)
+    start_files(bronze_stream(_events(spark, sf)), f"{folder}/bronze", f"{folder}/state").awaitTermination()
+    stored = spark.read.parquet(f"{folder}/bronze")
+    return stored.withColumns({
+        "has_time": F.col("_ingested_at").isNotNull(),
+        "file": F.element_at(F.split("_source_file", "/"), -1),
+    }).drop("_ingested_at", "_source_file")
+
+
+@query("""
+WITH windows AS (
+    SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+           time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, event_type,
+           count(*) AS n_events, round(sum(value), 2) AS total_value
+    FROM events GROUP BY ALL
+)
+SELECT * FROM windows WHERE window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)
+""")
+def stream_windows(spark: SparkSession, sf: str) -> DataFrame:
+    # Append mode gives a window out once the watermark has passed its end.
+    folder = scratch_folder(spark)
+    timed = with_event_time(_events(spark, sf)).withWatermark("ts", DELAY)
+    start_files(time_windows(timed, "event_type", "value", "1 hour"),
+                f"{folder}/windows", f"{folder}/state").awaitTermination()
+    stored = spark.read.parquet(f"{folder}/windows")
+    return stored.withColumns({
+        "window_start": F.col("window_start").cast("timestamp_ntz"),
+        "window_end": F.col("window_end").cast("timestamp_ntz"),
+        "total_value": F.round("total_value", 2),
+    })
+
+
+@query("SELECT event_id, ts, user_id, event_type, value FROM events")
+def stream_replays(spark: SparkSession, sf: str) -> DataFrame:
+    folder = scratch_folder(spark)
+    events = with_event_time(table(spark, sf, "events")).select("event_id", "ts", "user_id", "event_type", "value")
+    replayed = events.unionByName(events.filter(F.pmod("event_id", F.lit(20)) == 0))
+    source = _in_files(replayed, f"{folder}/source", 4, "ts")
+    once = drop_replays(file_stream(spark, source, events.schema), ["event_id"], DELAY)
+    start_files(once, f"{folder}/once", f"{folder}/state").awaitTermination()
+    return spark.read.parquet(f"{folder}/once").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query("""
+SELECT user_id, event_type, event_id, ts, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1
+""")
+def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    folder = scratch_folder(spark)
+    events = table(spark, sf, "events").select("user_id", "event_type", "event_id", "ts", "value")
+    source = _in_files(events, f"{folder}/source", 3, "ts")
+    stream = file_stream(spark, source, events.schema, files_per_trigger=1)
+    merge = upsert_into(f"{folder}/latest", ["user_id", "event_type"], [F.desc("ts"), F.desc("event_id")], 8)
+    start_batches(stream, merge, f"{folder}/state").awaitTermination()
+    return spark.read.parquet(f"{folder}/latest").drop("_bucket")
+
+
+@query("""
+SELECT CAST(event_id AS VARCHAR) AS _key, user_id, value, user_id IS NOT NULL AS _dq_json_valid
+FROM (SELECT event_id, CASE WHEN event_id % 50 <> 0 THEN user_id END AS user_id,
+             CASE WHEN event_id % 50 <> 0 THEN value END AS value FROM events)
+""")
+def stream_messages(spark: SparkSession, sf: str) -> DataFrame:
+    # Shaped like a message queue's rows, with 2% of the values unreadable.
+    folder = scratch_folder(spark)
+    body = F.when(F.pmod("event_id", F.lit(50)) == 0, "not json").otherwise(F.to_json(F.struct("user_id", "value")))
+    messages = with_event_time(table(spark, sf, "events")).select(
+        F.col("event_id").cast("string").cast("binary").alias("key"), body.cast("binary").alias("value"),
+        F.col("ts").alias("timestamp"))
+    source = _in_files(messages, f"{folder}/source", 2, "timestamp")
+    parsed = parse_messages(file_stream(spark, source, messages.schema), "user_id bigint, value double")
+    start_files(parsed, f"{folder}/parsed", f"{folder}/state").awaitTermination()
+    return spark.read.parquet(f"{folder}/parsed").drop("_message_at")
+
+
+@query("SELECT user_id, count(*) AS n_events, round(sum(value), 2) AS total_value FROM events GROUP BY user_id")
+def stream_user_counts(spark: SparkSession, sf: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    folder = scratch_folder(spark)
+    events = table(spark, sf, "events").select("user_id", "event_id", "value")
+    source = _in_files(events, f"{folder}/source", 2, "event_id")
+    with state.rocksdb_state(spark):
+        stream = file_stream(spark, source, events.schema, files_per_trigger=1)
+        counts = state.event_counts(stream, hot_groups(events, ["user_id"], hot_rows))
+        merge = upsert_into(f"{folder}/counts", ["user_id", "salt"], [F.desc("n_events")], 8)
+        start_batches(counts, merge, f"{folder}/state", "update").awaitTermination()
+    combined = state.combine_counts(spark.read.parquet(f"{folder}/counts"))
+    return combined.withColumn("total_value", F.round("total_value", 2))
+
+
+@query("""
+WITH newest AS (
+    SELECT user_id, event_id, ts FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) <= 3
+)
+SELECT user_id, string_agg(event_id, ',' ORDER BY ts, event_id) AS event_ids FROM newest GROUP BY user_id
+""")
+def stream_latest_events(spark: SparkSession, sf: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    folder = scratch_folder(spark)
+    events = with_event_time(table(spark, sf, "events")).select("user_id", "event_id", "ts")
+    source = _in_files(events, f"{folder}/source", 2, "event_id")
+    with state.rocksdb_state(spark):
+        stream = file_stream(spark, source, events.schema, files_per_trigger=1)
+        latest = state.latest_events(stream, hot_groups(events, ["user_id"], hot_rows), keep=3)
+        # Later states hold later or more events, so the greatest state is the newest.
+        merge = upsert_into(f"{folder}/latest", ["user_id", "salt"],
+                            [F.desc(F.array_max("times")), F.desc(F.size("times")), F.desc(F.reverse("times"))], 8)
+        start_batches(latest, merge, f"{folder}/state", "update").awaitTermination()
+    combined = state.combine_latest(spark.read.parquet(f"{folder}/latest"), 3)
+    return combined.withColumn("event_ids", F.array_join(F.col("event_ids").cast("array<string>"), ","))

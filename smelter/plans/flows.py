@@ -33,10 +33,14 @@ class Flows:
         self.path = path
         self._flows: dict[str, Flow] = {}
 
+    def add(self, name: str, build: Callable[[SparkSession], DataFrame], depends_on: Sequence[str] = ()) -> None:
+        """Register a flow; names in ``depends_on`` that are not flows are external tables."""
+        self._flows[name] = Flow(build, tuple(depends_on))
+
     def materialized_view(self, depends_on: Sequence[str] = ()):
-        """Register the decorated function; names that are not flows are external tables."""
+        """Register the decorated function under its own name."""
         def register(build):
-            self._flows[build.__name__] = Flow(build, tuple(depends_on))
+            self.add(build.__name__, build, depends_on)
             return build
         return register
 

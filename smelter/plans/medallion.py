@@ -25,10 +25,10 @@ def bronze_orders(raw: DataFrame, keys: Sequence[str], order: Sequence[Column])
 
 
 def bronze_orders_csv(spark: SparkSession, path: str | list[str],
-                      columns: Sequence[str] = ORDER_COLUMNS) -> DataFrame:
-    """CSV files with lineage; of rows with one order id the last by file and content stays."""
-    scan = with_lineage(read_csv(spark, path, all_strings(columns)))
-    return bronze_orders(scan, ["order_id"], [F.desc("_source_file"), *[F.desc(c) for c in columns[1:]]])
+                      order: Sequence[str] = ("_source_file", *ORDER_COLUMNS[1:])) -> DataFrame:
+    """CSV files with lineage; of rows with one order id the last in ``order`` stays."""
+    scan = with_lineage(read_csv(spark, path, all_strings(ORDER_COLUMNS)))
+    return bronze_orders(scan, ["order_id"], [F.desc(c) for c in order])
 
 
 def typed_orders(bronze: DataFrame) -> DataFrame:
@@ -62,24 +62,11 @@ def gold_product_summary(silver: DataFrame) -> DataFrame:
     return ranked(product_summary(silver, "product", "total"))
 
 
-def order_flows(spark: SparkSession, csv_path: str, output_path: str) -> Flows:
+def order_flows(spark: SparkSession, csv_path: str, output_path: str, **bronze_options) -> Flows:
     """The three layers as flows over CSV files."""
     flows = Flows(spark, output_path)
-
-    @flows.materialized_view()
-    def bronze_orders(spark):
-        return bronze_orders_csv(spark, csv_path)
-
-    @flows.materialized_view(depends_on=["bronze_orders"])
-    def silver_orders(spark):
-        return _silver(spark.table("bronze_orders"))
-
-    @flows.materialized_view(depends_on=["silver_orders"])
-    def gold_product_summary(spark):
-        return _gold(spark.table("silver_orders"))
-
+    flows.add("bronze_orders", lambda session: bronze_orders_csv(session, csv_path, **bronze_options))
+    flows.add("silver_orders", lambda session: silver_orders(session.table("bronze_orders")), ["bronze_orders"])
+    flows.add("gold_product_summary", lambda session: gold_product_summary(session.table("silver_orders")),
+              ["silver_orders"])
     return flows
-
-
-_silver = silver_orders
-_gold = gold_product_summary

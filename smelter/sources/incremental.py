@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """One row per file; the files' content is not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    files = spark.read.format("binaryFile").options(pathGlobFilter=pattern, recursiveFileLookup=True).load(path)
     return files.select(F.col("_metadata.file_path").alias("_source_file"),
                         F.col("_metadata.file_modification_time").alias("_modified_at"))
 

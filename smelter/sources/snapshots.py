@@ -12,7 +12,6 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 LOG_SCHEMA = "snapshot_id bigint, base_id bigint, committed_at timestamp, operation string"
 
@@ -21,6 +20,8 @@ class SnapshotTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
+        # Keeps an existing log and otherwise starts an empty one.
+        spark.createDataFrame([], LOG_SCHEMA).write.mode("ignore").parquet(f"{path}/log")
 
     @property
     def _data(self) -> str:
@@ -28,12 +29,7 @@ class SnapshotTable:
 
     def log(self) -> DataFrame:
         """One row per commit."""
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/log")
-        except AnalysisException as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            return self.spark.createDataFrame([], LOG_SCHEMA)
+        return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/log")
 
     def _pointer(self, condition) -> tuple[int, int] | None:
         row = self.log().filter(condition).orderBy(F.desc("snapshot_id")).select("snapshot_id", "base_id").first()

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from smelter.operators.dedup import latest_by_key, upsert
 from smelter.sources.snapshots import with_bucket
@@ -37,23 +36,14 @@ def upsert_into(path: str, keys: Sequence[str], order: Sequence[Column],
     its keys fall into. Merging the same batch twice changes nothing.
     """
 
-    def current(spark: SparkSession, schema) -> DataFrame | None:
-        try:
-            return spark.read.schema(schema).parquet(path)
-        except AnalysisException as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            return None
-
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         fresh = with_bucket(latest_by_key(batch, keys, order), keys[0], buckets)
-        stored = current(spark, fresh.schema)
-        merged = fresh
-        if stored is not None:
-            # At most ``buckets`` rows.
-            touched = F.broadcast(fresh.select("_bucket").distinct())
-            merged = upsert(stored.join(touched, "_bucket", "left_semi"), fresh, keys, order)
+        # Starts an empty table before the first batch, keeps what is there after it.
+        fresh.limit(0).write.mode("ignore").parquet(path)
+        stored = batch.sparkSession.read.schema(fresh.schema).parquet(path)
+        # At most ``buckets`` rows.
+        touched = F.broadcast(fresh.select("_bucket").distinct())
+        merged = upsert(stored.join(touched, "_bucket", "left_semi"), fresh, keys, order)
         replace_partitions(merged.hint("rebalance", "_bucket"), path, ["_bucket"])
 
     return write

@@ -1,58 +1,107 @@
-"""Custom per-key state with ``transformWithStateInPandas`` (needs the RocksDB state store)."""
+"""Custom per-key state with ``transformWithStateInPandas`` (needs the RocksDB state store).
+
+All state of one key lives in one task, so the key includes a salt: the events of a
+user known to be hot are spread over ``SALTS`` states, and reading combines them. The
+processors are built inside functions, so Spark sends them to the executors by value.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from smelter.operators.joins import broadcast_checked
+
+# The setting that chooses the state store, and the store to choose.
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-COUNT_SCHEMA = "user_id bigint, n_events bigint, total_value double"
-LATEST_SCHEMA = "user_id bigint, event_ids array<bigint>"
+SALTS = 64
 
+COUNT_SCHEMA = "user_id bigint, salt bigint, n_events bigint, total_value double"
+LATEST_SCHEMA = "user_id bigint, salt bigint, event_ids array<bigint>, times array<timestamp>"
 
-class EventCounter(StatefulProcessor):
-    """Count and sum of each user's events so far; one small value per user."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._state = handle.getValueState("totals", "n bigint, total double")
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Start queries with the RocksDB state store, and leave the session as it was."""
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(STATE_STORE, before)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        n, total = self._state.get() if self._state.exists() else (0, 0.0)
-        for batch in rows:
-            n += len(batch)
-            total += float(batch["value"].sum())
-        self._state.update((n, total))
-        yield pd.DataFrame({"user_id": [key[0]], "n_events": [n], "total_value": [total]})
 
-    def close(self) -> None:
-        pass
+def _track(events: DataFrame, hot_users: DataFrame, processor: StatefulProcessor, schema: str) -> DataFrame:
+    hot = broadcast_checked(hot_users.select("user_id").withColumn("_hot", F.lit(True)))
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("event_id"), F.lit(SALTS))).otherwise(F.lit(0))
+    salted = events.join(hot, "user_id", "left").withColumn("salt", salt).drop("_hot")
+    return salted.groupBy("user_id", "salt").transformWithStateInPandas(
+        statefulProcessor=processor, outputStructType=schema, outputMode="Update", timeMode="None")
 
 
-class LatestEvents(StatefulProcessor):
-    """Ids of each user's latest events by time; the list never outgrows ``keep``."""
+def event_counts(events: DataFrame, hot_users: DataFrame) -> DataFrame:
+    """Count and sum of the events so far, per user and salt.
 
-    keep = 3
+    ``hot_users`` is a table of user ids, usually ``hot_groups`` of what was stored so far.
+    """
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._state = handle.getListState("latest", "ts timestamp, event_id bigint")
+    class Counter(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self._totals = handle.getValueState("totals", "n bigint, total double")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        latest = [(pd.Timestamp(ts), int(i)) for ts, i in self._state.get()] if self._state.exists() else []
-        for batch in rows:
-            latest += [(pd.Timestamp(ts), int(i)) for ts, i in zip(batch["ts"], batch["event_id"])]
-            latest = sorted(latest)[-self.keep:]
-        self._state.put([(ts.to_pydatetime(), i) for ts, i in latest])
-        yield pd.DataFrame({"user_id": [key[0]], "event_ids": [[i for _, i in latest]]})
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+            n, total = self._totals.get() or (0, 0.0)
+            for batch in rows:
+                n += len(batch)
+                total += float(batch["value"].sum())
+            self._totals.update((n, total))
+            yield pd.DataFrame({"user_id": [key[0]], "salt": [key[1]], "n_events": [n], "total_value": [total]})
 
-    def close(self) -> None:
-        pass
+        def close(self) -> None:
+            pass
 
+    return _track(events, hot_users, Counter(), COUNT_SCHEMA)
 
-def track(events: DataFrame, processor: StatefulProcessor, schema: str) -> DataFrame:
-    return events.groupBy("user_id").transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=schema, outputMode="Update", timeMode="None")
+
+def combine_counts(states: DataFrame) -> DataFrame:
+    """Per user, from the latest state of each salt."""
+    return states.groupBy("user_id").agg(
+        F.sum("n_events").alias("n_events"), F.sum("total_value").alias("total_value"))
+
+
+def latest_events(events: DataFrame, hot_users: DataFrame, keep: int) -> DataFrame:
+    """Ids and times of the latest ``keep`` events, per user and salt."""
+
+    class Latest(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self._latest = handle.getListState("latest", "ts timestamp, event_id bigint")
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+            latest = [(pd.Timestamp(ts), int(i)) for ts, i in self._latest.get()]
+            for batch in rows:
+                latest += [(pd.Timestamp(ts), int(i)) for ts, i in zip(batch["ts"], batch["event_id"])]
+                latest = sorted(latest)[-keep:]
+            self._latest.put([(ts.to_pydatetime(), i) for ts, i in latest])
+            yield pd.DataFrame({"user_id": [key[0]], "salt": [key[1]],
+                                "event_ids": [[i for _, i in latest]], "times": [[ts for ts, _ in latest]]})
+
+        def close(self) -> None:
+            pass
+
+    return _track(events, hot_users, Latest(), LATEST_SCHEMA)
+
+
+def combine_latest(states: DataFrame, keep: int) -> DataFrame:
+    """Per user, the ids of the latest ``keep`` events, oldest first."""
+    by_time = F.array_sort(F.flatten(F.collect_list(F.arrays_zip("times", "event_ids"))))
+    newest = states.groupBy("user_id").agg(by_time.alias("all"))
+    return newest.select("user_id", F.transform(
+        F.slice("all", F.greatest(F.size("all") - keep + 1, F.lit(1)), F.lit(keep)),
+        lambda e: e["event_ids"]).alias("event_ids"))
