@@ -37,13 +37,18 @@ def upsert_into(path: str, keys: Sequence[str], order: Sequence[Column],
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = with_bucket(latest_by_key(batch, keys, order), keys[0], buckets)
-        # Starts an empty table before the first batch, keeps what is there after it.
-        fresh.limit(0).write.mode("ignore").parquet(path)
-        stored = batch.sparkSession.read.schema(fresh.schema).parquet(path)
-        # At most ``buckets`` rows.
-        touched = F.broadcast(fresh.select("_bucket").distinct())
-        merged = upsert(stored.join(touched, "_bucket", "left_semi"), fresh, keys, order)
-        replace_partitions(merged.hint("rebalance", "_bucket"), path, ["_bucket"])
+        spark = batch.sparkSession
+        # Kept for the two uses below: a batch of a stateful stream is costly to redo.
+        fresh = with_bucket(latest_by_key(batch, keys, order), keys[0], buckets).persist()
+        try:
+            # Starts an empty table before the first batch, keeps what is there after it.
+            spark.createDataFrame([], fresh.schema).write.mode("ignore").parquet(path)
+            stored = spark.read.schema(fresh.schema).parquet(path)
+            # At most ``buckets`` rows.
+            touched = F.broadcast(fresh.select("_bucket").distinct())
+            merged = upsert(stored.join(touched, "_bucket", "left_semi"), fresh, keys, order)
+            replace_partitions(merged.hint("rebalance", "_bucket"), path, ["_bucket"])
+        finally:
+            fresh.unpersist()
 
     return write
