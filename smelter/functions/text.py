@@ -7,30 +7,36 @@ from pyspark.sql import functions as F
 
 from smelter.functions.typing import as_column
 
-# The characters that count as white space when text is compared
-# (every Unicode space, not only the ASCII ones that \s covers in Java and RE2).
-SPACE = (
-    r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# The characters that count as white space when text is compared (every
+# Unicode space, and the four ASCII separators that \s leaves out).
+SPACE_CHARS = (
+    "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
-SPACES = f"[{SPACE}]+"
-EDGE_SPACES = f"^[{SPACE}]+|[{SPACE}]+$"
+# The same set as a pattern; (?U) makes \s mean the Unicode property.
+SPACES = r"(?U)[\s\x1c-\x1f]+"
 QUOTES = "[\"']"
-NOT_IN_CHOICE = f"[^a-zA-Z0-9_@.{SPACE}]"
+NOT_IN_CHOICE = r"(?U)[^a-zA-Z0-9_@.\s\x1c-\x1f]"
 
 
 def strip(c: Column | str) -> Column:
-    return F.regexp_replace(as_column(c), EDGE_SPACES, "")
+    return F.trim(as_column(c), F.lit(SPACE_CHARS))
 
 
 def collapse_spaces(c: Column | str) -> Column:
     return F.regexp_replace(as_column(c), SPACES, " ")
 
 
+def squeeze(c: Column | str) -> Column:
+    """No outer space, and one plain space for each run of inner space."""
+    # Collapsing first leaves at most one plain space on each edge.
+    return F.trim(collapse_spaces(c))
+
+
 def text_key(c: Column | str) -> Column:
     """Equal for texts that differ only in case and white space."""
-    # Collapsing first leaves at most one plain space on each edge for trim.
-    return F.lower(F.trim(collapse_spaces(c)))
+    return F.lower(squeeze(c))
 
 
 def code_key(c: Column | str) -> Column:
@@ -48,6 +54,5 @@ def digest(c: Column | str) -> Column:
     return F.unhex(F.sha2(as_column(c), 256))
 
 
-def blank_to_null(c: Column | str) -> Column:
-    stripped = strip(c)
-    return F.when(stripped != "", stripped)
+def blank_to_null(c: Column) -> Column:
+    return F.nullif(c, F.lit(""))

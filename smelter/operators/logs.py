@@ -15,52 +15,67 @@ class Rule:
     pattern: str
     severity: str
     message: str  # {0}, {1}: the pattern's groups
+    literal: str  # lower-case text that every match contains, for a quick test first
 
 
 # Patterns, severities and messages of the known problems.
 RULES = (
     Rule(r"AnalysisException.*Table or view not found: (\S+)", "error",
-         "Table '{0}' doesn't exist. Check the table name and catalog."),
+         "Table '{0}' doesn't exist. Check the table name and catalog.",
+         "table or view not found: "),
     Rule(r"AnalysisException.*cannot resolve '(\w+)'", "error",
-         "Column '{0}' not found. Check your column names with df.printSchema()."),
+         "Column '{0}' not found. Check your column names with df.printSchema().",
+         "cannot resolve '"),
     Rule(r"Py4JJavaError.*ClassNotFoundException: (\S+)", "error",
-         "Missing dependency: {0}. The JAR may not be on the classpath."),
+         "Missing dependency: {0}. The JAR may not be on the classpath.",
+         "classnotfoundexception: "),
     Rule(r"NameError: name '(\w+)' is not defined", "error",
-         "Variable '{0}' is not defined. Did you forget to import or create it?"),
-    Rule(r"TypeError: (.+)", "error", "Type error: {0}"),
+         "Variable '{0}' is not defined. Did you forget to import or create it?",
+         "nameerror: name '"),
+    Rule(r"TypeError: (.+)", "error", "Type error: {0}",
+         "typeerror: "),
     Rule(r"AttributeError: '(\w+)' object has no attribute '(\w+)'", "error",
-         "'{0}' doesn't have attribute '{1}'. Check the API docs."),
-    Rule(r"IndentationError: (.+)", "error", "Indentation error: {0}. Check your whitespace."),
-    Rule(r"SyntaxError: (.+)", "error", "Syntax error: {0}"),
+         "'{0}' doesn't have attribute '{1}'. Check the API docs.",
+         "' object has no attribute '"),
+    Rule(r"IndentationError: (.+)", "error", "Indentation error: {0}. Check your whitespace.",
+         "indentationerror: "),
+    Rule(r"SyntaxError: (.+)", "error", "Syntax error: {0}",
+         "syntaxerror: "),
     Rule(r"spark\.sql\.shuffle\.partitions", "info",
-         "Tip: shuffle partitions defaults to 200. For small data, set it lower."),
+         "Tip: shuffle partitions defaults to 200. For small data, set it lower.",
+         "spark.sql.shuffle.partitions"),
     Rule(r"WARN.*deprecated", "info",
-         "Deprecation warning detected — the code still works but consider updating."),
+         "Deprecation warning detected — the code still works but consider updating.",
+         "deprecated"),
 )
 NEARBY = 200
 LONGEST_MESSAGE = 200
 LEVEL_PREFIXES = ("WARN", "INFO", "DEBUG")
 LINE_NUMBER = r"line (\d+)"
 
+# Letters that equal an ASCII letter when case is ignored, though their
+# lower case is not that letter.
+ODD_LETTERS = "ſıİK"
+
 # Case-insensitive, Unicode classes, and only \n ends a line for '.'.
 FLAGS = "(?idU)"
 
 
 def _hit(text: Column, index: int, rule: Rule) -> Column:
-    """A (severity, message, line) struct for the rule's first match, else NULL."""
-    pattern = FLAGS + rule.pattern
+    """A finding for the rule's first match, which starts at ``_starts[index]``, else NULL."""
+    start = F.col("_starts")[index]
     message: Column = F.lit(rule.message)
     for group in range(rule.message.count("{")):
-        message = F.replace(message, F.lit(f"{{{group}}}"), F.regexp_extract(text, pattern, group + 1))
-    start = F.regexp_instr(text, F.lit(pattern))
+        found = F.regexp_extract(text, FLAGS + rule.pattern, group + 1)
+        message = F.replace(message, F.lit(f"{{{group}}}"), found)
     first = F.greatest(start - NEARBY, F.lit(1))
     nearby = F.substring(text, first, start + NEARBY - first)
     line = F.regexp_extract(nearby, LINE_NUMBER, 1).try_cast("int")
-    found = F.struct(
+    finding = F.struct(
         F.lit(index).alias("rule"), F.lit(rule.severity).alias("severity"),
         message.alias("message"), line.alias("line"),
     )
-    return F.when(text.rlike(pattern), found)
+    return F.when(start > 0, finding)
 
 
 def _last_error(text: Column) -> Column:
@@ -85,7 +100,18 @@ def classify(df: DataFrame, text: str, rules: tuple[Rule, ...] = RULES) -> DataF
     kept = [c for c in df.columns if c != text]
     # Each step is a column of its own, so that the next one reads it instead of
     # working it out again for every element.
-    hits = df.select(
+    # Searching plain text is much faster than matching, so the pattern is tried only
+    # where its literal part is there, or cannot be ruled out for odd letters.
+    odd = F.lit(False)
+    for letter in ODD_LETTERS:
+        odd = odd | log.contains(letter)
+    searched = df.withColumns({"_lower": F.lower(log), "_odd": odd})
+    starts = F.array(*[
+        F.when(F.col("_odd") | F.col("_lower").contains(rule.literal),
+               F.regexp_instr(log, F.lit(FLAGS + rule.pattern))).otherwise(0)
+        for rule in rules
+    ])
+    hits = searched.withColumn("_starts", starts).select(
         *kept, text, F.array_compact(F.array(*[_hit(log, i, r) for i, r in enumerate(rules)])).alias("_all"))
     unique = F.filter(
         "_all", lambda hit, i: ~F.exists(F.slice("_all", F.lit(1), i), lambda h: h["message"] == hit["message"]))

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smelter.functions.nested import flatten_json
-from smelter.functions.text import EDGE_SPACES, SPACES, blank_to_null, collapse_spaces
+from smelter.functions.text import blank_to_null, squeeze
 from smelter.functions.typing import to_date
+from smelter.plans.catalogue.patterns import EDGE_SPACES, SPACES
 from smelter.plans.registry import query
 from smelter.sources.readers import table
 
@@ -42,8 +43,8 @@ FROM documents
 def clean_text(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select(
         "doc_id",
-        collapse_spaces(blank_to_null("text")).alias("text"),
-        F.coalesce(F.lower(F.nullif(F.trim("lang"), F.lit(""))), F.lit("unknown")).alias("lang"),
+        blank_to_null(squeeze("text")).alias("text"),
+        F.coalesce(F.lower(blank_to_null(F.trim("lang"))), F.lit("unknown")).alias("lang"),
     )
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.functions.text import SPACES, strip
+from smelter.functions.text import squeeze
+from smelter.plans.catalogue.patterns import SPACES
 from smelter.plans.registry import query
 from smelter.sources.readers import table
 
@@ -123,17 +124,17 @@ SELECT token, count(*) AS n_occurrences, count(DISTINCT doc_id) AS n_docs, CAST(
 FROM placed GROUP BY token
 """)
 def doc_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    words = F.filter(F.split(F.lower(strip("text")), SPACES), lambda t: t != "")
-    occurrences = F.transform("words", lambda t, i: F.struct(
-        t.alias("token"), F.lit(1).alias("n"), F.lit(0).alias("d"), i.alias("place")))
-    # Counting documents from each text's distinct words needs no shuffle of
-    # (word, document) pairs: both counts come out of one aggregation per word.
-    once = F.transform(F.array_distinct("words"), lambda t: F.struct(
-        t.alias("token"), F.lit(0).alias("n"), F.lit(1).alias("d"), F.lit(None).cast("int").alias("place")))
-    marks = table(spark, sf, "documents").select(words.alias("words")).select(
-        F.inline(F.flatten(F.array(occurrences, once))))
-    return marks.groupBy("token").agg(
-        F.sum("n").alias("n_occurrences"), F.sum("d").alias("n_docs"), F.min("place").alias("earliest"))
+    words = F.split(F.lower(squeeze("text")), " ")
+    docs = table(spark, sf, "documents").select(words.alias("words"))
+    # Each text's distinct words are listed once more behind all of them, so that words
+    # and documents are counted in one aggregation that combines before its shuffle.
+    listed = docs.select(F.size("words").alias("length"),
+                         F.posexplode(F.flatten(F.array("words", F.array_distinct("words")))).alias("place", "token"))
+    in_text = F.col("place") < F.col("length")
+    return listed.filter(F.col("token") != "").groupBy("token").agg(
+        F.count_if(in_text).alias("n_occurrences"),
+        F.count_if(~in_text).alias("n_docs"),
+        F.min(F.when(in_text, F.col("place"))).alias("earliest"))
 
 
 @query("""

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.functions.text import NOT_IN_CHOICE, SPACES, choice_key, code_key, digest, text_key
+from smelter.functions.text import choice_key, code_key, digest, text_key
 from smelter.operators.joins import enrich
 from smelter.operators.logs import RULES, classify
 from smelter.operators.tags import API_LABELS, SESSION_LABELS, labels_of, tag
+from smelter.plans.catalogue.patterns import NOT_IN_CHOICE, SPACES
 from smelter.plans.registry import query
 from smelter.sources.readers import table
 
