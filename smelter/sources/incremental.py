@@ -33,9 +33,12 @@ def read_new_files(spark: SparkSession, path: str, processed: DataFrame,
 
 
 def rows_since(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
-    """Source rows strictly newer than the newest row of ``target``; all when it is empty."""
-    mark = target.agg(F.max(column)).scalar()
-    return source.filter(mark.isNull() | (F.col(column) > mark))
+    """Source rows strictly newer than the newest row of ``target``; all when it has none."""
+    loaded = target.filter(F.col(column).isNotNull())
+    if loaded.isEmpty():
+        return source
+    # A bare comparison with the subquery, so that it reaches the scan as a filter.
+    return source.filter(F.col(column) > loaded.agg(F.max(column)).scalar())
 
 
 def rows_since_with_overlap(source: DataFrame, target: DataFrame, column: str, keys: Sequence[str],
@@ -44,7 +47,9 @@ def rows_since_with_overlap(source: DataFrame, target: DataFrame, column: str, k
 
     Rows of the overlap that the target already has, by ``keys``, are left out.
     """
-    back_to = target.agg(F.max(column) - F.expr(f"INTERVAL {overlap}")).scalar()
-    recent = source.filter(back_to.isNull() | (F.col(column) > back_to))
+    loaded = target.filter(F.col(column).isNotNull())
+    if loaded.isEmpty():
+        return source
+    back_to = loaded.agg(F.max(column) - F.expr(f"INTERVAL {overlap}")).scalar()
     known = target.filter(F.col(column) > back_to).select(*keys)
-    return recent.join(known, list(keys), "left_anti")
+    return source.filter(F.col(column) > back_to).join(known, list(keys), "left_anti")
