@@ -69,6 +69,7 @@ def find_cuts(df: DataFrame, keys: Sequence[str], order_value: Column, hot_rows:
     largest = hot.agg(F.max("_rows")).first()[0]
     if largest is None:
         return None
+    hot = cut_lineage(hot)
     blocks = min(MAX_BLOCKS, max(2, 2 * math.ceil(largest / hot_rows)))
     stride = math.isqrt(blocks - 1) + 1
     shares = [i / blocks for i in range(1, blocks)]

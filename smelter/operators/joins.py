@@ -17,7 +17,8 @@ BROADCAST_ROWS = 500_000
 def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when ``df`` is counted to be small, else leave the choice to Spark.
 
-    The count reads no columns. Past the limit the join runs as a sort-merge join,
+    Counting a table reads no columns; store a computed ``df`` before it is passed
+    here, or it is computed for the count and again for the join. Past the limit the join runs as a sort-merge join,
     whose skewed partitions adaptive execution splits.
     """
     return F.broadcast(df) if df.count() <= max_rows else df

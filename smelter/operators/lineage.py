@@ -1,10 +1,13 @@
-"""Cutting long or re-used lineage at a reliable checkpoint."""
+"""Computing a DataFrame once for several uses: stored, or kept for the length of a block."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -36,3 +39,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder for intermediate tables, next to the checkpoints."""
     return f"{ensure_checkpoint_dir(spark)}/smelter-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def kept(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
+    """``df`` persisted inside a ``with`` block and released after it.
+
+    For several actions on one input, such as the golds of one silver. What is lost
+    with an executor is computed again.
+    """
+    held = df.persist(level)
+    try:
+        yield held
+    finally:
+        held.unpersist()

@@ -26,7 +26,7 @@ def _hot_blocks(blocked: DataFrame, cuts: Cuts, *aggregates: Column) -> DataFram
 
 
 def _with_carry(blocked: DataFrame, carry: DataFrame, cuts: Cuts) -> DataFrame:
-    return join_null_safe(blocked, broadcast_checked(carry), [*cuts.keys, "_block"], "left")
+    return join_null_safe(blocked, broadcast_checked(cut_lineage(carry)), [*cuts.keys, "_block"], "left")
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], order_value: Column,
@@ -194,7 +194,7 @@ def trailing_sum(df: DataFrame, keys: Sequence[str], second: str, value: str, se
     )
     # Rows without a time form a frame of their own, as in the plain window.
     untimed = hot_rows_only.filter(F.col(second).isNull())
-    per_key = untimed.groupBy(*keys).agg(F.sum(value).alias(name))
+    per_key = cut_lineage(untimed.groupBy(*keys).agg(F.sum(value).alias(name)))
     timed = join_null_safe(hot_rows_only.filter(F.col(second).isNotNull()), sums, [*keys, second])
     return (
         cold.unionByName(timed)

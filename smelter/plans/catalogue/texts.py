@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from smelter.functions.text import choice_key, code_key, digest, text_key
 from smelter.operators.joins import enrich
+from smelter.operators.lineage import cut_lineage
 from smelter.operators.logs import RULES, classify
 from smelter.operators.tags import API_LABELS, SESSION_LABELS, labels_of, tag
 from smelter.plans.catalogue.patterns import NOT_IN_CHOICE, SPACES
@@ -55,8 +56,8 @@ FROM guesses JOIN answers USING (c_nationkey) GROUP BY c_nationkey
 def choice_match(spark: SparkSession, sf: str) -> DataFrame:
     customers = table(spark, sf, "customer").select("c_nationkey", "c_mktsegment")
     counts = customers.groupBy("c_nationkey", "c_mktsegment").agg(F.count("*").alias("n"))
-    answers = counts.groupBy("c_nationkey").agg(
-        F.max(F.struct("n", "c_mktsegment"))["c_mktsegment"].alias("correct"))
+    answers = cut_lineage(counts.groupBy("c_nationkey").agg(
+        F.max(F.struct("n", "c_mktsegment"))["c_mktsegment"].alias("correct")))
     guess = F.concat(F.lit("  ("), F.lower("c_mktsegment"), F.lit(")! "))
     guesses = customers.select("c_nationkey", guess.alias("guess"))
     marked = enrich(guesses, answers, "c_nationkey", "inner")

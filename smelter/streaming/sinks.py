@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from smelter.operators.dedup import latest_by_key, upsert
+from smelter.operators.lineage import kept
 from smelter.sources.snapshots import with_bucket
 from smelter.sources.writers import replace_partitions
 
@@ -38,9 +39,8 @@ def upsert_into(path: str, keys: Sequence[str], order: Sequence[Column],
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # Kept for the two uses below: a batch of a stateful stream is costly to redo.
-        fresh = with_bucket(latest_by_key(batch, keys, order), keys[0], buckets).persist()
-        try:
+        # Two uses below, and a batch of a stateful stream is costly to redo.
+        with kept(with_bucket(latest_by_key(batch, keys, order), keys[0], buckets)) as fresh:
             # Starts an empty table before the first batch, keeps what is there after it.
             spark.createDataFrame([], fresh.schema).write.mode("ignore").parquet(path)
             stored = spark.read.schema(fresh.schema).parquet(path)
@@ -48,7 +48,5 @@ def upsert_into(path: str, keys: Sequence[str], order: Sequence[Column],
             touched = F.broadcast(fresh.select("_bucket").distinct())
             merged = upsert(stored.join(touched, "_bucket", "left_semi"), fresh, keys, order)
             replace_partitions(merged.hint("rebalance", "_bucket"), path, ["_bucket"])
-        finally:
-            fresh.unpersist()
 
     return write

@@ -24,6 +24,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 SALTS = 64
 
 COUNT_SCHEMA = "user_id bigint, salt bigint, n_events bigint, total_value double"
+IDLE_SCHEMA = "user_id bigint, salt bigint, n_events bigint"
 LATEST_SCHEMA = "user_id bigint, salt bigint, event_ids array<bigint>, times array<timestamp>"
 
 
@@ -38,12 +39,13 @@ def rocksdb_state(spark: SparkSession):
         spark.conf.set(STATE_STORE, before)
 
 
-def _track(events: DataFrame, hot_users: DataFrame, processor: StatefulProcessor, schema: str) -> DataFrame:
+def _track(events: DataFrame, hot_users: DataFrame, processor: StatefulProcessor, schema: str,
+           time_mode: str = "None") -> DataFrame:
     hot = broadcast_checked(hot_users.select("user_id").withColumn("_hot", F.lit(True)))
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("event_id"), F.lit(SALTS))).otherwise(F.lit(0))
     salted = events.join(hot, "user_id", "left").withColumn("salt", salt).drop("_hot")
     return salted.groupBy("user_id", "salt").transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=schema, outputMode="Update", timeMode="None")
+        statefulProcessor=processor, outputStructType=schema, outputMode="Update", timeMode=time_mode)
 
 
 def event_counts(events: DataFrame, hot_users: DataFrame) -> DataFrame:
@@ -98,6 +100,38 @@ def latest_events(events: DataFrame, hot_users: DataFrame, keep: int) -> DataFra
     return _track(events, hot_users, Latest(), LATEST_SCHEMA)
 
 
+def idle_users(events: DataFrame, hot_users: DataFrame, idle_ms: int) -> DataFrame:
+    """A row per user and salt that has had no event for ``idle_ms`` of processing time.
+
+    Every batch with events of the key moves its one timer. A query with timers only
+    ends when it is stopped.
+    """
+
+    class Idle(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self._handle = handle
+            self._seen = handle.getValueState("seen", "n bigint, timer bigint")
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+            n, timer = self._seen.get() or (0, None)
+            if timer is not None:
+                self._handle.deleteTimer(timer)
+            timer = timerValues.getCurrentProcessingTimeInMs() + idle_ms
+            self._handle.registerTimer(timer)
+            self._seen.update((n + sum(len(batch) for batch in rows), timer))
+            return iter(())
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            n, _ = self._seen.get()
+            self._seen.clear()
+            yield pd.DataFrame({"user_id": [key[0]], "salt": [key[1]], "n_events": [n]})
+
+        def close(self) -> None:
+            pass
+
+    return _track(events, hot_users, Idle(), IDLE_SCHEMA, "ProcessingTime")
+
+
 def combine_latest(states: DataFrame, keep: int) -> DataFrame:
     """Per user, the ids of the latest ``keep`` events, oldest first."""
     by_time = F.array_sort(F.flatten(F.collect_list(F.arrays_zip("times", "event_ids"))))

@@ -6,8 +6,11 @@ import re
 
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from smelter.operators.joins import enrich
+from smelter.operators.lineage import kept
 
 WRITING = {"flows_gold", "partition_pruned", "incremental_files"}
 READ_ONLY = [n for n in sorted(contract.queries())
@@ -94,3 +97,32 @@ def test_maps_do_not_shuffle(plans, name):
     ("doc_tokens", 1), ("norm_text_dups", 1), ("medallion_silver", 1), ("funnel_progress", 2)])
 def test_shuffles_are_as_few_as_can_be(plans, name, exchanges):
     assert plans[name].count("Exchange hashpartitioning") == exchanges, plans[name]
+
+
+def test_a_hot_join_key_is_split(spark):
+    """The part of a sort-merge join that holds a third of the facts runs as several tasks."""
+    facts = spark.range(0, 300_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    dimension = spark.range(-1, 300_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = enrich(facts, dimension, "k", max_rows=10)
+        assert joined.filter("w IS NULL").count() == 0
+        joined.write.format("noop").mode("overwrite").save()
+        assert len(joined.collect()) == 300_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_kept_only_inside_its_block(spark):
+    silver = spark.range(10).withColumn("x", F.col("id") * 2)
+    with kept(silver) as held:
+        assert held.groupBy().sum("x").first()[0] == 90
+        assert "InMemoryTableScan" in held.filter("x > 4")._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryTableScan" not in silver.filter("x > 4")._jdf.queryExecution().executedPlan().toString()

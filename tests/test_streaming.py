@@ -8,6 +8,7 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from smelter.sources.readers import table
+from smelter.streaming import state
 from smelter.streaming.sinks import start_batches, start_files, upsert_into
 from smelter.streaming.sources import bronze_stream, file_stream, parse_messages, with_event_time
 from smelter.streaming.windows import drop_replays, time_windows
@@ -144,3 +145,22 @@ def test_watermark_takes_the_events_table(spark):
     events = with_event_time(table(spark, SMALL, "events"))
     assert dict(events.dtypes)["ts"] == "timestamp"
     assert events.withWatermark("ts", "10 minutes").count() == 1000
+
+
+def test_idle_users(spark, folder):
+    folder.drop([(1, 1, at(1), 1.0), (2, 1, at(2), 1.0), (3, 2, at(1), 1.0)])
+    with state.rocksdb_state(spark):
+        idle = state.idle_users(folder.stream(), spark.createDataFrame([(2,)], "user_id bigint"), 1000)
+        query = start_batches(idle, lambda batch, _: batch.write.mode("append").parquet(folder.out),
+                              folder.state, "update", {"processingTime": "1 second"})
+    try:
+        deadline = time.monotonic() + 120
+        rows = []
+        while not rows and time.monotonic() < deadline:
+            time.sleep(1)
+            if any(folder.path.glob("out/_SUCCESS")):
+                rows = folder.result().collect()
+    finally:
+        query.stop()
+    assert sorted((r.user_id, r.n_events) for r in rows) == [(1, 2), (2, 1)]
+    assert spark.conf.get(state.STATE_STORE) != state.ROCKSDB
