@@ -22,7 +22,7 @@ from smelter.operators.lineage import cut_lineage
 # Largest window group left in one piece.
 HOT_ROWS = 2_000_000
 # Most blocks one group is cut into; keeps the list of cuts per group small.
-MAX_BLOCKS = 4096
+MAX_BLOCKS = 16_384
 # Block of rows whose order value is NULL: ascending windows see NULL first.
 NULL_BLOCK = -1
 
