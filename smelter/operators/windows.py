@@ -16,6 +16,9 @@ from smelter.operators.blocks import HOT_ROWS, Cuts, find_cuts, hot_groups
 from smelter.operators.joins import broadcast_checked, join_null_safe
 from smelter.operators.lineage import cut_lineage
 
+# Largest group whose trailing sums Spark takes row by row. Every row adds up its whole
+# frame there, so this is lower than for windows that look at each row once.
+TRAILING_HOT_ROWS = 100_000
 # Length in seconds of the pieces in which trailing sums of a hot group are taken.
 CHUNK_SECONDS = 86_400
 
@@ -164,7 +167,7 @@ def rank_all(df: DataFrame, by: str, name: str, hot_rows: int = HOT_ROWS) -> Dat
 
 
 def trailing_sum(df: DataFrame, keys: Sequence[str], second: str, value: str, seconds: int, name: str,
-                 hot_rows: int = HOT_ROWS) -> DataFrame:
+                 hot_rows: int = TRAILING_HOT_ROWS) -> DataFrame:
     """Sum of ``value`` over the group's rows of the last ``seconds`` up to and with this second.
 
     A hot group is first summed per second, which combines before the shuffle, and cut

@@ -70,7 +70,7 @@ SELECT event_id, user_id, round(sum(value) OVER (PARTITION BY user_id ORDER BY C
            RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW), 2) AS last_hour
 FROM events
 """)
-def trailing_hour_sum(spark: SparkSession, sf: str, hot_rows: int = windows.HOT_ROWS) -> DataFrame:
+def trailing_hour_sum(spark: SparkSession, sf: str, hot_rows: int = windows.TRAILING_HOT_ROWS) -> DataFrame:
     events = table(spark, sf, "events").select("event_id", "user_id", epoch_seconds("ts").alias("second"), "value")
     total = windows.trailing_sum(events, ["user_id"], "second", "value", 3600, "last_hour", hot_rows)
     return total.select("event_id", "user_id", F.round("last_hour", 2).alias("last_hour"))
