@@ -67,7 +67,7 @@ SELECT event_id,
        CAST(hour(ts) AS INTEGER) AS hour, CAST(minute(ts) AS INTEGER) AS minute,
        CAST(second(ts) AS INTEGER) AS second,
        CAST(floor(epoch(ts)) AS BIGINT) AS unix_time,
-       strftime(to_timestamp(floor(epoch(ts))) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS text_time,
+       strftime(ts, '%Y-%m-%d %H:%M:%S') AS text_time,
        CAST(strptime(strftime(ts, '%d/%m/%Y %H:%M'), '%d/%m/%Y %H:%M') AS TIMESTAMP) AS to_minute,
        CAST(ts AS DATE) AS day
 FROM events

@@ -9,7 +9,7 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from smelter.operators.joins import enrich
+from smelter.operators.joins import broadcast_checked, enrich, join_null_safe
 from smelter.operators.lineage import kept
 
 WRITING = {"flows_gold", "partition_pruned", "incremental_files"}
@@ -120,6 +120,17 @@ def test_a_hot_join_key_is_split(spark):
             spark.conf.set(k, v)
 
 
+def test_a_checked_broadcast_survives_a_null_safe_join(spark):
+    small = broadcast_checked(spark.range(10).select(F.col("id").alias("k"), F.lit(1).alias("w")))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = join_null_safe(spark.range(1000).select((F.col("id") % 20).alias("k")), small, ["k"], "left")
+        assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_kept_only_inside_its_block(spark):
     silver = spark.range(10).withColumn("x", F.col("id") * 2)
     with kept(silver) as held:
