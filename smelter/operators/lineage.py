@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -12,22 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder.
-
-    A cluster must name one in ``spark.checkpoint.dir``; only a local master
-    falls back to a temporary folder.
-    """
+    """The session's shared checkpoint folder: ``spark.checkpoint.dir``, or one below the warehouse."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="smelter-checkpoint-")
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     sc.setCheckpointDir(configured)
-    return configured
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -41,6 +34,12 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark)}/smelter-{uuid.uuid4().hex}"
 
 
+def remove_scratch(spark: SparkSession, folder: str) -> None:
+    """Delete a scratch folder that nothing reads any more, through the file system it lies in."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def kept(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
     """``df`` persisted inside a ``with`` block and released after it.
