@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import chat, urls
+from smelter.llm import chat, topk, urls, warc
 from smelter.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from smelter.sources.readers import table
 
@@ -54,3 +54,40 @@ URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example
 @query()
 def op3_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf, "pages"), URL_RULES)
+
+
+@query("""
+WITH bodies AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+),
+kept AS (
+    SELECT payload_digest, max(page_id) AS kept FROM bodies WHERE payload_bytes >= 1000 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN kept > page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN kept > page_id THEN kept END AS refers_to
+FROM bodies LEFT JOIN kept USING (payload_digest)
+""")
+def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
+    read = warc.round_trip(table(spark, sf, "pages"), with_payload=False)
+    return read.select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("""
+WITH vectors AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS parts
+    FROM embeddings
+),
+flat AS (SELECT vec_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS place FROM vectors),
+pairs AS (
+    SELECT q.vec_id AS query_id, v.vec_id, CAST(sum(q.part * v.part) AS BIGINT) AS score
+    FROM flat q JOIN flat v ON q.place = v.place AND q.vec_id <> v.vec_id
+    WHERE q.vec_id % 100 = 0 GROUP BY ALL
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, score
+FROM pairs QUALIFY rank <= 10
+""")
+def op10_topk(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings")
+    return topk.top_k(vectors, vectors.filter(F.pmod("vec_id", F.lit(100)) == 0))
