@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import chat, topk, urls, warc
+from smelter.llm import chat, langid, pii, quality, topk, urls, warc
 from smelter.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from smelter.sources.readers import table
 
@@ -91,3 +91,37 @@ FROM pairs QUALIFY rank <= 10
 def op10_topk(spark: SparkSession, sf: str) -> DataFrame:
     vectors = table(spark, sf, "embeddings")
     return topk.top_k(vectors, vectors.filter(F.pmod("vec_id", F.lit(100)) == 0))
+
+
+def held_out(modulus: int, left: int) -> Column:
+    """Whether crc32 of the document's id as text leaves this remainder; a null id counts as the empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % modulus == left
+
+
+@query()
+def op6_langid(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    dictionaries = langid.fit_dictionaries(docs.filter(~held_out(4, 2)))
+    return langid.identify(docs, dictionaries).select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op7_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    labelled = docs.join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id").filter(~held_out(5, 0))
+    odds = quality.fit(labelled)
+    scored = docs.select("doc_id", held_out(5, 0).alias("held_out"), quality.quality_of(F.col("text"), odds).alias("score"))
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+
+
+@query()
+def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = docs.select("doc_id", pii.personal_data(F.col("text"), with_masked=False).alias("found"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found.base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, pii.BASE_KINDS),
+                        F.sha2(pii.span_text(F.col("found.base")), 256).alias("base_sha256"),
+                        pii.span_text(F.col("found.spans")).alias("spans"))
