@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import chat, langid, pii, quality, topk, urls, warc
+from smelter.llm import chat, decontam, langid, pii, quality, topk, urls, warc
 from smelter.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from smelter.sources.readers import table
 
@@ -125,3 +125,25 @@ def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", *map(count, pii.BASE_KINDS),
                         F.sha2(pii.span_text(F.col("found.base")), 256).alias("base_sha256"),
                         pii.span_text(F.col("found.spans")).alias("spans"))
+
+
+@query("""
+WITH worded AS (
+    SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(lower(text), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS words
+    FROM documents
+    UNION ALL
+    SELECT 'i', item_id, regexp_extract_all(lower(text), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') FROM benchmark
+),
+placed AS (
+    SELECT kind, id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS place FROM worded WHERE len(words) > 0
+),
+shingles AS (SELECT DISTINCT kind, id, array_to_string(words[place:place + 4], ' ') AS shingle FROM placed),
+sizes AS (SELECT id AS item_id, count(*) AS item_shingles FROM shingles WHERE kind = 'i' GROUP BY id),
+met AS (
+    SELECT d.id AS doc_id, i.id AS item_id, count(*) AS shared
+    FROM shingles d JOIN shingles i USING (shingle) WHERE d.kind = 'd' AND i.kind = 'i' GROUP BY ALL
+)
+SELECT doc_id, item_id, shared, item_shingles FROM met JOIN sizes USING (item_id) WHERE shared * 100 >= item_shingles * 80
+""")
+def op2_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontam.find_contained(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
