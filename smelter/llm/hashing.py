@@ -77,21 +77,40 @@ def chunks(texts: Iterable[str | None], limit: int = CHUNK_BYTES) -> Iterator[tu
 
 
 def word_hashes(raws: list[bytes], separators: np.ndarray = BLANKS) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, A-Z lower-cased, in order, and how many words each text has."""
+    """Hashes of all words, A-Z lower-cased, in order, and how many words each text has.
+
+    A text far longer than a chunk is taken in pieces that end between words.
+    """
     buffer = np.frombuffer(b" ".join(raws) + b" ", dtype=np.uint8)
+    text_ends = np.cumsum(np.fromiter((len(r) + 1 for r in raws), np.int64, len(raws)))
+    pieces, begin = [], 0
+    while begin < len(buffer):
+        end = begin + CHUNK_BYTES * 2
+        while end < len(buffer):
+            apart = np.flatnonzero(separators[buffer[end:end + CHUNK_BYTES]])
+            if len(apart):
+                end += int(apart[0])
+                break
+            end += CHUNK_BYTES
+        pieces.append((begin, min(end, len(buffer))))
+        begin = pieces[-1][1]
+    found = [_piece_hashes(buffer[s:e], separators) for s, e in pieces]
+    starts = np.concatenate([own + s for (own, _), (s, _) in zip(found, pieces)])
+    upto = np.searchsorted(starts, text_ends)
+    return np.concatenate([h for _, h in found]), np.diff(upto, prepend=0)
+
+
+def _piece_hashes(buffer: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a buffer begin, and their hashes."""
     up, down = _power_tables(len(buffer) + 1)
-    apart = separators[buffer]
-    edges = np.flatnonzero(apart[1:] != apart[:-1]) + 1
-    if not apart[0]:
-        edges = np.concatenate(([0], edges))
+    apart = np.ones(len(buffer) + 2, dtype=bool)
+    apart[1:-1] = separators[buffer]
+    edges = np.flatnonzero(apart[1:] != apart[:-1])
     starts, ends = edges[0::2], edges[1::2]
     sums = _VALUES[buffer]
     sums *= up[:len(buffer)]
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(sums, dtype=np.uint64)))
-    hashes = mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-    text_ends = np.cumsum(np.fromiter((len(r) + 1 for r in raws), np.int64, len(raws)))
-    upto = np.searchsorted(starts, text_ends)
-    return hashes, np.diff(upto, prepend=0)
+    return starts, mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
 def shingle_hashes(words: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

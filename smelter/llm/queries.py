@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import chat, decontam, langid, pii, quality, topk, urls, warc
+from smelter.llm import chat, decontam, langid, ngram_join, pii, quality, topk, urls, warc
 from smelter.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from smelter.sources.readers import table
 
@@ -147,3 +147,33 @@ SELECT doc_id, item_id, shared, item_shingles FROM met JOIN sizes USING (item_id
 """)
 def op2_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontam.find_contained(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+),
+placed AS (
+    SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 1) + 1)) AS place FROM worded WHERE len(words) > 0
+),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(words[place:place + 2], ' ') AS shingle FROM placed),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+met AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+),
+links AS (
+    SELECT a, b FROM met JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * shared >= 90 * (x.n + y.n - shared)
+),
+reached AS (
+    SELECT a AS doc_id, a AS other FROM links
+    UNION
+    SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.other
+),
+smallest AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN smallest USING (doc_id)
+""")
+def op5_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.jaccard_groups(table(spark, sf, "documents"))
