@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import chat, decontam, langid, ngram_join, pii, quality, topk, urls, warc
+from smelter.llm import bpe, chat, decontam, langid, ngram_join, pii, quality, topk, urls, warc
 from smelter.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from smelter.sources.readers import table
 
@@ -177,3 +178,17 @@ FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN smallest USING (doc_id)
 """)
 def op5_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.jaccard_groups(table(spark, sf, "documents"))
+
+
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
+
+@query()
+def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path(RANKS)
+    encoded = bpe.encode(table(spark, sf, "documents"), path, public_tokenizers.PATTERN)
+    decoded = encoded.withColumn("decoded", bpe.decode(F.col("ids"), spark, path))
+    return decoded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
