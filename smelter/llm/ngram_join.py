@@ -25,15 +25,13 @@ from pyspark.sql import functions as F
 
 from smelter.llm.components import connected_components
 from smelter.llm.hashing import chunks, distinct_per_text, shingle_hashes, word_hashes
+from smelter.llm.keys import BROADCAST_BYTES, keep_keys
 from smelter.operators.lineage import cut_lineage
 
 #: Counters of the table that orders shingles; its size is fixed, so it can be sent to every task.
 COUNTERS = 1 << 20
 _SHIFT = np.uint64(64 - 20)
 _SLICE = 1 << 14
-#: Documents needed for verification are sent to the scan while their keys stay below this; beyond it, rows are shuffled.
-BROADCAST_BYTES = 16 * 1024 * 1024
-_KEY_BYTES = 64
 
 
 def _text_sets(texts: list[str | None], n: int) -> Iterator[np.ndarray]:
@@ -158,9 +156,6 @@ def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, neede
     """The pairs that reach the threshold, as stored edges u, v. Only sets that occur in pairs are fetched."""
     wanted = pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).distinct()
     keys = cut_lineage(wanted.join(classes, "digest").select("digest", "rep"))
-    asked = keys.select("rep").distinct()
-    if keys.count() * _KEY_BYTES <= broadcast_bytes:
-        asked = F.broadcast(asked)
 
     @F.pandas_udf("digest binary, shingles binary")
     def fetch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -168,7 +163,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, neede
             found = list(_text_sets(_strings(batch), n))
             yield pd.DataFrame({"digest": list(map(_digest, found)), "shingles": [s.tobytes() for s in found]})
 
-    texts = docs.join(asked, docs["doc_id"].eqNullSafe(asked["rep"]), "left_semi")
+    texts = keep_keys(docs, keys.select(F.col("rep").alias("doc_id")).distinct(), limit=broadcast_bytes)
     sets = texts.select(fetch("text").alias("s")).select("s.*").join(keys.select("digest"), "digest", "left_semi")
     sets = sets.groupBy("digest").agg(F.first("shingles").alias("shingles"))
 
