@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smelter.operators.joins import broadcast_checked, join_null_safe
-from smelter.operators.lineage import cut_lineage
+from smelter.operators.joins import join_null_safe
 
 
 def product_summary(df: DataFrame, product: str, total: str) -> DataFrame:
@@ -60,10 +59,10 @@ def share_of_group_max(df: DataFrame, keys: Sequence[str], value: str, name: str
     """``value`` over the largest value of its group.
 
     The maximum is aggregated first and joined back, so a hot group is never sorted
-    or collected in one task. It is stored, as counting and joining it are two uses.
+    or collected in one task; how to join it is left to adaptive execution.
     """
-    top = cut_lineage(df.groupBy(*keys).agg(F.max(value).alias("_max")))
-    joined = join_null_safe(df, broadcast_checked(top), keys)
+    top = df.groupBy(*keys).agg(F.max(value).alias("_max"))
+    joined = join_null_safe(df, top, keys)
     return joined.select(*df.columns, F.try_divide(value, "_max").alias(name))
 
 

@@ -1,57 +1,25 @@
 """Cutting hot window groups into ordered blocks.
 
-A window function needs its whole partition in one task. Where a group is larger
-than a task should take, it is cut along its order column into blocks of similar
-size: the window runs per (group, block), and one small row per block carries what
-the blocks before it contribute. The cuts are stored before use, so every part of a
-plan sees the same ones even when tasks are re-run.
+A window function needs its whole partition in one task. Rows of groups larger than a task should
+take are range-partitioned by the group's keys and the full unique order, and the number of the
+partition is their block: neither equal order values nor NULLs keep rows together, and no list
+of cuts grows with the group. The window runs per (group, block), and one small row per block carries
+what the blocks before it contribute. The blocks are stored before use, so every part of a plan
+sees the same ones even when tasks are re-run.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smelter.operators.joins import broadcast_checked, join_null_safe
+from smelter.operators.joins import join_null_safe
 from smelter.operators.lineage import cut_lineage
 
 # Largest window group left in one piece.
 HOT_ROWS = 2_000_000
-# Most blocks one group is cut into; keeps the list of cuts per group small.
-MAX_BLOCKS = 16_384
-# Block of rows whose order value is NULL: ascending windows see NULL first.
-NULL_BLOCK = -1
-
-
-@dataclass(frozen=True)
-class Cuts:
-    """Cut points of the hot groups: ``keys``, ``_rows``, ``_cuts`` and ``_heads``."""
-
-    table: DataFrame
-    keys: tuple[str, ...]
-    stride: int
-
-    def attach(self, df: DataFrame, order_value: Column) -> DataFrame:
-        """``df`` with ``_rows`` (NULL outside hot groups) and ``_block`` (0 there)."""
-        joined = join_null_safe(df, broadcast_checked(self.table), self.keys, "left").withColumn("_at", order_value)
-        # Two short scans instead of one long one: first over every stride-th cut,
-        # then within the stride found.
-        head = F.size(F.filter("_heads", lambda cut: cut <= F.col("_at")))
-        start = F.greatest(head - 1, F.lit(0)) * self.stride
-        within = F.size(
-            F.filter(F.slice("_cuts", start + 1, F.lit(self.stride)), lambda cut: cut <= F.col("_at"))
-        )
-        block = (
-            F.when(F.col("_rows").isNull(), 0)
-            .when(F.col("_at").isNull(), NULL_BLOCK)
-            .when(head == 0, 0)
-            .otherwise(start + within)
-        )
-        return joined.withColumn("_block", block).drop("_cuts", "_heads", "_at")
 
 
 def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -59,35 +27,19 @@ def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) ->
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
 
 
-def find_cuts(df: DataFrame, keys: Sequence[str], order_value: Column, hot_rows: int = HOT_ROWS) -> Cuts | None:
-    """Cuts for the hot groups of ``df``, or None when every group fits one task.
+def split_hot(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+              hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame] | None:
+    """Rows of groups that fit one task, and those of hot groups with ``_rows`` and ``_block``.
 
-    The check is one aggregation over the key columns that combines before its
-    shuffle; cut points are quantiles of ``order_value`` within each hot group.
+    None when every group fits, which one aggregation over the keys decides; it combines before its
+    shuffle. ``order`` must be unique within a group. Block numbers grow along the order.
     """
-    hot = hot_groups(df, keys, hot_rows)
-    largest = hot.agg(F.max("_rows")).first()[0]
-    if largest is None:
+    hot = cut_lineage(hot_groups(df, keys, hot_rows))
+    total = hot.agg(F.sum("_rows")).first()[0]
+    if total is None:
         return None
-    hot = cut_lineage(hot)
-    blocks = min(MAX_BLOCKS, max(2, 2 * math.ceil(largest / hot_rows)))
-    stride = math.isqrt(blocks - 1) + 1
-    shares = [i / blocks for i in range(1, blocks)]
-    at = df.select(*keys, order_value.cast("double").alias("_at"))
-    quantiles = (
-        join_null_safe(at, broadcast_checked(hot), keys)
-        .groupBy(*keys, "_rows")
-        .agg(F.percentile_approx("_at", shares, 20 * blocks).alias("_all"))
-    )
-    # Smaller hot groups keep every n-th cut, so all cuts together number about
-    # 2 * all rows / hot_rows.
-    step = F.greatest(F.floor(F.lit(blocks) * hot_rows / (2 * F.col("_rows"))), F.lit(1))
-    thinned = quantiles.withColumn(
-        "_cuts",
-        F.array_distinct(F.filter(F.coalesce("_all", F.array().cast("array<double>")),
-                                  lambda _, i: (i + 1) % step == 0)),
-    )
-    table = thinned.select(
-        *keys, "_rows", "_cuts", F.filter("_cuts", lambda _, i: i % stride == 0).alias("_heads")
-    )
-    return Cuts(cut_lineage(table), tuple(keys), stride)
+    marked = join_null_safe(df, hot, keys, "left")
+    blocks = -(-total // hot_rows)
+    dealt = marked.filter(F.col("_rows").isNotNull()).repartitionByRange(blocks, *keys, *order)
+    blocked = cut_lineage(dealt.withColumn("_block", F.spark_partition_id()))
+    return marked.filter(F.col("_rows").isNull()).drop("_rows"), blocked

@@ -9,19 +9,19 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A side is broadcast only when a count shows it has no more rows than this. The
-# sides passed here are narrow (a key and a few attributes), so this is tens of MB.
-BROADCAST_ROWS = 500_000
 
+def broadcast_checked(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Hint a broadcast when the plan's own size of ``df`` is within a limit, else leave the choice to Spark.
 
-def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when ``df`` is counted to be small, else leave the choice to Spark.
-
-    Counting a table reads no columns; store a computed ``df`` before it is passed
-    here, or it is computed for the count and again for the join. Past the limit the join runs as a sort-merge join,
-    whose skewed partitions adaptive execution splits.
+    The limit defaults to the session's ``spark.sql.autoBroadcastJoinThreshold``. No job runs for the check: the
+    size is that of the files and columns read, and of computed sides an estimate that errs upwards. Past
+    the limit adaptive execution decides by the bytes it has measured, and a sort-merge join's
+    skewed partitions are split.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    if max_bytes is None:
+        max_bytes = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if size <= max_bytes else df
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -32,9 +32,9 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def enrich(facts: DataFrame, dimension: DataFrame, on: str | Sequence[str], how: str = "left",
-           max_rows: int = BROADCAST_ROWS) -> DataFrame:
+           max_bytes: int | None = None) -> DataFrame:
     """Add a dimension's columns to facts without shuffling the facts when it is small."""
-    return facts.join(broadcast_checked(dimension, max_rows), on=on, how=how)
+    return facts.join(broadcast_checked(dimension, max_bytes), on=on, how=how)
 
 
 def matching(df: DataFrame, other: DataFrame, on: Column | str | Sequence[str]) -> DataFrame:

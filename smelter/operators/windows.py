@@ -2,7 +2,7 @@
 
 Each function uses the plain Spark window as long as every group fits a task, which
 one cheap count per group decides, and otherwise runs it per block (see ``blocks``).
-``order_value`` is a number that grows with the first order column.
+Positions are bigint either way.
 """
 
 from __future__ import annotations
@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from smelter.operators.blocks import HOT_ROWS, Cuts, find_cuts, hot_groups
-from smelter.operators.joins import broadcast_checked, join_null_safe
+from smelter.operators.blocks import HOT_ROWS, hot_groups, split_hot
+from smelter.operators.joins import join_null_safe
 from smelter.operators.lineage import cut_lineage
 
 # Largest group whose trailing sums Spark takes row by row. Every row adds up its whole
@@ -23,124 +23,153 @@ TRAILING_HOT_ROWS = 100_000
 CHUNK_SECONDS = 86_400
 
 
-def _hot_blocks(blocked: DataFrame, cuts: Cuts, *aggregates: Column) -> DataFrame:
-    """One row per block of each hot group; combines before its shuffle."""
-    return blocked.filter(F.col("_rows").isNotNull()).groupBy(*cuts.keys, "_block").agg(*aggregates)
+def _with_carry(blocked: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each row with what the blocks before and after its own contribute: one row per block."""
+    return join_null_safe(blocked, carry, [*keys, "_block"], "left")
 
 
-def _with_carry(blocked: DataFrame, carry: DataFrame, cuts: Cuts) -> DataFrame:
-    return join_null_safe(blocked, broadcast_checked(cut_lineage(carry)), [*cuts.keys, "_block"], "left")
+def _before(keys: Sequence[str]) -> Window:
+    return Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
 
 
-def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], order_value: Column,
-                  value: str, name: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str,
+                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """Sum of ``value`` from the group's first row to this one; ``order`` must be unique."""
-    cuts = find_cuts(df, keys, order_value, hot_rows)
-    if cuts is None:
-        upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    parts = split_hot(df, keys, order, hot_rows)
+    if parts is None:
         return df.withColumn(name, F.sum(value).over(upto))
-    blocked = cuts.attach(df, order_value)
-    upto = Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carry = _hot_blocks(blocked, cuts, F.sum(value).alias("_sum")).select(
-        *keys, "_block", F.sum("_sum").over(before).alias("_carry")
-    )
-    local = blocked.withColumn("_local", F.sum(value).over(upto))
+    cold, hot = parts
+    in_block = Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    carry = hot.groupBy(*keys, "_block").agg(F.sum(value).alias("_sum")).select(
+        *keys, "_block", F.sum("_sum").over(_before(keys)).alias("_carry"))
+    local = hot.withColumn("_local", F.sum(value).over(in_block))
     # NULL only while neither this block nor an earlier one has had a value.
     total = F.coalesce(F.col("_local") + F.col("_carry"), "_local", "_carry")
-    return _with_carry(local, carry, cuts).select(*df.columns, total.alias(name))
+    placed = _with_carry(local, carry, keys).select(*df.columns, total.alias(name))
+    return cold.withColumn(name, F.sum(value).over(upto)).unionByName(placed)
 
 
-def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], order_value: Column,
-               value: str, before: str, after: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, before: str, after: str,
+               hot_rows: int = HOT_ROWS) -> DataFrame:
     """``value`` of the previous and the next row of the group; ``order`` must be unique."""
-    cuts = find_cuts(df, keys, order_value, hot_rows)
-    if cuts is None:
-        in_order = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({before: F.lag(value).over(in_order), after: F.lead(value).over(in_order)})
-    blocked = cuts.attach(df, order_value)
+    in_order = Window.partitionBy(*keys).orderBy(*order)
+    beside = {before: F.lag(value).over(in_order), after: F.lead(value).over(in_order)}
+    parts = split_hot(df, keys, order, hot_rows)
+    if parts is None:
+        return df.withColumns(beside)
+    cold, hot = parts
     block = Window.partitionBy(*keys, "_block")
-    in_order = block.orderBy(*order)
+    in_block = block.orderBy(*order)
     across = Window.partitionBy(*keys).orderBy("_block")
     position = F.struct(*order)
     carry = (
-        _hot_blocks(blocked, cuts,
-                    F.min_by(F.struct(value), position).alias("_first"),
-                    F.max_by(F.struct(value), position).alias("_last"))
+        hot.groupBy(*keys, "_block").agg(
+            F.min_by(F.struct(value), position).alias("_first"),
+            F.max_by(F.struct(value), position).alias("_last"))
         .select(*keys, "_block",
                 F.lag(f"_last.{value}").over(across).alias("_before"),
                 F.lead(f"_first.{value}").over(across).alias("_after"))
     )
-    local = blocked.withColumns({
-        "_n": F.row_number().over(in_order),
+    local = hot.withColumns({
+        "_n": F.row_number().over(in_block),
         "_of": F.count(F.lit(1)).over(block),
-        before: F.lag(value).over(in_order),
-        after: F.lead(value).over(in_order),
+        before: F.lag(value).over(in_block),
+        after: F.lead(value).over(in_block),
     })
-    return _with_carry(local, carry, cuts).select(
+    placed = _with_carry(local, carry, keys).select(
         *df.columns,
         F.when(F.col("_n") == 1, F.col("_before")).otherwise(F.col(before)).alias(before),
         F.when(F.col("_n") == F.col("_of"), F.col("_after")).otherwise(F.col(after)).alias(after),
     )
+    return cold.withColumns(beside).unionByName(placed)
 
 
-def rank_family(df: DataFrame, keys: Sequence[str], by: str, tie: str, tiles: int,
-                hot_rows: int = HOT_ROWS) -> DataFrame:
-    """All ranking functions over a numeric column, ascending.
+def _long_positions(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("bigint") for c in ("row_number", "rank", "dense_rank")})
+
+
+def _ranked(df: DataFrame, keys: Sequence[str], by: str, order: Column, tie: Column, tiles: int) -> DataFrame:
+    in_order = Window.partitionBy(*keys).orderBy(order)
+    unique = Window.partitionBy(*keys).orderBy(order, tie)
+    return _long_positions(df.withColumns({
+        "row_number": F.row_number().over(unique),
+        "rank": F.rank().over(in_order),
+        "dense_rank": F.dense_rank().over(in_order),
+        "percent_rank": F.percent_rank().over(in_order),
+        "ntile": F.ntile(tiles).over(unique),
+        "cume_dist": F.cume_dist().over(in_order),
+    }))
 
-    ``row_number`` and ``ntile`` order ties by ``tie``; the others let ties share.
+
+def _ranked_in_blocks(hot: DataFrame, keys: Sequence[str], by: str, order: Column, tie: Column,
+                      tiles: int) -> DataFrame:
+    """All ranks of rows in blocks, from counts per block and per value.
+
+    A value may run through several blocks. Its rank follows from the block where it begins, and
+    how many rows lie up to it from the block where it ends; such values are at most as many as blocks.
     """
-    cuts = find_cuts(df, keys, F.col(by), hot_rows)
-    if cuts is None:
-        in_order = Window.partitionBy(*keys).orderBy(by)
-        unique = Window.partitionBy(*keys).orderBy(by, tie)
-        return df.withColumns({
-            "row_number": F.row_number().over(unique),
-            "rank": F.rank().over(in_order),
-            "dense_rank": F.dense_rank().over(in_order),
-            "percent_rank": F.percent_rank().over(in_order),
-            "ntile": F.ntile(tiles).over(unique),
-            "cume_dist": F.cume_dist().over(in_order),
-        })
-    blocked = cuts.attach(df, F.col(by))
-    block = Window.partitionBy(*keys, "_block")
-    in_order = block.orderBy(by)
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    # Equal values are always in one block, so distinct values add up over blocks.
-    values = blocked.filter(F.col("_rows").isNotNull()).groupBy(*keys, "_block", by).agg(
-        F.count(F.lit(1)).alias("_n"))
-    carry = (
-        values.groupBy(*keys, "_block").agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_d"))
-        .select(*keys, "_block",
-                F.sum("_n").over(before).alias("_n_before"), F.sum("_d").over(before).alias("_d_before"))
-    )
-    local = blocked.withColumns({
-        "_rn": F.row_number().over(block.orderBy(by, tie)),
-        "_rk": F.rank().over(in_order),
-        "_dr": F.dense_rank().over(in_order),
-        "_upto": F.count(F.lit(1)).over(in_order.rangeBetween(Window.unboundedPreceding, 0)),
-        "_of": F.coalesce("_rows", F.count(F.lit(1)).over(block)),
+    in_block = Window.partitionBy(*keys, "_block")
+    values = hot.groupBy(*keys, "_block", by).agg(F.count(F.lit(1)).alias("_n"))
+    blocks = values.groupBy(*keys, "_block").agg(F.sum("_n").alias("_in"), F.count(F.lit(1)).alias("_d"))
+    before = blocks.select(*keys, "_block", "_in", "_d",
+                           F.coalesce(F.sum("_in").over(_before(keys)), F.lit(0)).alias("_n_before"))
+    spans = (values.groupBy(*keys, by).agg(F.min("_block").alias("_lo"), F.max("_block").alias("_hi"))
+             .filter("_lo < _hi"))
+    at_lo = join_null_safe(spans.withColumnRenamed("_lo", "_block"), values, [*keys, "_block", by])
+    at_lo = join_null_safe(at_lo, before, [*keys, "_block"]).select(
+        *keys, by, (F.col("_n_before") + F.col("_in") - F.col("_n") + 1).alias("_span_rank"), F.col("_block").alias("_lo"))
+    at_hi = join_null_safe(spans.withColumnRenamed("_hi", "_block"), values, [*keys, "_block", by])
+    at_hi = join_null_safe(at_hi, before, [*keys, "_block"]).select(
+        *keys, by, (F.col("_n_before") + F.col("_n")).alias("_span_upto"), F.col("_block").alias("_hi"))
+    ranges = join_null_safe(at_lo, at_hi, [*keys, by])
+    # A block that goes on with the value before it counts that value once more.
+    again = ranges.select(*keys, F.explode(F.sequence(F.col("_lo") + 1, "_hi")).alias("_block"))
+    again = again.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_again"))
+    upto = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
+    carry = join_null_safe(before, again, [*keys, "_block"], "left").select(
+        *keys, "_block", "_n_before",
+        (F.coalesce(F.sum("_d").over(_before(keys)), F.lit(0))
+         - F.sum(F.coalesce("_again", F.lit(0))).over(upto)).alias("_d_before"))
+    local = hot.withColumns({
+        "_rn": F.row_number().over(in_block.orderBy(order, tie)),
+        "_rk": F.rank().over(in_block.orderBy(order)),
+        "_dr": F.dense_rank().over(in_block.orderBy(order)),
+        "_upto": F.count(F.lit(1)).over(in_block.orderBy(order).rangeBetween(Window.unboundedPreceding, 0)),
     })
-    skipped = F.coalesce("_n_before", F.lit(0))
-    placed = _with_carry(local, carry, cuts).withColumns({
-        "row_number": (F.col("_rn") + skipped).cast("int"),
-        "rank": (F.col("_rk") + skipped).cast("int"),
-        "dense_rank": (F.col("_dr") + F.coalesce("_d_before", F.lit(0))).cast("int"),
-        "cume_dist": (F.col("_upto") + skipped) / F.col("_of"),
+    placed = join_null_safe(_with_carry(local, cut_lineage(carry), keys),
+                            cut_lineage(ranges.drop("_lo", "_hi")), [*keys, by], "left").withColumns({
+        "row_number": F.col("_rn") + F.col("_n_before"),
+        "rank": F.coalesce("_span_rank", F.col("_rk") + F.col("_n_before")),
+        "dense_rank": F.col("_dr") + F.col("_d_before"),
+        "cume_dist": F.coalesce("_span_upto", F.col("_upto") + F.col("_n_before")) / F.col("_rows"),
     })
-    small = F.floor(F.col("_of") / tiles)
-    larger = F.col("_of") % tiles
+    small = F.floor(F.col("_rows") / tiles)
+    larger = F.col("_rows") % tiles
     in_larger = larger * (small + 1)
     tile = F.when(
         F.col("row_number") <= in_larger, F.floor((F.col("row_number") - 1) / (small + 1)) + 1
     ).otherwise(larger + F.floor((F.col("row_number") - 1 - in_larger) / F.greatest(small, F.lit(1))) + 1)
-    return placed.select(
-        *df.columns, "row_number", "rank", "dense_rank",
-        F.when(F.col("_of") > 1, (F.col("rank") - 1) / (F.col("_of") - 1)).otherwise(F.lit(0.0))
-        .alias("percent_rank"),
-        tile.cast("int").alias("ntile"),
-        "cume_dist",
-    )
+    return _long_positions(placed.withColumns({
+        "percent_rank": F.when(F.col("_rows") > 1, (F.col("rank") - 1) / (F.col("_rows") - 1)).otherwise(F.lit(0.0)),
+        "ntile": tile.cast("int"),
+    }))
+
+
+def rank_family(df: DataFrame, keys: Sequence[str], by: str, tie: str, tiles: int,
+                hot_rows: int = HOT_ROWS) -> DataFrame:
+    """All ranking functions over a column, ascending.
+
+    ``row_number`` and ``ntile`` order ties by ``tie``, which makes the order unique; the others let ties share.
+    """
+    ranks = ["row_number", "rank", "dense_rank", "percent_rank", "ntile", "cume_dist"]
+    order, last = F.asc(by), F.asc(tie)
+    parts = split_hot(df, keys, [order, last], hot_rows)
+    if parts is None:
+        return _ranked(df, keys, by, order, last, tiles)
+    cold, hot = parts
+    return _ranked(cold, keys, by, order, last, tiles).unionByName(
+        _ranked_in_blocks(hot, keys, by, order, last, tiles).select(*df.columns, *ranks))
 
 
 def rank_all(df: DataFrame, by: str, name: str, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -150,20 +179,12 @@ def rank_all(df: DataFrame, by: str, name: str, hot_rows: int = HOT_ROWS) -> Dat
     computed once to count its rows and again to rank them.
     """
     stored = cut_lineage(df)
-    if stored.count() <= hot_rows:
-        return stored.withColumn(name, F.rank().over(Window.orderBy(F.desc(by))))
-    # Only for cutting: highest first, with NaN at the front and NULL at the end.
-    as_double = F.col(by).cast("double")
-    value = F.when(F.isnan(as_double), float("-inf")).otherwise(F.coalesce(-as_double, F.lit(float("inf"))))
-    whole = stored.withColumn("_whole", F.lit(0)).withColumn("_by", value)
-    cuts = find_cuts(whole, ["_whole"], F.col("_by"), hot_rows)
-    blocked = cuts.attach(whole, F.col("_by"))
-    before = Window.partitionBy("_whole").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carry = _hot_blocks(blocked, cuts, F.count(F.lit(1)).alias("_n")).select(
-        "_whole", "_block", F.sum("_n").over(before).alias("_n_before"))
-    local = blocked.withColumn("_rk", F.rank().over(Window.partitionBy("_whole", "_block").orderBy(F.desc(by))))
-    return _with_carry(local, carry, cuts).select(
-        *df.columns, (F.col("_rk") + F.coalesce("_n_before", F.lit(0))).cast("int").alias(name))
+    whole = stored.withColumns({"_whole": F.lit(0), "_tie": F.monotonically_increasing_id()})
+    parts = split_hot(whole, ["_whole"], [F.desc(by), F.asc("_tie")], hot_rows)
+    if parts is None:
+        return stored.withColumn(name, F.rank().over(Window.orderBy(F.desc(by))).cast("bigint"))
+    ranked = _ranked_in_blocks(parts[1], ["_whole"], by, F.desc(by), F.asc("_tie"), 1)
+    return ranked.select(*df.columns, F.col("rank").alias(name))
 
 
 def trailing_sum(df: DataFrame, keys: Sequence[str], second: str, value: str, seconds: int, name: str,
@@ -178,7 +199,7 @@ def trailing_sum(df: DataFrame, keys: Sequence[str], second: str, value: str, se
     hot = hot_groups(df, keys, hot_rows)
     if hot.agg(F.max("_rows")).first()[0] is None:
         return df.withColumn(name, F.sum(value).over(frame))
-    marked = join_null_safe(df, broadcast_checked(cut_lineage(hot)), keys, "left")
+    marked = join_null_safe(df, cut_lineage(hot), keys, "left")
     cold = marked.filter(F.col("_rows").isNull()).drop("_rows").withColumn(name, F.sum(value).over(frame))
     hot_rows_only = marked.filter(F.col("_rows").isNotNull()).drop("_rows")
     length = max(CHUNK_SECONDS, seconds)
@@ -201,6 +222,6 @@ def trailing_sum(df: DataFrame, keys: Sequence[str], second: str, value: str, se
     timed = join_null_safe(hot_rows_only.filter(F.col(second).isNotNull()), sums, [*keys, second])
     return (
         cold.unionByName(timed)
-        .unionByName(join_null_safe(untimed, broadcast_checked(per_key), keys))
+        .unionByName(join_null_safe(untimed, per_key, keys))
         .select(*df.columns, name)
     )

@@ -90,7 +90,7 @@ summary AS (
     GROUP BY p_type
 )
 SELECT product, order_count, total_revenue, round(avg_order_value, 4) AS avg_order_value,
-       CAST(rank() OVER (ORDER BY total_revenue DESC) AS INTEGER) AS revenue_rank
+       rank() OVER (ORDER BY total_revenue DESC) AS revenue_rank
 FROM summary
 """)
 def medallion_gold(spark: SparkSession, sf: str) -> DataFrame:

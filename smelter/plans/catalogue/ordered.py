@@ -18,8 +18,7 @@ FROM events
 """)
 def running_total(spark: SparkSession, sf: str, hot_rows: int = windows.HOT_ROWS) -> DataFrame:
     events = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
-    total = windows.running_total(events, ["user_id"], ["ts", "event_id"], epoch_micros("ts"), "value",
-                                  "running_total", hot_rows)
+    total = windows.running_total(events, ["user_id"], ["ts", "event_id"], "value", "running_total", hot_rows)
     return total.select("event_id", "user_id", "ts", F.round("running_total", 2).alias("running_total"))
 
 
@@ -40,8 +39,8 @@ def moving_avg(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
 SELECT p_partkey, p_brand,
-       CAST(row_number() OVER u AS INTEGER) AS row_number, CAST(rank() OVER w AS INTEGER) AS rank,
-       CAST(dense_rank() OVER w AS INTEGER) AS dense_rank, percent_rank() OVER w AS percent_rank,
+       row_number() OVER u AS row_number, rank() OVER w AS rank, dense_rank() OVER w AS dense_rank,
+       percent_rank() OVER w AS percent_rank,
        CAST(ntile(4) OVER u AS INTEGER) AS ntile, cume_dist() OVER w AS cume_dist
 FROM part
 WINDOW w AS (PARTITION BY p_brand ORDER BY p_size),
@@ -59,8 +58,7 @@ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
 """)
 def event_gaps(spark: SparkSession, sf: str, hot_rows: int = windows.HOT_ROWS) -> DataFrame:
     events = table(spark, sf, "events").select("event_id", "user_id", "ts", epoch_micros("ts").alias("at"))
-    beside = windows.neighbours(events, ["user_id"], ["ts", "event_id"], F.col("at"), "at",
-                                "previous", "following", hot_rows)
+    beside = windows.neighbours(events, ["user_id"], ["ts", "event_id"], "at", "previous", "following", hot_rows)
     return beside.select("event_id", "user_id", (F.col("at") - F.col("previous")).alias("since_previous"),
                          (F.col("following") - F.col("at")).alias("until_next"))
 

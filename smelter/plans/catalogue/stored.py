@@ -36,7 +36,7 @@ summary AS (
     SELECT product, count(*) AS order_count, round(sum(total), 2) AS total_revenue FROM silver GROUP BY product
 )
 SELECT product, order_count, total_revenue,
-       CAST(rank() OVER (ORDER BY total_revenue DESC NULLS LAST) AS INTEGER) AS revenue_rank
+       rank() OVER (ORDER BY total_revenue DESC NULLS LAST) AS revenue_rank
 FROM summary
 """)
 def flows_gold(spark: SparkSession, sf: str) -> DataFrame:

@@ -8,17 +8,18 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
+import __spark_entry__  # noqa: F401  (registers the queries)
 from smelter.operators.joins import broadcast_checked, enrich, join_null_safe
 from smelter.operators.lineage import kept
+from smelter.plans.registry import QUERIES
 
 WRITING = {"flows_gold", "partition_pruned", "incremental_files"}
-READ_ONLY = [n for n in sorted(contract.queries())
+READ_ONLY = [n for n in sorted(QUERIES)
              if not n.startswith(("stream_", "snapshot_")) and n not in WRITING]
 
 
 def plan_of(spark, name) -> str:
-    return contract.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    return QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.fixture(scope="module")
@@ -66,10 +67,7 @@ def test_small_side_is_broadcast(plans, name):
 
 
 @pytest.mark.parametrize("name", ["enrich_broadcast", "orders_customers"])
-def test_large_side_is_not_broadcast(spark, monkeypatch, name):
-    import smelter.operators.joins as joins
-
-    monkeypatch.setattr(joins.enrich, "__defaults__", ("left", 10))
+def test_large_side_is_not_broadcast(spark, name):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
@@ -110,7 +108,7 @@ def test_a_hot_join_key_is_split(spark):
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
-        joined = enrich(facts, dimension, "k", max_rows=10)
+        joined = enrich(facts, dimension, "k", max_bytes=10)
         assert joined.filter("w IS NULL").count() == 0
         joined.write.format("noop").mode("overwrite").save()
         assert len(joined.collect()) == 300_000
@@ -121,7 +119,7 @@ def test_a_hot_join_key_is_split(spark):
 
 
 def test_a_checked_broadcast_survives_a_null_safe_join(spark):
-    small = broadcast_checked(spark.range(10).select(F.col("id").alias("k"), F.lit(1).alias("w")))
+    small = broadcast_checked(spark.range(10).select(F.col("id").alias("k"), F.lit(1).alias("w")), 1000)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:

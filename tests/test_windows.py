@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from smelter.operators import windows
-from smelter.operators.blocks import find_cuts
+from smelter.operators.blocks import split_hot
 
 
 @pytest.fixture(scope="module")
@@ -34,21 +34,32 @@ HOT = pytest.mark.parametrize("hot_rows", [7, 100, 900])
 
 @HOT
 def test_groups_are_cut_evenly(skewed, hot_rows):
-    cuts = find_cuts(skewed, ["key"], F.col("id"), hot_rows)
-    blocks = cuts.attach(skewed, F.col("id")).groupBy("key", "_block").count()
-    assert blocks.filter((F.col("key") == "hot") | F.col("key").isNull()).agg(F.max("count")).first()[0] <= 2 * hot_rows
-    assert blocks.filter("_block = 0 AND key LIKE 'k%'").count() > 0
+    cold, hot = split_hot(skewed, ["key"], ["at", "id"], hot_rows)
+    assert hot.groupBy("key", "_block").count().agg(F.max("count")).first()[0] <= 2 * hot_rows
+    assert cold.count() + hot.count() == 3000
+    if hot_rows > 80:
+        assert cold.filter("key LIKE 'k%'").count() == cold.count() > 0
 
 
 def test_small_groups_are_left_whole(skewed):
-    assert find_cuts(skewed, ["key"], F.col("id"), 10_000) is None
+    assert split_hot(skewed, ["key"], ["id"], 10_000) is None
+
+
+@pytest.mark.parametrize("at", ["5", "CAST(NULL AS INT)"])
+def test_equal_order_values_are_cut(spark, at):
+    same = spark.range(1000).select(F.lit("k").alias("key"), F.expr(at).alias("at"), "id")
+    _, hot = split_hot(same, ["key"], ["at", "id"], 10)
+    assert hot.groupBy("key", "_block").count().agg(F.max("count")).first()[0] <= 20
+    ranks = windows.rank_family(same, ["key"], "at", "id", 4, 10)
+    assert dict(ranks.dtypes)["row_number"] == dict(ranks.dtypes)["dense_rank"] == "bigint"
+    _same(windows.rank_family(same, ["key"], "at", "id", 4, 10_000), ranks)
 
 
 @HOT
 def test_running_total(skewed, hot_rows):
     window = Window.partitionBy("key").orderBy("at", "id").rowsBetween(Window.unboundedPreceding, 0)
     plain = skewed.withColumn("total", F.sum("value").over(window))
-    cut = windows.running_total(skewed, ["key"], ["at", "id"], F.col("at"), "value", "total", hot_rows)
+    cut = windows.running_total(skewed, ["key"], ["at", "id"], "value", "total", hot_rows)
     _same(plain, cut)
 
 
@@ -56,7 +67,7 @@ def test_running_total(skewed, hot_rows):
 def test_neighbours(skewed, hot_rows):
     window = Window.partitionBy("key").orderBy("at", "id")
     plain = skewed.withColumns({"before": F.lag("value").over(window), "after": F.lead("value").over(window)})
-    cut = windows.neighbours(skewed, ["key"], ["at", "id"], F.col("at"), "value", "before", "after", hot_rows)
+    cut = windows.neighbours(skewed, ["key"], ["at", "id"], "value", "before", "after", hot_rows)
     _same(plain, cut)
 
 
@@ -89,5 +100,5 @@ def test_trailing_sum(skewed, hot_rows, seconds):
 
 def test_all_rows_at_one_time(spark):
     same = spark.range(500).select(F.lit("k").alias("key"), F.lit(5).alias("at"), "id", F.lit(1.0).alias("value"))
-    total = windows.running_total(same, ["key"], ["at", "id"], F.col("at"), "value", "total", 50)
+    total = windows.running_total(same, ["key"], ["at", "id"], "value", "total", 50)
     assert sorted(r.total for r in total.collect()) == [float(i) for i in range(1, 501)]
