@@ -48,8 +48,9 @@ RULES = (
          "Deprecation warning detected — the code still works but consider updating.",
          "deprecated"),
 )
+# How far around a match a line number is looked for unless the caller says otherwise, the
+# starts of mere log level lines, and what a line number looks like.
 NEARBY = 200
-LONGEST_MESSAGE = 200
 LEVEL_PREFIXES = ("WARN", "INFO", "DEBUG")
 LINE_NUMBER = r"line (\d+)"
 
@@ -61,24 +62,26 @@ ODD_LETTERS = "ſıİK"
 FLAGS = "(?idU)"
 
 
-def _hit(text: Column, index: int, rule: Rule) -> Column:
+def _hit(text: Column, index: int, rule: Rule, nearby: int | None) -> Column:
     """A finding for the rule's first match, which starts at ``_starts[index]``, else NULL."""
     start = F.col("_starts")[index]
     message: Column = F.lit(rule.message)
     for group in range(rule.message.count("{")):
         found = F.regexp_extract(text, FLAGS + rule.pattern, group + 1)
         message = F.replace(message, F.lit(f"{{{group}}}"), found)
-    first = F.greatest(start - NEARBY, F.lit(1))
-    nearby = F.substring(text, first, start + NEARBY - first)
-    line = F.regexp_extract(nearby, LINE_NUMBER, 1).try_cast("int")
+    around = text
+    if nearby is not None:
+        first = F.greatest(start - nearby, F.lit(1))
+        around = F.substring(text, first, start + nearby - first)
+    line = F.regexp_extract(around, LINE_NUMBER, 1).try_cast("int")
     finding = F.struct(
         F.lit(index).alias("rule"), F.lit(rule.severity).alias("severity"),
         message.alias("message"), line.alias("line"),
     )
-    return F.when(start > 0, finding)
+    return F.when(start <= F.length(text), finding)
 
 
-def _last_error(text: Column) -> Column:
+def _last_error(text: Column, longest: int | None) -> Column:
     """The last line that is not blank and not a mere log level line."""
     lines = F.transform(F.split(strip(text), "\n"), strip)
     telling = F.filter(
@@ -86,18 +89,20 @@ def _last_error(text: Column) -> Column:
         lambda s: (s != "") & ~F.array_contains(
             F.transform(F.array(*map(F.lit, LEVEL_PREFIXES)), lambda p: F.startswith(s, p)), True),
     )
-    return F.left(F.try_element_at(telling, F.lit(-1)), F.lit(LONGEST_MESSAGE))
+    last = F.try_element_at(telling, F.lit(-1))
+    return last if longest is None else F.left(last, F.lit(longest))
 
 
-def classify(df: DataFrame, text: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """One row per (log, message): columns of ``df`` but the text, plus the finding.
+def with_findings(df: DataFrame, text: str, name: str, rules: tuple[Rule, ...] = RULES,
+                  nearby: int | None = NEARBY, longest: int | None = None) -> DataFrame:
+    """``df`` with the findings of each log as an array of rule, severity, message and line.
 
-    A log that matches no rule but mentions an error gives its last telling line.
-    The rules are part of the expression, so this is a map over the logs: no join,
-    no shuffle.
+    A log that matches no rule but mentions an error gives its last telling line, whole unless
+    ``longest`` cuts it. The line number of a finding is the first one at most ``nearby``
+    characters around its match; None looks at the whole log. The rules are part of the
+    expression, so this is a map over the logs: no join, no shuffle.
     """
     log = F.col(text)
-    kept = [c for c in df.columns if c != text]
     # Each step is a column of its own, so that the next one reads it instead of
     # working it out again for every element.
     # Searching plain text is much faster than matching, so the pattern is tried only
@@ -105,19 +110,27 @@ def classify(df: DataFrame, text: str, rules: tuple[Rule, ...] = RULES) -> DataF
     odd = F.lit(False)
     for letter in ODD_LETTERS:
         odd = odd | log.contains(letter)
-    searched = df.withColumns({"_lower": F.lower(log), "_odd": odd})
+    searched = df.withColumns({"_lower": F.lower(log), "_odd": odd, "_beyond": F.length(log) + 1})
+    # What lies before the first match, counted in characters; without a match that is the whole log.
     starts = F.array(*[
         F.when(F.col("_odd") | F.col("_lower").contains(rule.literal),
-               F.regexp_instr(log, F.lit(FLAGS + rule.pattern))).otherwise(0)
+               F.length(F.element_at(F.split(log, FLAGS + rule.pattern, 2), 1)) + 1).otherwise(F.col("_beyond"))
         for rule in rules
     ])
-    hits = searched.withColumn("_starts", starts).select(
-        *kept, text, F.array_compact(F.array(*[_hit(log, i, r) for i, r in enumerate(rules)])).alias("_all"))
+    hits = searched.withColumn("_starts", starts).withColumn(
+        "_all", F.array_compact(F.array(*[_hit(log, i, r, nearby) for i, r in enumerate(rules)])))
     unique = F.filter(
         "_all", lambda hit, i: ~F.exists(F.slice("_all", F.lit(1), i), lambda h: h["message"] == hit["message"]))
-    last = F.when((F.size("_all") == 0) & log.contains("Error"), _last_error(log))
-    listed = hits.select(*kept, unique.alias("_unique"), last.alias("_last"))
+    last = F.when((F.size("_all") == 0) & log.contains("Error"), _last_error(log, longest))
+    listed = hits.select(*df.columns, unique.alias("_unique"), last.alias("_last"))
     fallback = F.array(F.struct(F.lit(-1).alias("rule"), F.lit("error").alias("severity"),
                                 F.col("_last").alias("message"), F.lit(None).cast("int").alias("line")))
     findings = F.when(F.col("_last").isNotNull(), fallback).otherwise(F.col("_unique"))
-    return listed.select(*kept, F.inline(findings))
+    return listed.select(*df.columns, findings.alias(name))
+
+
+def classify(df: DataFrame, text: str, rules: tuple[Rule, ...] = RULES, nearby: int | None = NEARBY,
+             longest: int | None = None) -> DataFrame:
+    """One row per (log, message): columns of ``df`` but the text, plus the finding; see ``with_findings``."""
+    kept = [c for c in df.columns if c != text]
+    return with_findings(df, text, "_findings", rules, nearby, longest).select(*kept, F.inline("_findings"))

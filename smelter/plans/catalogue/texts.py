@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from smelter.functions.text import choice_key, code_key, digest, text_key
 from smelter.operators.joins import enrich
 from smelter.operators.lineage import cut_lineage
-from smelter.operators.logs import RULES, classify
+from smelter.operators.logs import RULES, classify, with_findings
 from smelter.operators.tags import API_LABELS, SESSION_LABELS, labels_of, tag
 from smelter.plans.catalogue.patterns import NOT_IN_CHOICE, SPACES
 from smelter.plans.registry import query
@@ -82,14 +82,14 @@ LOG_KINDS = (
 )
 
 
-def _log_text() -> Column:
-    k = F.get_json_object("props", "$.k")
+def _log_text(number: Column, k: Column) -> Column:
     kinds = [F.replace(F.lit(kind), F.lit("{k}"), k) for kind in LOG_KINDS]
-    return F.get(F.array(*kinds), F.pmod("event_id", F.lit(len(LOG_KINDS))).cast("int"))
+    return F.get(F.array(*kinds), F.pmod(number, F.lit(len(LOG_KINDS))).cast("int"))
 
 
 def event_logs(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").select("event_id", _log_text().alias("log"))
+    return table(spark, sf, "events").select(
+        "event_id", _log_text(F.col("event_id"), F.get_json_object("props", "$.k")).alias("log"))
 
 
 def _log_sql() -> str:
@@ -136,18 +136,25 @@ findings AS (
 
 @query(f"WITH {_log_sql()}, {_hits_sql('event_id', 'logs', 'log')} SELECT * FROM findings")
 def log_rule_hits(spark: SparkSession, sf: str) -> DataFrame:
-    return classify(event_logs(spark, sf), "log")
+    return classify(event_logs(spark, sf), "log", longest=200)
 
 
 @query(f"""
-WITH {_hits_sql('doc_id', 'documents', 'text')}
+WITH docs AS (
+    SELECT doc_id, text || chr(10) || replace(
+               list_extract([{", ".join(map(_quoted, LOG_KINDS))}], CAST(doc_id % {len(LOG_KINDS)} AS INTEGER) + 1),
+               '{{k}}', CAST(doc_id AS VARCHAR)) AS text
+    FROM documents
+),
+{_hits_sql('doc_id', 'docs', 'text')}
 SELECT doc_id, count(message) AS n_findings FROM documents LEFT JOIN findings USING (doc_id) GROUP BY doc_id
 """)
 def doc_rule_hits(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    found = classify(docs, "text").groupBy("doc_id").agg(F.count("*").alias("n"))
-    return docs.select("doc_id").join(found, "doc_id", "left").select(
-        "doc_id", F.coalesce("n", F.lit(0)).alias("n_findings"))
+    # The documents hold no logs, so each is followed by one.
+    logged = F.concat("text", F.lit("\n"), _log_text(F.col("doc_id"), F.col("doc_id").cast("string")))
+    docs = table(spark, sf, "documents").select("doc_id", logged.alias("text"))
+    return with_findings(docs, "text", "findings").select(
+        "doc_id", F.coalesce(F.size("findings"), F.lit(0)).cast("bigint").alias("n_findings"))
 
 
 # Code written from events, filled in by k.

@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import re
 import sys
 
 import pytest
@@ -55,9 +54,6 @@ def test_flatten_json(spark):
 
 # --- text
 
-SAMPLES = ["  A  b\tC \n", "\u00a0x\u2003y\u3000", "", " ", "\x1c a \x1f", "it's  \"q\"", "B) spark.read_1 @x!", "ÄÖ ß", "\u200bz"]
-
-
 def test_spaces_are_those_of_python(spark):
     every = [chr(c) for c in range(1, sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF]
     # One row per 4096 characters is enough to see which of them are replaced.
@@ -67,53 +63,67 @@ def test_spaces_are_those_of_python(spark):
     assert set(every) - set(kept) == {c for c in every if c.isspace()} == set(text.SPACE_CHARS)
 
 
-def test_keys(spark):
-    df = spark.createDataFrame([(s,) for s in SAMPLES], "s string")
-    for row in df.select("s", text.text_key("s").alias("t"), text.code_key("s").alias("c"),
-                         text.choice_key("s").alias("o"), text.strip("s").alias("p")).collect():
-        s = row.s.strip()
-        assert row.p == s
-        assert row.t == re.sub(r"\s+", " ", s).lower()
-        assert row.c == re.sub(r"\s+", " ", re.sub("[\"']", "'", s))
-        assert row.o == re.sub(r"[^a-zA-Z0-9_@.\s]", "", s).upper()
+# Per sample: without outer space, and the keys of text, code and choices.
+KEYS = [
+    ("  A  b\tC \n", "A  b\tC", "a b c", "A b C", "A  B\tC"),
+    ("\u00a0x\u2003y\u3000", "x\u2003y", "x y", "x y", "X\u2003Y"),
+    ("", "", "", "", ""),
+    (" ", "", "", "", ""),
+    ("\x1c a \x1f", "a", "a", "a", "A"),
+    ("it's  \"q\"", "it's  \"q\"", "it's \"q\"", "it's 'q'", "ITS  Q"),
+    ("B) spark.read_1 @x!", "B) spark.read_1 @x!", "b) spark.read_1 @x!", "B) spark.read_1 @x!", "B SPARK.READ_1 @X"),
+    ("ÄÖ ß", "ÄÖ ß", "äö ß", "ÄÖ ß", " "),
+    ("\u200bz", "\u200bz", "\u200bz", "\u200bz", "Z"),
+]
+
+
+@pytest.mark.parametrize("sample", KEYS, ids=range(len(KEYS)))
+def test_keys(spark, sample):
+    df = spark.createDataFrame([(sample[0],)], "s string")
+    keys = df.select(text.strip("s"), text.text_key("s"), text.code_key("s"), text.choice_key("s")).first()
+    assert tuple(keys) == sample[1:]
+
 
+UNDEFINED = "Variable '{}' is not defined. Did you forget to import or create it?"
+TIP = "Tip: shuffle partitions defaults to 200. For small data, set it lower."
+DEPRECATED = "Deprecation warning detected — the code still works but consider updating."
+NO_TABLE = "Table '{}' doesn't exist. Check the table name and catalog."
+NO_JAR = "Missing dependency: {}. The JAR may not be on the classpath."
 
+# Per log, by hand: severity, message and line of each finding.
 LOGS = [
-    "pre line 12 NameError: name 'x' is not defined\nline 99",
-    "x" * 300 + "line 5" + "y" * 250 + "TypeError: late",
-    "TypeError: a\r\nTypeError: b", "typeerror: lower", "ſyntaxError: long s", "SYNTAXERROR: up",
-    "AttributeError: 'Ä1' object has no attribute 'b'", "WARN something deprecated\nspark.sql.shuffle.partitions",
-    "AnalysisException\nTable or view not found: t", "org.AnalysisException: Table or view not found: db.t;",
-    "My Error here\n  WARN w\nINFO i\n", "Error only\n" + "z" * 500, "WARN Error", "error small", "", "Error\n\n \t\n",
-    "Py4JJavaError: x ClassNotFoundException: org.K line 3", "IndentationError: \nNameError: name 'a b' is not defined",
+    ("pre line 12 NameError: name 'x' is not defined\nline 99", [("error", UNDEFINED.format("x"), 12)]),
+    ("x" * 300 + "line 5" + "y" * 250 + "TypeError: late", [("error", "Type error: late", None)]),
+    ("line 5 " + "\N{GRINNING FACE}" * 150 + "a" * 20 + "NameError: name 'x' is not defined", [("error", UNDEFINED.format("x"), 5)]),
+    ("\N{GRINNING FACE}" * 250 + "line 7 TypeError: \N{GRINNING FACE}", [("error", "Type error: \N{GRINNING FACE}", 7)]),
+    ("TypeError: a\r\nTypeError: b", [("error", "Type error: a\r", None)]),
+    ("typeerror: lower", [("error", "Type error: lower", None)]),
+    ("ſyntaxError: long s", [("error", "Syntax error: long s", None)]),
+    ("SYNTAXERROR: up", [("error", "Syntax error: up", None)]),
+    ("AttributeError: 'Ä1' object has no attribute 'b'", [("error", "'Ä1' doesn't have attribute 'b'. Check the API docs.", None)]),
+    ("WARN something deprecated\nspark.sql.shuffle.partitions", [("info", TIP, None), ("info", DEPRECATED, None)]),
+    ("AnalysisException\nTable or view not found: t", []),
+    ("org.AnalysisException: Table or view not found: db.t;", [("error", NO_TABLE.format("db.t;"), None)]),
+    ("My Error here\n  WARN w\nINFO i\n", [("error", "My Error here", None)]),
+    ("Error only\n" + "z" * 500, [("error", "z" * 500, None)]),
+    ("WARN Error", []), ("error small", []), ("", []), ("Error\n\n \t\n", [("error", "Error", None)]),
+    ("Py4JJavaError: x ClassNotFoundException: org.K line 3", [("error", NO_JAR.format("org.K"), 3)]),
+    ("IndentationError: \nNameError: name 'a b' is not defined", [("error", "NameError: name 'a b' is not defined", None)]),
 ]
 
 
-def brute_force_findings(log):
-    found = []
-    for rule in logs.RULES:
-        m = re.search(rule.pattern, log, re.IGNORECASE)
-        if not m:
-            continue
-        message = rule.message.format(*m.groups()) if m.groups() else rule.message
-        if message in [f[1] for f in found]:
-            continue
-        near = re.search(r"line (\d+)", log[max(0, m.start() - 200):m.start() + 200])
-        found.append((rule.severity, message, int(near.group(1)) if near else None))
-    if not found and "Error" in log:
-        lines = [x.strip() for x in log.strip().split("\n")]
-        telling = [x for x in lines if x and not x.startswith(("WARN", "INFO", "DEBUG"))]
-        if telling:
-            found.append(("error", telling[-1][:200], None))
-    return found
-
-
-def test_log_rules_against_brute_force(spark):
-    df = spark.createDataFrame(list(enumerate(LOGS)), "id int, log string")
+def test_log_rules(spark):
+    df = spark.createDataFrame([(i, log) for i, (log, _) in enumerate(LOGS)], "id int, log string")
     found = {i: [] for i in range(len(LOGS))}
     for r in logs.classify(df, "log").orderBy("id", "rule").collect():
         found[r.id].append((r.severity, r.message, r.line))
-    assert found == {i: brute_force_findings(log) for i, log in enumerate(LOGS)}
+    assert found == {i: expected for i, (_, expected) in enumerate(LOGS)}
+
+
+def test_limits_of_log_rules_are_the_callers(spark):
+    df = spark.createDataFrame([(1, "line 5" + "y" * 250 + "TypeError: late"), (2, "Error only\n" + "z" * 500)], "id int, log string")
+    assert values(logs.classify(df, "log", nearby=None, longest=7), "id", "message", "line") == [
+        (1, "Type error: late", 5), (2, "zzzzzzz", None)]
 
 
 def test_rules_that_give_one_message_are_told_once(spark):
@@ -156,7 +166,7 @@ def test_null_safe_join(spark):
 def test_enrich_beyond_the_broadcast_limit(spark):
     facts = spark.range(100).select((F.col("id") % 10).alias("k"), "id")
     dimension = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-    assert values(enrich(facts, dimension, "k"), "id", "w") == values(enrich(facts, dimension, "k", max_rows=2), "id", "w")
+    assert values(enrich(facts, dimension, "k"), "id", "w") == values(enrich(facts, dimension, "k", max_bytes=2), "id", "w")
 
 
 @pytest.fixture(scope="module")
