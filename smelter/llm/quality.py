@@ -13,14 +13,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from smelter.llm.batches import bound_batches
 from smelter.llm.hashing import chunks, word_hashes
 
 BUCKETS = 1 << 16
 _SHIFT = np.uint64(64 - 16)
-_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+_RUN_FACTORS = {3: np.uint32(0x9E3779B1), 4: np.uint32(0x85EBCA6B)}
+_WORD_FACTOR, _PAIR_FACTOR = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
+#: Bytes of text whose features are held at once.
+PIECE_BYTES = 250_000
 
 
 @dataclass(frozen=True)
@@ -43,18 +47,20 @@ def feature_groups(raws: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.n
     ends = np.cumsum(lengths + 1) - 1
     starts = ends - lengths
     out = []
-    for n, factor in ((3, _FACTORS[0]), (4, _FACTORS[1])):
-        codes = np.zeros(max(len(buffer) - n + 1, 0), np.uint64)
+    for n, factor in _RUN_FACTORS.items():
+        codes = np.zeros(max(len(buffer) - n + 1, 0), np.uint32)
         for i in range(n):
-            codes = (codes << np.uint64(8)) | buffer[i:len(buffer) - n + 1 + i]
-        out.append((((codes * factor) >> _SHIFT).astype(np.int64), np.minimum(starts, len(codes)),
+            codes <<= np.uint32(8)
+            codes |= buffer[i:len(buffer) - n + 1 + i]
+        codes *= factor
+        out.append(((codes >> np.uint32(16)).astype(np.uint16), np.minimum(starts, len(codes)),
                     np.clip(ends - n + 1, np.minimum(starts, len(codes)), len(codes))))
     words, counts = word_hashes(raws)
     word_ends = np.cumsum(counts)
     word_starts = word_ends - counts
-    out.append((((words * _FACTORS[2]) >> _SHIFT).astype(np.int64), word_starts, word_ends))
-    pairs = words[:-1] * _FACTORS[3] + words[1:] if len(words) else words
-    out.append((((pairs * _FACTORS[2]) >> _SHIFT).astype(np.int64), np.minimum(word_starts, len(pairs)),
+    out.append((((words * _WORD_FACTOR) >> _SHIFT).astype(np.uint16), word_starts, word_ends))
+    pairs = words[:-1] * _PAIR_FACTOR + words[1:] if len(words) else words
+    out.append((((pairs * _WORD_FACTOR) >> _SHIFT).astype(np.uint16), np.minimum(word_starts, len(pairs)),
                 np.maximum(word_ends - 1, np.minimum(word_starts, len(pairs)))))
     return out
 
@@ -106,42 +112,59 @@ def train(texts: list[str], labels: list[int], settings: Training = Training())
     return np.append(vectors @ (layer[:, 1] - layer[:, 0]), bias[1] - bias[0])
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "quality",
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
         settings: Training = Training()) -> np.ndarray:
-    """Train on a bounded sample of labelled rows, chosen by the hash of their text.
+    """Train on a bounded sample of labelled rows, those with the smallest hash of their id.
 
-    Null labels teach nothing; null texts count as empty. The ranking keeps the rows it needs per task
-    before it shuffles.
+    Null labels teach nothing; null texts count as empty; equal texts with equal labels count once. Ids and
+    labels are ranked alone, so no text is shuffled; the ranking keeps the rows it needs per task before
+    it shuffles, and the chosen ids (at most two times ``rows_per_label``) pick their texts.
     """
-    rows = labelled.select(
-        (F.col(label) > 0).cast("int").alias("label"),
-        F.coalesce(F.substring(text, 1, settings.chars_per_row), F.lit("")).alias("text"),
-        F.xxhash64(F.col(text)).alias("h")).filter("label IS NOT NULL")
-    place = F.row_number().over(Window.partitionBy("label").orderBy("h", "text"))
-    sample = rows.withColumn("place", place).filter(F.col("place") <= settings.rows_per_label).collect()
-    sample.sort(key=lambda r: (r["place"], r["label"]))
-    return train([r["text"] for r in sample], [r["label"] for r in sample], settings)
+    rows = labels.select(F.col(doc_id).alias("doc_id"), (F.col(label) > 0).cast("int").alias("label"),
+                         F.xxhash64(F.col(doc_id)).alias("h")).filter("label IS NOT NULL AND doc_id IS NOT NULL")
+    place = F.row_number().over(Window.partitionBy("label").orderBy("h", "doc_id"))
+    chosen = rows.withColumn("place", place).filter(F.col("place") <= settings.rows_per_label).select("doc_id", "label", "h")
+    texts = docs.select(F.col(doc_id).alias("doc_id"),
+                        F.coalesce(F.substring(text, 1, settings.chars_per_row), F.lit("")).alias("text"))
+    found = texts.join(F.broadcast(chosen), "doc_id").groupBy("label", "text").agg(F.min("h").alias("h")).collect()
+    found.sort(key=lambda r: (r["h"], r["label"], r["text"]))
+    return train([r["text"] for r in found], [r["label"] for r in found], settings)
+
+
+def _pieces(text: str | None) -> Iterator[str]:
+    """A text whole, or in pieces that end at blanks where it is far longer than ``PIECE_BYTES``."""
+    text, at = text or "", 0
+    while len(text) - at > 4 * PIECE_BYTES:
+        end = text.find(" ", at + 2 * PIECE_BYTES)
+        end = at + 2 * PIECE_BYTES if end < 0 or end > at + 4 * PIECE_BYTES else end
+        yield text[at:end]
+        at = end
+    yield text[at:] if at else text
 
 
 def scores(texts: list[str | None], odds: np.ndarray) -> np.ndarray:
-    """The likelihood of label 1 for each whole text."""
-    out = []
+    """The likelihood of label 1 for each whole text. Runs across the cuts of a text of over a million bytes don't count."""
     table, bias = odds[:-1], odds[-1]
-    for _, raws in chunks(texts):
-        total, count = np.zeros(len(raws)), np.zeros(len(raws))
+    total, count = np.zeros(len(texts)), np.zeros(len(texts))
+    owned = [(i, piece) for i, text in enumerate(texts) for piece in _pieces(text)]
+    owners = np.fromiter((i for i, _ in owned), np.int64, len(owned))
+    for first, raws in chunks((piece for _, piece in owned), PIECE_BYTES):
+        own = owners[first:first + len(raws)]
         for buckets, starts, ends in feature_groups(raws):
             sums = np.concatenate(([0.0], np.cumsum(table[buckets])))
-            total += sums[ends] - sums[starts]
-            count += ends - starts
-        out.append(1 / (1 + np.exp(-np.clip(total / np.maximum(count, 1) + bias, -30, 30))))
-    return np.concatenate(out) if out else np.zeros(0)
+            np.add.at(total, own, sums[ends] - sums[starts])
+            np.add.at(count, own, ends - starts)
+    return 1 / (1 + np.exp(-np.clip(total / np.maximum(count, 1) + bias, -30, 30)))
 
 
 def quality_of(text: Column, odds: np.ndarray) -> Column:
     """Score between 0 and 1 of a text column. Null and empty texts get the score of no features."""
+    bound_batches(SparkSession.active())
+
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield pd.Series(scores([t if isinstance(t, str) else None for t in batch], odds))
 
-    return score(text)
+    # Not to be evaluated once more for a filter on its result.
+    return score.asNondeterministic()(text)

@@ -109,8 +109,7 @@ def op6_langid(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op7_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    labelled = docs.join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id").filter(~held_out(5, 0))
-    odds = quality.fit(labelled)
+    odds = quality.fit(docs, table(spark, sf, "labels").filter(~held_out(5, 0)))
     scored = docs.select("doc_id", held_out(5, 0).alias("held_out"), quality.quality_of(F.col("text"), odds).alias("score"))
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
 
