@@ -1,0 +1,24 @@
+"""Small tables with the awkward cases every operator must take: nulls, empties, repeats, long texts, more columns."""
+
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from fixtures_llm import AWKWARD  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def awkward(spark):
+    rows = [(i, t, "doc_id?", 1.5, "en" if t and "é" not in t else None) for i, t in AWKWARD]
+    schema = "doc_id bigint, text string, digest string, score double, lang string"
+    return spark.createDataFrame(rows, schema).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def empty(awkward):
+    return awkward.filter("doc_id < 0")
