@@ -41,13 +41,12 @@ def orders_customers(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
 SELECT c_custkey, c_name, count(o_orderkey) AS n_orders, round(coalesce(sum(o_totalprice), 0), 2) AS spent
-FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_orderpriority = '1-URGENT'
+FROM customer LEFT JOIN orders ON c_custkey = o_custkey
 GROUP BY c_custkey, c_name
 """)
 def customer_orders_left(spark: SparkSession, sf: str) -> DataFrame:
     # Orders are summed per customer before the join, so it meets each key once.
-    urgent = table(spark, sf, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
-    spent = urgent.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+    spent = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.count(F.lit(1)).alias("n_orders"), F.sum("o_totalprice").alias("spent"))
     customers = table(spark, sf, "customer").select("c_custkey", "c_name")
     return customers.join(spent, "c_custkey", "left").select(
@@ -130,7 +129,7 @@ SELECT c_custkey, c_name FROM customer
 WHERE NOT EXISTS (SELECT 1 FROM orders
                   WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT' AND o_orderstatus = 'F')
 """)
-def customers_without_orders(spark: SparkSession, sf: str) -> DataFrame:
+def customers_without_urgent_finished_orders(spark: SparkSession, sf: str) -> DataFrame:
     return missing(*_customers_and_urgent(spark, sf), "c_custkey")
 
 
@@ -139,7 +138,7 @@ SELECT c_custkey, c_name FROM customer
 WHERE EXISTS (SELECT 1 FROM orders
               WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT' AND o_orderstatus = 'F')
 """)
-def customers_with_orders(spark: SparkSession, sf: str) -> DataFrame:
+def customers_with_urgent_finished_orders(spark: SparkSession, sf: str) -> DataFrame:
     return matching(*_customers_and_urgent(spark, sf), "c_custkey")
 
 
@@ -148,3 +147,24 @@ def _customers_and_urgent(spark: SparkSession, sf: str) -> tuple[DataFrame, Data
         (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F"))
     return (table(spark, sf, "customer").select("c_custkey", "c_name"),
             urgent.select(F.col("o_custkey").alias("c_custkey")).distinct())
+
+
+@query("""
+SELECT o_orderkey, o_totalprice FROM orders
+WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)
+""")
+def orders_without_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return missing(*_orders_and_lines(spark, sf), "o_orderkey")
+
+
+@query("""
+SELECT o_orderkey, o_totalprice FROM orders
+WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)
+""")
+def orders_with_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return matching(*_orders_and_lines(spark, sf), "o_orderkey")
+
+
+def _orders_and_lines(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+    return table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), lines

@@ -20,9 +20,9 @@ def purchases_extract(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT p.p_brand, round(sum(l.l_extendedprice * (1 - l.l_discount)), 4) AS revenue, count(*) AS n_lines
+SELECT p.p_brand, round(sum(l.l_extendedprice * (1 - l.l_discount)), 4) AS revenue, count(*) AS n_lines,
+       count(*) FILTER (l.l_quantity >= 10) AS n_large
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
-WHERE l.l_quantity >= 10
 GROUP BY p.p_brand
 """)
 def sql_product_revenue(spark: SparkSession, sf: str) -> DataFrame:
@@ -31,10 +31,11 @@ def sql_product_revenue(spark: SparkSession, sf: str) -> DataFrame:
     return spark.sql(
         """
         WITH per_part AS (
-            SELECT l_partkey, sum(l_extendedprice * (1 - l_discount)) AS revenue, count(*) AS n_lines
-            FROM {lineitem} WHERE l_quantity >= :least GROUP BY l_partkey
+            SELECT l_partkey, sum(l_extendedprice * (1 - l_discount)) AS revenue, count(*) AS n_lines,
+                   count_if(l_quantity >= :least) AS n_large
+            FROM {lineitem} GROUP BY l_partkey
         )
-        SELECT p_brand, round(sum(revenue), 4) AS revenue, sum(n_lines) AS n_lines
+        SELECT p_brand, round(sum(revenue), 4) AS revenue, sum(n_lines) AS n_lines, sum(n_large) AS n_large
         FROM per_part JOIN {part} ON l_partkey = p_partkey
         GROUP BY p_brand
         """,
@@ -109,15 +110,14 @@ SELECT p_partkey,
        p_type IN ('PROMO', 'SMALL') AS is_listed,
        p_name IS NULL AS no_name,
        isnan(p_retailprice) AS not_a_price,
-       coalesce(nullif(p_type, 'PROMO'), 'none') AS type_or_none
+       coalesce(nullif(p_type, 'PROMO'), 'none') AS type_or_none,
+       p_type IS NOT NULL AND p_size > 1 AS is_sized
 FROM part
-WHERE p_type IS NOT NULL AND p_size > 1
 """)
 def predicate_pack(spark: SparkSession, sf: str) -> DataFrame:
     name = F.col("p_name")
     return (
         table(spark, sf, "part")
-        .filter(F.col("p_type").isNotNull() & (F.col("p_size") > 1))
         .select(
             "p_partkey",
             name.like("%bolt%").alias("is_bolt"),
@@ -130,6 +130,7 @@ def predicate_pack(spark: SparkSession, sf: str) -> DataFrame:
             F.isnull(name).alias("no_name"),
             F.isnan("p_retailprice").alias("not_a_price"),
             F.coalesce(F.nullif("p_type", F.lit("PROMO")), F.lit("none")).alias("type_or_none"),
+            (F.col("p_type").isNotNull() & (F.col("p_size") > 1)).alias("is_sized"),
         )
     )
 
