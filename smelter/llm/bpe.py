@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,10 +26,11 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from smelter.llm.batches import bound_batches
 from smelter.operators.lineage import scratch_folder
 
 #: Characters of text in a block; bounds the memory of the tasks that read and rebuild it.
-BLOCK_CHARS = 12_000_000
+BLOCK_CHARS = 8_000_000
 #: Documents whose numbers travel in one row.
 ROW_CHARS = 400_000
 
@@ -70,7 +72,7 @@ def _unpacked(packed: bytes) -> list[bytes]:
 
 
 def _planes(numbers: np.ndarray) -> bytes:
-    """Numbers as three planes of bytes, which compress better than whole numbers."""
+    """Numbers as planes of bytes, which compress better than whole numbers."""
     planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
     return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
@@ -80,6 +82,22 @@ def _from_planes(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
+def _stream(numbers: np.ndarray) -> bytes:
+    """Numbers of which most are small: a byte each, and planes for those of 255 and more."""
+    large = numbers >= 255
+    short = np.where(large, 255, numbers).astype(np.uint8).tobytes()
+    return len(short).to_bytes(8, "little") + zstandard.ZstdCompressor(level=3).compress(short) + _planes(numbers[large])
+
+
+def _from_stream(packed: bytes) -> np.ndarray:
+    size = int.from_bytes(packed[:8], "little")
+    opener = zstandard.ZstdDecompressor().decompressobj()
+    numbers = np.frombuffer(opener.decompress(packed[8:]), np.uint8).astype(np.uint32)
+    assert len(numbers) == size
+    numbers[numbers == 255] = _from_planes(opener.unused_data)
+    return numbers
+
+
 class _Block:
     """Documents that are being cut, until there are enough for a block."""
 
@@ -103,17 +121,26 @@ class _Block:
         self.digest.update(f"{doc_id} {xxhash.xxh3_128_hexdigest(text.encode('utf-8', 'surrogatepass'))};".encode())
 
     def table(self, place: str) -> pd.DataFrame:
-        """One row for each bucket of words, and the documents with words numbered in the order of the buckets."""
+        """One row for each bucket of words with their numbers, and the documents as numbers.
+
+        The most frequent word of the block has number 0.
+        """
         block = f"{place}-{self.digest.hexdigest()}"
+        counts = np.zeros(len(self.words), np.int64)
+        for _, _, numbers in self.rows:
+            for own in numbers:
+                np.add.at(counts, own, 1)
+        by_count = np.argsort(-counts, kind="stable")
+        place_of = np.empty(len(by_count), np.uint32)
+        place_of[by_count] = np.arange(len(by_count), dtype=np.uint32)
         raws = [word.encode("utf-8", "surrogatepass") for word in self.words]
         buckets = np.fromiter((_bucket(raw, self.buckets) for raw in raws), np.int64, len(raws))
-        order = np.argsort(buckets, kind="stable")
-        moved = np.empty(len(raws), np.uint32)
-        moved[order] = np.arange(len(raws), dtype=np.uint32)
+        order = np.lexsort((place_of, buckets))
         cuts = np.searchsorted(buckets[order], np.arange(self.buckets + 1))
-        rows = [(block, b, _packed([raws[i] for i in order[s:e]]), None, None, None)
+        rows = [(block, b, _packed([raws[i] for i in order[s:e]]), None, None,
+                 _planes(np.diff(place_of[order[s:e]], prepend=np.uint32(0))))
                 for b, (s, e) in enumerate(zip(cuts, cuts[1:])) if e > s]
-        rows += [(block, None, None, doc_ids, lengths, _planes(moved[np.concatenate(numbers)]))
+        rows += [(block, None, None, doc_ids, lengths, _stream(place_of[np.concatenate(numbers)]))
                  for doc_ids, lengths, numbers in self.rows]
         return pd.DataFrame(rows, columns=[c.split()[0] for c in _CUT_TYPE.split(", ")], dtype=object)
 
@@ -137,6 +164,18 @@ def _cut(docs: DataFrame, pattern: str, buckets: int) -> DataFrame:
     return docs.mapInPandas(cut, _CUT_TYPE)
 
 
+def _stored_by_block(cut: DataFrame, parts: int) -> DataFrame:
+    """Blocks written to the shared folder in ``parts`` buckets by their name.
+
+    The documents of a block then wait where its ids will come to, and are not shuffled.
+    """
+    spark = cut.sparkSession
+    name = f"blocks_{uuid.uuid4().hex}"
+    (cut.write.format("parquet").option("compression", "none").option("path", scratch_folder(spark))
+     .bucketBy(parts, "block").saveAsTable(name))
+    return spark.table(name)
+
+
 def encode(docs: DataFrame, rank_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text",
            buckets: int | None = None) -> DataFrame:
     """doc_id and ``ids`` (array of int) of every row, as the vocabulary's merges of each pre-token give them.
@@ -147,14 +186,14 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, doc_id: str = "doc_id"
     rows to the power 0.6, about as the distinct words of a text do.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
+    rows = docs.count()
     if buckets is None:
-        buckets = max(64, math.ceil((docs.count() / 4096) ** 0.6))
+        buckets = max(64, math.ceil((rows / 4096) ** 0.6))
     ranks = spark.sparkContext.broadcast(load_ranks(rank_path))
     kind = docs.schema[doc_id].dataType
-    folder = scratch_folder(spark)
     texts = docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"))
-    _cut(texts, pattern, buckets).write.parquet(folder, compression="none")
-    cut = spark.read.parquet(folder)
+    cut = _stored_by_block(_cut(texts, pattern, buckets), min(max(12, rows // 8192), 20_000))
 
     def encode_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows come sorted by bucket; a bucket's distinct words are encoded at their first row."""
@@ -172,30 +211,33 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, doc_id: str = "doc_id"
                     if ids is None:
                         whole = ranks.value.get(word)
                         listed = [whole] if whole is not None else bpe.encode_ordinary(word.decode("utf-8", "surrogatepass"))
-                        ids = known[word] = np.array(listed, np.uint32).tobytes()
+                        ids = known[word] = np.array(listed, np.uint32)
                     found.append(ids)
-                out.append(_packed(found))
-            yield pd.DataFrame({"block": frame["block"], "bucket": frame["bucket"], "ids": out})
+                lengths = np.fromiter(map(len, found), np.uint32, len(found))
+                out.append((_planes(lengths), _planes(np.concatenate(found))))
+            yield pd.DataFrame({"block": frame["block"], "numbers": frame["numbers"],
+                                "lengths": [o[0] for o in out], "ids": [o[1] for o in out]})
 
-    vocabularies = cut.filter("bucket IS NOT NULL").select("block", "bucket", "words")
+    vocabularies = cut.filter("bucket IS NOT NULL").select("block", "bucket", "words", "numbers")
     encoded = vocabularies.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(
-        encode_words, "block string, bucket int, ids binary")
+        encode_words, "block string, numbers binary, lengths binary, ids binary")
     numbered = cut.filter("bucket IS NULL").select("block", "doc_ids", "lengths", "numbers")
 
     def put_together(documents: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        """The ids of a block's documents, from the ids of its words and the words' order."""
-        words = words.sort_values("bucket")
-        listed = [ids for packed in words["ids"] for ids in _unpacked(packed)]
-        flat = np.frombuffer(b"".join(listed), np.uint32)
-        lengths = np.fromiter(map(len, listed), np.int64, len(listed)) // 4
-        begins = np.cumsum(lengths) - lengths
+        """The ids of a block's documents, from the ids of its words and the words' numbers."""
+        listed = [(np.cumsum(_from_planes(n), dtype=np.uint32), _from_planes(s), _from_planes(i))
+                  for n, s, i in zip(words["numbers"], words["lengths"], words["ids"])]
+        numbers, sizes, flat = (np.concatenate([x[k] for x in listed] or [np.zeros(0, np.uint32)]) for k in range(3))
+        lengths, begins = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
+        lengths[numbers] = sizes
+        begins[numbers] = np.cumsum(sizes, dtype=np.int64) - sizes
         doc_ids, found = [], []
-        for own, sizes, packed in zip(documents["doc_ids"], documents["lengths"], documents["numbers"]):
-            numbers = _from_planes(packed)
+        for own, word_counts, packed in zip(documents["doc_ids"], documents["lengths"], documents["numbers"]):
+            numbers = _from_stream(packed)
             counts = lengths[numbers]
             ends = np.cumsum(counts)
             ids = flat[np.repeat(begins[numbers] - (ends - counts), counts) + np.arange(counts.sum())].astype(np.int32)
-            upto = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(sizes).astype(np.int64)))]
+            upto = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(word_counts).astype(np.int64)))]
             doc_ids += list(own)
             found += [ids[s:e] for s, e in zip(upto, upto[1:])]
         return pd.DataFrame({"doc_id": pd.Series(doc_ids, dtype=object), "ids": pd.Series(found, dtype=object)})
@@ -236,4 +278,5 @@ def decode(ids: Column, spark: SparkSession, rank_path: str) -> Column:
                 out.append(flat[np.repeat(shift, counts) + np.arange(counts.sum())].tobytes())
             yield pd.Series(out, dtype=object)
 
-    return joined(ids)
+    # Not to be evaluated once more for a filter on its result.
+    return joined.asNondeterministic()(ids)
