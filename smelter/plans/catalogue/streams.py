@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.operators.blocks import HOT_ROWS, hot_groups
 from smelter.operators.lineage import scratch_folder
 from smelter.plans.registry import query
 from smelter.sources.readers import table
 from smelter.streaming import state
-from smelter.streaming.sinks import start_batches, start_files, upsert_into
+from smelter.streaming.sinks import read_upserted, start_batches, start_files, upsert_into
 from smelter.streaming.sources import bronze_stream, file_stream, parse_messages, with_event_time
 from smelter.streaming.windows import drop_replays, time_windows
 
@@ -84,9 +83,9 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").select("user_id", "event_type", "event_id", "ts", "value")
     source = _in_files(events, f"{folder}/source", 3, "ts")
     stream = file_stream(spark, source, events.schema, files_per_trigger=1)
-    merge = upsert_into(f"{folder}/latest", ["user_id", "event_type"], [F.desc("ts"), F.desc("event_id")], 8)
-    start_batches(stream, merge, f"{folder}/state").awaitTermination()
-    return spark.read.parquet(f"{folder}/latest").drop("_bucket")
+    keys, order = ["user_id", "event_type"], [F.desc("ts"), F.desc("event_id")]
+    start_batches(stream, upsert_into(f"{folder}/latest", keys, order), f"{folder}/state").awaitTermination()
+    return read_upserted(spark, f"{folder}/latest", keys, order)
 
 
 @query("""
@@ -108,17 +107,15 @@ def stream_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("SELECT user_id, count(*) AS n_events, round(sum(value), 2) AS total_value FROM events GROUP BY user_id")
-def stream_user_counts(spark: SparkSession, sf: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def stream_user_counts(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch_folder(spark)
     events = table(spark, sf, "events").select("user_id", "event_id", "value")
     source = _in_files(events, f"{folder}/source", 2, "event_id")
+    keys, order = ["user_id"], [F.desc("n_events")]
     with state.rocksdb_state(spark):
-        stream = file_stream(spark, source, events.schema, files_per_trigger=1)
-        counts = state.event_counts(stream, hot_groups(events, ["user_id"], hot_rows))
-        merge = upsert_into(f"{folder}/counts", ["user_id", "salt"], [F.desc("n_events")], 8)
-        start_batches(counts, merge, f"{folder}/state", "update").awaitTermination()
-    combined = state.combine_counts(spark.read.parquet(f"{folder}/counts"))
-    return combined.withColumn("total_value", F.round("total_value", 2))
+        counts = state.event_counts(file_stream(spark, source, events.schema, files_per_trigger=1))
+        start_batches(counts, upsert_into(f"{folder}/counts", keys, order), f"{folder}/state", "update").awaitTermination()
+    return read_upserted(spark, f"{folder}/counts", keys, order).withColumn("total_value", F.round("total_value", 2))
 
 
 @query("""
@@ -128,16 +125,14 @@ WITH newest AS (
 )
 SELECT user_id, string_agg(event_id, ',' ORDER BY ts, event_id) AS event_ids FROM newest GROUP BY user_id
 """)
-def stream_latest_events(spark: SparkSession, sf: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def stream_latest_events(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch_folder(spark)
     events = with_event_time(table(spark, sf, "events")).select("user_id", "event_id", "ts")
     source = _in_files(events, f"{folder}/source", 2, "event_id")
+    # Later states hold later or more events, so the greatest state is the newest.
+    keys, order = ["user_id"], [F.desc(F.array_max("times")), F.desc(F.size("times")), F.desc(F.reverse("times"))]
     with state.rocksdb_state(spark):
-        stream = file_stream(spark, source, events.schema, files_per_trigger=1)
-        latest = state.latest_events(stream, hot_groups(events, ["user_id"], hot_rows), keep=3)
-        # Later states hold later or more events, so the greatest state is the newest.
-        merge = upsert_into(f"{folder}/latest", ["user_id", "salt"],
-                            [F.desc(F.array_max("times")), F.desc(F.size("times")), F.desc(F.reverse("times"))], 8)
-        start_batches(latest, merge, f"{folder}/state", "update").awaitTermination()
-    combined = state.combine_latest(spark.read.parquet(f"{folder}/latest"), 3)
-    return combined.withColumn("event_ids", F.array_join(F.col("event_ids").cast("array<string>"), ","))
+        latest = state.latest_events(file_stream(spark, source, events.schema, files_per_trigger=1), keep=3)
+        start_batches(latest, upsert_into(f"{folder}/latest", keys, order), f"{folder}/state", "update").awaitTermination()
+    newest = read_upserted(spark, f"{folder}/latest", keys, order)
+    return newest.select("user_id", F.array_join(F.col("event_ids").cast("array<string>"), ",").alias("event_ids"))

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from smelter.operators.dedup import latest_by_key, upsert
-from smelter.operators.lineage import kept
-from smelter.sources.snapshots import with_bucket
-from smelter.sources.writers import replace_partitions
+from smelter.operators.dedup import latest_by_key
+
+# Partition column of the deltas.
+BATCH = "_batch_id"
 
 
 def start_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
@@ -29,24 +29,25 @@ def start_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], ch
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def upsert_into(path: str, keys: Sequence[str], order: Sequence[Column],
-                buckets: int = 64) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` writer that keeps the latest row per key in a parquet table.
+def upsert_into(path: str, keys: Sequence[str], order: Sequence[Column]) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` writer that keeps the latest row per key of every batch as a delta of its own.
 
-    The table is partitioned by a hash of the keys; a batch rewrites only the buckets
-    its keys fall into. Merging the same batch twice changes nothing.
+    A batch writes its own rows only, to its own folder, and a replayed batch writes that folder anew: nothing
+    written before is touched, so a failure between two writes loses nothing. ``read_upserted`` merges.
     """
-
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        # Two uses below, and a batch of a stateful stream is costly to redo.
-        with kept(with_bucket(latest_by_key(batch, keys, order), keys[0], buckets)) as fresh:
-            # Starts an empty table before the first batch, keeps what is there after it.
-            spark.createDataFrame([], fresh.schema).write.mode("ignore").parquet(path)
-            stored = spark.read.schema(fresh.schema).parquet(path)
-            # At most ``buckets`` rows.
-            touched = F.broadcast(fresh.select("_bucket").distinct())
-            merged = upsert(stored.join(touched, "_bucket", "left_semi"), fresh, keys, order)
-            replace_partitions(merged.hint("rebalance", "_bucket"), path, ["_bucket"])
+        latest_by_key(batch, keys, order).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
     return write
+
+
+def read_upserted(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The latest row per key over all deltas; of equal ones the latest batch's counts."""
+    deltas = spark.read.parquet(path)
+    return latest_by_key(deltas, keys, [*order, F.desc(BATCH)]).drop(BATCH)
+
+
+def compact_upserted(spark: SparkSession, path: str, target: str, keys: Sequence[str], order: Sequence[Column]) -> None:
+    """All deltas merged into one in a new folder, which may take later batches; the old one stays as it is."""
+    newest = spark.read.parquet(path).agg(F.max(BATCH)).first()[0]
+    read_upserted(spark, path, keys, order).write.parquet(f"{target}/{BATCH}={newest}")

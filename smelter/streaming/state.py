@@ -1,13 +1,14 @@
-"""Custom per-key state with ``transformWithStateInPandas`` (needs the RocksDB state store).
+"""Custom per-user state with ``transformWithStateInPandas`` (needs the RocksDB state store).
 
-All state of one key lives in one task, so the key includes a salt: the events of a
-user known to be hot are spread over ``SALTS`` states, and reading combines them. The
-processors are built inside functions, so Spark sends them to the executors by value.
+All state of one user lives in one task. Before the shuffle, every Arrow batch of events is therefore
+combined to one row per user (or the few latest events of each), without any state: however many events a
+user has, now or later, the user's task gets one such row per batch. The processors are built inside
+functions, so Spark sends them to the executors by value.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pandas as pd
@@ -15,17 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from smelter.operators.joins import broadcast_checked
-
 # The setting that chooses the state store, and the store to choose.
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-SALTS = 64
-
-COUNT_SCHEMA = "user_id bigint, salt bigint, n_events bigint, total_value double"
-IDLE_SCHEMA = "user_id bigint, salt bigint, n_events bigint"
-LATEST_SCHEMA = "user_id bigint, salt bigint, event_ids array<bigint>, times array<timestamp>"
+COUNT_SCHEMA = "user_id bigint, n_events bigint, total_value double"
+IDLE_SCHEMA = "user_id bigint, n_events bigint"
+LATEST_SCHEMA = "user_id bigint, event_ids array<bigint>, times array<timestamp>"
 
 
 @contextmanager
@@ -39,20 +36,24 @@ def rocksdb_state(spark: SparkSession):
         spark.conf.set(STATE_STORE, before)
 
 
-def _track(events: DataFrame, hot_users: DataFrame, processor: StatefulProcessor, schema: str,
-           time_mode: str = "None") -> DataFrame:
-    hot = broadcast_checked(hot_users.select("user_id").withColumn("_hot", F.lit(True)))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("event_id"), F.lit(SALTS))).otherwise(F.lit(0))
-    salted = events.join(hot, "user_id", "left").withColumn("salt", salt).drop("_hot")
-    return salted.groupBy("user_id", "salt").transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=schema, outputMode="Update", timeMode=time_mode)
+def _combined(events: DataFrame, columns: list[str], combine: Callable[[pd.DataFrame], pd.DataFrame],
+              schema: str) -> DataFrame:
+    """Every Arrow batch of events combined on its own; ids travel as strings, which NULL leaves exact."""
+    def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield combine(frame)
 
+    sent = events.select(F.col("user_id").cast("string"), *columns)
+    return sent.mapInPandas(each, f"user_id string, {schema}").withColumn("user_id", F.col("user_id").cast("bigint"))
 
-def event_counts(events: DataFrame, hot_users: DataFrame) -> DataFrame:
-    """Count and sum of the events so far, per user and salt.
 
-    ``hot_users`` is a table of user ids, usually ``hot_groups`` of what was stored so far.
-    """
+def _track(combined: DataFrame, processor: StatefulProcessor, schema: str, time_mode: str = "None") -> DataFrame:
+    return combined.groupBy("user_id").transformWithStateInPandas(
+        statefulProcessor=processor, outputStructType=schema, outputMode="Update", timeMode=time_mode)
+
+
+def event_counts(events: DataFrame) -> DataFrame:
+    """Count and sum of each user's events so far."""
 
     class Counter(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
@@ -61,49 +62,51 @@ def event_counts(events: DataFrame, hot_users: DataFrame) -> DataFrame:
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
             n, total = self._totals.get() or (0, 0.0)
             for batch in rows:
-                n += len(batch)
-                total += float(batch["value"].sum())
+                n += int(batch["n"].sum())
+                total += float(batch["total"].sum())
             self._totals.update((n, total))
-            yield pd.DataFrame({"user_id": [key[0]], "salt": [key[1]], "n_events": [n], "total_value": [total]})
+            yield pd.DataFrame({"user_id": [key[0]], "n_events": [n], "total_value": [total]})
 
         def close(self) -> None:
             pass
 
-    return _track(events, hot_users, Counter(), COUNT_SCHEMA)
-
+    def combine(frame: pd.DataFrame) -> pd.DataFrame:
+        users = frame.groupby("user_id", dropna=False, as_index=False)
+        return users.agg(n=("value", "size"), total=("value", "sum"))
 
-def combine_counts(states: DataFrame) -> DataFrame:
-    """Per user, from the latest state of each salt."""
-    return states.groupBy("user_id").agg(
-        F.sum("n_events").alias("n_events"), F.sum("total_value").alias("total_value"))
+    return _track(_combined(events, ["value"], combine, "n bigint, total double"), Counter(), COUNT_SCHEMA)
 
 
-def latest_events(events: DataFrame, hot_users: DataFrame, keep: int) -> DataFrame:
-    """Ids and times of the latest ``keep`` events, per user and salt."""
+def latest_events(events: DataFrame, keep: int) -> DataFrame:
+    """Ids and times of each user's latest ``keep`` events, oldest first."""
 
     class Latest(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
             self._latest = handle.getListState("latest", "ts timestamp, event_id bigint")
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-            latest = [(pd.Timestamp(ts), int(i)) for ts, i in self._latest.get()]
+            known = pd.DataFrame(list(self._latest.get()), columns=["ts", "event_id"])
+            known["ts"] = pd.to_datetime(known["ts"])
             for batch in rows:
-                latest += [(pd.Timestamp(ts), int(i)) for ts, i in zip(batch["ts"], batch["event_id"])]
-                latest = sorted(latest)[-keep:]
-            self._latest.put([(ts.to_pydatetime(), i) for ts, i in latest])
-            yield pd.DataFrame({"user_id": [key[0]], "salt": [key[1]],
-                                "event_ids": [[i for _, i in latest]], "times": [[ts for ts, _ in latest]]})
+                both = pd.concat([f for f in (known, batch[["ts", "event_id"]]) if len(f)])
+                known = both.sort_values(["ts", "event_id"]).tail(keep)
+            times, ids = [t.to_pydatetime() for t in known["ts"]], [int(i) for i in known["event_id"]]
+            self._latest.put(list(zip(times, ids)))
+            yield pd.DataFrame({"user_id": [key[0]], "event_ids": [ids], "times": [times]})
 
         def close(self) -> None:
             pass
 
-    return _track(events, hot_users, Latest(), LATEST_SCHEMA)
+    def combine(frame: pd.DataFrame) -> pd.DataFrame:
+        return frame.sort_values(["ts", "event_id"]).groupby("user_id", dropna=False).tail(keep)
 
+    return _track(_combined(events, ["ts", "event_id"], combine, "ts timestamp, event_id bigint"), Latest(), LATEST_SCHEMA)
 
-def idle_users(events: DataFrame, hot_users: DataFrame, idle_ms: int) -> DataFrame:
-    """A row per user and salt that has had no event for ``idle_ms`` of processing time.
 
-    Every batch with events of the key moves its one timer. A query with timers only
+def idle_users(events: DataFrame, idle_ms: int) -> DataFrame:
+    """A row per user who has had no event for ``idle_ms`` of processing time.
+
+    Every batch with events of a user moves the user's one timer. A query with timers only
     ends when it is stopped.
     """
 
@@ -118,24 +121,18 @@ def idle_users(events: DataFrame, hot_users: DataFrame, idle_ms: int) -> DataFra
                 self._handle.deleteTimer(timer)
             timer = timerValues.getCurrentProcessingTimeInMs() + idle_ms
             self._handle.registerTimer(timer)
-            self._seen.update((n + sum(len(batch) for batch in rows), timer))
+            self._seen.update((n + sum(int(batch["n"].sum()) for batch in rows), timer))
             return iter(())
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
             n, _ = self._seen.get()
             self._seen.clear()
-            yield pd.DataFrame({"user_id": [key[0]], "salt": [key[1]], "n_events": [n]})
+            yield pd.DataFrame({"user_id": [key[0]], "n_events": [n]})
 
         def close(self) -> None:
             pass
 
-    return _track(events, hot_users, Idle(), IDLE_SCHEMA, "ProcessingTime")
-
+    def combine(frame: pd.DataFrame) -> pd.DataFrame:
+        return frame.groupby("user_id", dropna=False, as_index=False).agg(n=("event_id", "size"))
 
-def combine_latest(states: DataFrame, keep: int) -> DataFrame:
-    """Per user, the ids of the latest ``keep`` events, oldest first."""
-    by_time = F.array_sort(F.flatten(F.collect_list(F.arrays_zip("times", "event_ids"))))
-    newest = states.groupBy("user_id").agg(by_time.alias("all"))
-    return newest.select("user_id", F.transform(
-        F.slice("all", F.greatest(F.size("all") - keep + 1, F.lit(1)), F.lit(keep)),
-        lambda e: e["event_ids"]).alias("event_ids"))
+    return _track(_combined(events, ["event_id"], combine, "n bigint"), Idle(), IDLE_SCHEMA, "ProcessingTime")

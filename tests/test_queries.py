@@ -33,12 +33,6 @@ def test_same_when_groups_are_cut(spark, duck, name, hot_rows):
     assert differences(result, duck_result(duck, contract.oracle_sql()[name])) == []
 
 
-@pytest.mark.parametrize("name", ["stream_user_counts", "stream_latest_events"])
-def test_same_when_state_is_salted(spark, small_duck, name):
-    result = spark_result(contract.queries()[name](spark, SMALL, hot_rows=70))
-    assert differences(result, duck_result(small_duck, contract.oracle_sql()[name])) == []
-
-
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLES)
     assert set(QUERIES) <= set(contract.queries())

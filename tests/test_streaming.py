@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from smelter.sources.readers import table
 from smelter.streaming import state
-from smelter.streaming.sinks import start_batches, start_files, upsert_into
+from smelter.streaming.sinks import compact_upserted, read_upserted, start_batches, start_files, upsert_into
 from smelter.streaming.sources import bronze_stream, file_stream, parse_messages, with_event_time
 from smelter.streaming.windows import drop_replays, time_windows
 
@@ -118,18 +118,35 @@ def test_replays_within_the_delay(folder):
     assert sorted(r.event_id for r in folder.result().collect()) == [1, 2, 3]
 
 
-def test_upsert_touches_only_its_buckets_and_can_repeat(spark, folder):
-    write = upsert_into(folder.out, ["user_id"], [F.desc("ts"), F.desc("event_id")], buckets=4)
-    first = spark.createDataFrame([(i, i, at(1), 1.0) for i in range(20)], SCHEMA)
-    write(first, 0)
+def test_upsert_writes_only_its_rows_and_can_repeat(spark, folder):
+    keys, order = ["user_id"], [F.desc("ts"), F.desc("event_id")]
+    write = upsert_into(folder.out, keys, order)
+    write(spark.createDataFrame([(i, i, at(1), 1.0) for i in range(20)], SCHEMA), 0)
     files = {f: f.stat().st_mtime_ns for f in folder.path.glob("out/*/*.parquet")}
     later = spark.createDataFrame([(30, 3, at(2), 7.0), (31, 3, at(0), 9.0)], SCHEMA)
     write(later, 1)
     write(later, 1)
-    rows = {r.user_id: (r.event_id, r.value) for r in folder.result().collect()}
-    assert len(rows) == folder.result().count() == 20
+    assert all(f.stat().st_mtime_ns == t for f, t in files.items())
+    assert spark.read.parquet(folder.out).filter("_batch_id = 1").count() == 1
+    merged = read_upserted(spark, folder.out, keys, order)
+    rows = {r.user_id: (r.event_id, r.value) for r in merged.collect()}
+    assert len(rows) == merged.count() == 20
     assert rows[3] == (30, 7.0) and rows[4] == (4, 1.0)
-    assert sum(f.exists() and f.stat().st_mtime_ns == t for f, t in files.items()) >= len(files) - 1
+    compact_upserted(spark, folder.out, f"{folder.path}/compact", keys, order)
+    assert sorted(read_upserted(spark, f"{folder.path}/compact", keys, order).collect()) == sorted(merged.collect())
+
+
+def test_a_failed_upsert_loses_nothing(spark, folder):
+    keys, order = ["user_id"], [F.desc("ts"), F.desc("event_id")]
+    write = upsert_into(folder.out, keys, order)
+    write(spark.createDataFrame([(i, i, at(1), 1.0) for i in range(20)], SCHEMA), 0)
+    later = spark.createDataFrame([(30, 3, at(2), 7.0), (32, 40, at(2), 8.0)], SCHEMA)
+    broken = later.withColumn("value", F.when(F.col("user_id") == 40, F.raise_error(F.lit("lost"))).otherwise(F.col("value")))
+    with pytest.raises(Exception, match="lost"):
+        write(broken, 1)
+    write(later, 1)
+    rows = {r.user_id: r.value for r in read_upserted(spark, folder.out, keys, order).collect()}
+    assert len(rows) == 21 and rows[3] == 7.0 and rows[40] == 8.0 and rows[4] == 1.0
 
 
 def test_messages(spark):
@@ -150,7 +167,7 @@ def test_watermark_takes_the_events_table(spark):
 def test_idle_users(spark, folder):
     folder.drop([(1, 1, at(1), 1.0), (2, 1, at(2), 1.0), (3, 2, at(1), 1.0)])
     with state.rocksdb_state(spark):
-        idle = state.idle_users(folder.stream(), spark.createDataFrame([(2,)], "user_id bigint"), 1000)
+        idle = state.idle_users(folder.stream(), 1000)
         query = start_batches(idle, lambda batch, _: batch.write.mode("append").parquet(folder.out),
                               folder.state, "update", {"processingTime": "1 second"})
     try:
@@ -164,3 +181,23 @@ def test_idle_users(spark, folder):
         query.stop()
     assert sorted((r.user_id, r.n_events) for r in rows) == [(1, 2), (2, 1)]
     assert spark.conf.get(state.STATE_STORE) != state.ROCKSDB
+
+
+def test_a_busy_user_is_never_idle(spark, folder):
+    """Many events of one user in every batch, spread over all partitions; another user stops."""
+    folder.drop([(1, 9, at(1), 1.0)])
+    with state.rocksdb_state(spark):
+        query = start_batches(state.idle_users(folder.stream(), 9000),
+                              lambda batch, _: batch.write.mode("append").parquet(folder.out),
+                              folder.state, "update", {"processingTime": "1 second"})
+    try:
+        deadline, number, users = time.monotonic() + 120, 100, set()
+        while 9 not in users and time.monotonic() < deadline:
+            folder.drop([(number + i, 2, at(2), 1.0) for i in range(50)])
+            number += 50
+            time.sleep(2)
+            if any(folder.path.glob("out/_SUCCESS")):
+                users = {r.user_id for r in folder.result().collect()}
+    finally:
+        query.stop()
+    assert users == {9}
