@@ -13,7 +13,7 @@ from smelter.plans.medallion import ORDER_COLUMNS, order_flows
 from smelter.plans.registry import query
 from smelter.sources.incremental import read_new_files, rows_since_with_overlap
 from smelter.sources.readers import read_any, table, with_lineage
-from smelter.sources.snapshots import SnapshotTable
+from smelter.sources.snapshots import SNAPSHOT, rows_as_of, snapshot_rows
 from smelter.sources.writers import write_by_partition
 
 CUT = "2024-01-20 00:00:00"
@@ -47,28 +47,29 @@ def flows_gold(spark: SparkSession, sf: str) -> DataFrame:
     return gold.withColumn("total_revenue", F.round("total_revenue", 2)).drop("avg_order_value")
 
 
-def _order_snapshots(spark: SparkSession, sf: str) -> SnapshotTable:
-    """Orders of three spans of years as three commits; the last has one more column."""
+def _order_snapshots(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    """Orders of three spans of years as three partitions, of which the last has one more column, and their log."""
     orders = table(spark, sf, "orders")
     year = F.year("o_orderdate")
     narrow = orders.select("o_orderkey", "o_orderdate", "o_totalprice")
-    snapshots = SnapshotTable(spark, scratch_folder(spark))
-    snapshots.create_or_replace(narrow.filter(year < YEARS[0]), COMMITTED[0])
-    snapshots.append(narrow.filter((year >= YEARS[0]) & (year < YEARS[1])), COMMITTED[1])
-    snapshots.append(
-        orders.select(*narrow.columns, "o_orderpriority").filter(year >= YEARS[1]), COMMITTED[2])
-    return snapshots
+    folder = scratch_folder(spark)
+    spans = (narrow.filter(year < YEARS[0]), narrow.filter((year >= YEARS[0]) & (year < YEARS[1])),
+             orders.select(*narrow.columns, "o_orderpriority").filter(year >= YEARS[1]))
+    for number, span in enumerate(spans, 1):
+        span.write.parquet(f"{folder}/{SNAPSHOT}={number}")
+    log = spark.createDataFrame([(n, 1, at) for n, at in enumerate(COMMITTED, 1)],
+                                "snapshot_id bigint, base_id bigint, committed_at timestamp")
+    return folder, log
 
 
 @query(f"SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE year(o_orderdate) < {YEARS[0]}")
 def snapshot_by_id(spark: SparkSession, sf: str) -> DataFrame:
-    return _order_snapshots(spark, sf).read_snapshot(1).drop("o_orderpriority")
+    return snapshot_rows(spark, *_order_snapshots(spark, sf), 1)
 
 
 @query(f"SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE year(o_orderdate) < {YEARS[1]}")
 def snapshot_as_of(spark: SparkSession, sf: str) -> DataFrame:
-    snapshots = _order_snapshots(spark, sf)
-    return snapshots.read_as_of(COMMITTED[1] + dt.timedelta(days=3)).drop("o_orderpriority")
+    return rows_as_of(spark, *_order_snapshots(spark, sf), COMMITTED[1] + dt.timedelta(days=3))
 
 
 @query(f"""
@@ -77,7 +78,7 @@ SELECT o_orderkey, o_orderdate, o_totalprice,
 FROM orders
 """)
 def snapshot_evolved(spark: SparkSession, sf: str) -> DataFrame:
-    return _order_snapshots(spark, sf).read()
+    return snapshot_rows(spark, *_order_snapshots(spark, sf), 3)
 
 
 @query(f"SELECT event_id, user_id, event_type, value FROM events WHERE ts >= TIMESTAMP '{CUT}'")

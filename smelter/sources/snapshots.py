@@ -1,77 +1,39 @@
-"""Versioned parquet tables: snapshot and as-of reads by partition filters.
+"""Reading versions of a table whose snapshots are partitions, by a log of them.
 
-Every commit writes its rows to ``data/_snapshot_id=n`` and then one row to ``log``.
-A snapshot consists of the partitions from its ``base_id`` (the latest replacement)
-up to itself, so appends copy nothing and reads prune to a range of partitions.
-One writer at a time.
+The rows of snapshot n lie in ``_snapshot_id=n`` below a path. The log has a row per snapshot: its
+``snapshot_id``, the ``base_id`` that it builds on (its own number when it replaced everything) and
+``committed_at``. A snapshot consists of the partitions from its base up to itself. Only those are
+read, so its schema is its own, whatever was committed before its base or after it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LOG_SCHEMA = "snapshot_id bigint, base_id bigint, committed_at timestamp, operation string"
+SNAPSHOT = "_snapshot_id"
 
 
-class SnapshotTable:
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path
-        # Keeps an existing log and otherwise starts an empty one.
-        spark.createDataFrame([], LOG_SCHEMA).write.mode("ignore").parquet(f"{path}/log")
+def _rows(spark: SparkSession, path: str, log: DataFrame, condition: Column, what: str) -> DataFrame:
+    newest = log.filter(condition).orderBy(F.desc("snapshot_id")).select("snapshot_id", "base_id").first()
+    if newest is None:
+        raise ValueError(f"no snapshot {what} in {path}")
+    # One number per commit since the base.
+    parts = log.filter(F.col("snapshot_id").between(newest["base_id"], newest["snapshot_id"])).select("snapshot_id").collect()
+    folders = [f"{path}/{SNAPSHOT}={row[0]}" for row in sorted(parts)]
+    return spark.read.option("mergeSchema", True).option("basePath", path).parquet(*folders).drop(SNAPSHOT)
 
-    @property
-    def _data(self) -> str:
-        return f"{self.path}/data"
 
-    def log(self) -> DataFrame:
-        """One row per commit."""
-        return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/log")
+def snapshot_rows(spark: SparkSession, path: str, log: DataFrame, number: int) -> DataFrame:
+    """The rows of one snapshot, with the columns it had."""
+    return _rows(spark, path, log, F.col("snapshot_id") == number, str(number))
 
-    def _pointer(self, condition) -> tuple[int, int] | None:
-        row = self.log().filter(condition).orderBy(F.desc("snapshot_id")).select("snapshot_id", "base_id").first()
-        return (row[0], row[1]) if row else None
 
-    def _commit(self, df: DataFrame, operation: str, at: dt.datetime | None) -> int:
-        current = self._pointer(F.lit(True))
-        number = current[0] + 1 if current else 1
-        base = current[1] if current and operation == "append" else number
-        # A partition left behind by a failed commit of the same number is replaced.
-        df.write.mode("overwrite").parquet(f"{self._data}/_snapshot_id={number}")
-        when = F.lit(at).cast("timestamp") if at else F.current_timestamp()
-        (self.spark.range(1)
-         .select(F.lit(number).cast("bigint").alias("snapshot_id"), F.lit(base).cast("bigint").alias("base_id"),
-                 when.alias("committed_at"), F.lit(operation).alias("operation"))
-         .write.mode("append").parquet(f"{self.path}/log"))
-        return number
-
-    def create_or_replace(self, df: DataFrame, at: dt.datetime | None = None) -> int:
-        """Make ``df`` the table's whole content; earlier snapshots stay readable."""
-        return self._commit(df, "replace", at)
-
-    def append(self, df: DataFrame, at: dt.datetime | None = None) -> int:
-        return self._commit(df, "append", at)
-
-    def _read(self, condition, what: str) -> DataFrame:
-        pointer = self._pointer(condition)
-        if pointer is None:
-            raise ValueError(f"no snapshot {what} in {self.path}")
-        number, base = pointer
-        rows = self.spark.read.option("mergeSchema", True).parquet(self._data)
-        return rows.filter(F.col("_snapshot_id").between(base, number)).drop("_snapshot_id")
-
-    def read(self) -> DataFrame:
-        return self._read(F.lit(True), "at all")
-
-    def read_snapshot(self, number: int) -> DataFrame:
-        return self._read(F.col("snapshot_id") == number, str(number))
-
-    def read_as_of(self, when: dt.datetime) -> DataFrame:
-        """The newest snapshot committed at or before ``when``."""
-        return self._read(F.col("committed_at") <= F.lit(when), f"at {when}")
+def rows_as_of(spark: SparkSession, path: str, log: DataFrame, when: dt.datetime) -> DataFrame:
+    """The rows of the newest snapshot committed at or before ``when``."""
+    return _rows(spark, path, log, F.col("committed_at") <= F.lit(when), f"at {when}")
 
 
 def evolve(df: DataFrame, renamed: dict[str, str] | None = None, dropped: tuple[str, ...] = ()) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from smelter.sources import readers, writers
 from smelter.sources.incremental import list_files, new_files, read_new_files, rows_since, rows_since_with_overlap
-from smelter.sources.snapshots import SnapshotTable, evolve, with_bucket
+from smelter.sources.snapshots import evolve, rows_as_of, snapshot_rows, with_bucket
 
 USERS = "user_id,name,age\nu1,Ann,31\nu2,Bo,unknown\n"
 USER_SCHEMA = T.StructType([T.StructField("user_id", T.StringType(), nullable=False),
@@ -161,44 +161,39 @@ def test_rows_since(spark):
     assert rows_since_with_overlap(source, empty, "ts", ["id"], "1 hour").count() == 6
 
 
-@pytest.fixture
-def snapshots(spark, tmp_path):
-    return SnapshotTable(spark, str(tmp_path / "t"))
-
-
-DAYS = [dt.datetime(2026, 1, d) for d in (1, 2, 3)]
+DAYS = [dt.datetime(2026, 1, d) for d in (1, 2, 3, 4)]
 
 
-def test_snapshots(spark, people, snapshots):
-    one = snapshots.create_or_replace(people.filter("user_id = 'u1'"), DAYS[0])
-    two = snapshots.append(people.filter("user_id = 'u2'"), DAYS[1])
-    three = snapshots.create_or_replace(people.filter("user_id = 'u3'"), DAYS[2])
-    ids = {n: sorted(r.user_id for r in snapshots.read_snapshot(n).collect()) for n in (one, two, three)}
-    assert ids == {1: ["u1"], 2: ["u1", "u2"], 3: ["u3"]}
-    assert [r.user_id for r in snapshots.read().collect()] == ["u3"]
-    assert snapshots.read_as_of(dt.datetime(2026, 1, 2, 12)).count() == 2
+@pytest.fixture
+def snapshots(spark, people, tmp_path):
+    """Two appends of growing width, then a replacement in which a column has another type, and their log."""
+    path = str(tmp_path / "t")
+    parts = [people.filter("user_id = 'u1'").select("user_id"), people.filter("user_id = 'u2'").select("user_id", "age"),
+             people.filter("user_id = 'u3'").select("user_id", F.lit("old").alias("age")), people.limit(0).select("user_id")]
+    for number, rows in enumerate(parts, 1):
+        rows.write.parquet(f"{path}/_snapshot_id={number}")
+    log = spark.createDataFrame([(n, base, at) for n, (base, at) in enumerate(zip((1, 1, 3, 3), DAYS), 1)],
+                                "snapshot_id bigint, base_id bigint, committed_at timestamp")
+    return path, log
+
+
+def test_snapshots(spark, snapshots):
+    found = {n: snapshot_rows(spark, *snapshots, n) for n in (1, 2, 3, 4)}
+    assert {n: sorted(r.user_id for r in df.collect()) for n, df in found.items()} == {
+        1: ["u1"], 2: ["u1", "u2"], 3: ["u3"], 4: ["u3"]}
+    assert [df.columns for df in found.values()] == [["user_id"], ["user_id", "age"], ["user_id", "age"], ["user_id", "age"]]
+    assert dict(found[2].dtypes)["age"] == "int" and dict(found[3].dtypes)["age"] == "string"
+    assert rows_as_of(spark, *snapshots, dt.datetime(2026, 1, 2, 12)).count() == 2
     with pytest.raises(ValueError):
-        snapshots.read_as_of(dt.datetime(2025, 1, 1))
+        rows_as_of(spark, *snapshots, dt.datetime(2025, 1, 1))
     with pytest.raises(ValueError):
-        snapshots.read_snapshot(9)
-    assert "PartitionFilters: [isnotnull(_snapshot_id" in plan(snapshots.read())
-    assert SnapshotTable(spark, snapshots.path).log().count() == 3
-
-
-def test_schema_evolution(people, snapshots):
-    snapshots.create_or_replace(people.select("user_id"))
-    snapshots.append(people.filter("user_id = 'u3'").select("user_id", "age"))
-    rows = evolve(snapshots.read(), {"user_id": "id"}).orderBy("id", "age").collect()
-    assert [tuple(r) for r in rows] == [("u1", None), ("u2", None), ("u3", None), ("u3", 7)]
-    assert evolve(snapshots.read(), dropped=("age",)).columns == ["user_id"]
+        snapshot_rows(spark, *snapshots, 9)
 
 
-def test_a_failed_commit_leaves_no_trace(people, snapshots):
-    snapshots.create_or_replace(people)
-    people.write.parquet(f"{snapshots.path}/data/_snapshot_id=2")  # data without its log row
-    assert snapshots.read().count() == 3
-    snapshots.append(people.limit(1))
-    assert snapshots.read().count() == 4
+def test_schema_evolution(spark, snapshots):
+    rows = evolve(snapshot_rows(spark, *snapshots, 2), {"user_id": "id"}).orderBy("id").collect()
+    assert [r.id for r in rows] == ["u1", "u2"] and rows[0].age is None
+    assert evolve(snapshot_rows(spark, *snapshots, 2), dropped=("age",)).columns == ["user_id"]
 
 
 def test_hash_buckets(spark, people, tmp_path):
