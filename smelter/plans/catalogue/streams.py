@@ -69,7 +69,7 @@ def stream_replays(spark: SparkSession, sf: str) -> DataFrame:
     events = with_event_time(table(spark, sf, "events")).select("event_id", "ts", "user_id", "event_type", "value")
     replayed = events.unionByName(events.filter(F.pmod("event_id", F.lit(20)) == 0))
     source = _in_files(replayed, f"{folder}/source", 4, "ts")
-    once = drop_replays(file_stream(spark, source, events.schema), ["event_id"], DELAY)
+    once = drop_replays(file_stream(spark, source, events.schema, files_per_trigger=1), ["event_id"], DELAY)
     start_files(once, f"{folder}/once", f"{folder}/state").awaitTermination()
     return spark.read.parquet(f"{folder}/once").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
@@ -101,7 +101,7 @@ def stream_messages(spark: SparkSession, sf: str) -> DataFrame:
         F.col("event_id").cast("string").cast("binary").alias("key"), body.cast("binary").alias("value"),
         F.col("ts").alias("timestamp"))
     source = _in_files(messages, f"{folder}/source", 2, "timestamp")
-    parsed = parse_messages(file_stream(spark, source, messages.schema), "user_id bigint, value double")
+    parsed = parse_messages(file_stream(spark, source, messages.schema, files_per_trigger=1), "user_id bigint, value double")
     start_files(parsed, f"{folder}/parsed", f"{folder}/state").awaitTermination()
     return spark.read.parquet(f"{folder}/parsed").drop("_message_at")
 

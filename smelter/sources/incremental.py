@@ -33,10 +33,14 @@ def read_new_files(spark: SparkSession, path: str, processed: DataFrame,
 
 
 def rows_since(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
-    """Source rows strictly newer than the newest row of ``target``; all when it has none."""
+    """Source rows strictly newer than the newest row of ``target``; all timed ones when it has none.
+
+    Rows without a time cannot be told from loaded ones by it and are always left out;
+    ``rows_since_with_overlap`` takes them by their keys.
+    """
     loaded = target.filter(F.col(column).isNotNull())
     if loaded.isEmpty():
-        return source
+        return source.filter(F.col(column).isNotNull())
     # A bare comparison with the subquery, so that it reaches the scan as a filter.
     return source.filter(F.col(column) > loaded.agg(F.max(column)).scalar())
 
@@ -45,11 +49,11 @@ def rows_since_with_overlap(source: DataFrame, target: DataFrame, column: str, k
                             overlap: str) -> DataFrame:
     """As ``rows_since``, but looks back by ``overlap`` (say '2 hours') for late rows.
 
-    Rows of the overlap that the target already has, by ``keys``, are left out.
+    Rows of the overlap and rows without a time that the target already has, by ``keys``, are left out.
     """
     loaded = target.filter(F.col(column).isNotNull())
     if loaded.isEmpty():
-        return source
+        return source.join(target.select(*keys), list(keys), "left_anti")
     back_to = loaded.agg(F.max(column) - F.expr(f"INTERVAL {overlap}")).scalar()
-    known = target.filter(F.col(column) > back_to).select(*keys)
-    return source.filter(F.col(column) > back_to).join(known, list(keys), "left_anti")
+    open_still = (F.col(column) > back_to) | F.col(column).isNull()
+    return source.filter(open_still).join(target.filter(open_still).select(*keys), list(keys), "left_anti")

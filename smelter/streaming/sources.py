@@ -6,14 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Files of a micro-batch unless the caller says otherwise.
+FILES_PER_TRIGGER = 1000
+
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet",
-                files_per_trigger: int | None = None, **options) -> DataFrame:
-    """New files under ``path``; the checkpoint remembers which were read."""
+                files_per_trigger: int = FILES_PER_TRIGGER, **options) -> DataFrame:
+    """New files under ``path``; the checkpoint remembers which were read.
+
+    A micro-batch takes at most ``files_per_trigger`` files, so a backlog is worked off in batches.
+    """
     reader = spark.readStream.format(fmt).schema(schema).options(**options)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.load(path)
+    return reader.option("maxFilesPerTrigger", files_per_trigger).load(path)
 
 
 def bronze_stream(files: DataFrame) -> DataFrame:

@@ -156,6 +156,10 @@ def test_rows_since(spark):
     assert [r.id for r in rows_since(source, target, "ts").orderBy("id").collect()] == [4, 5]
     late = rows_since_with_overlap(source, target, "ts", ["id"], "90 minutes")
     assert [r.id for r in late.orderBy("id").collect()] == [2, 4, 5]
+    untimed = source.unionByName(spark.createDataFrame([(8, None), (9, None)], "id int, ts timestamp"))
+    assert [r.id for r in rows_since(untimed, target, "ts").orderBy("id").collect()] == [4, 5]
+    some = target.unionByName(untimed.filter("id = 8"))
+    assert [r.id for r in rows_since_with_overlap(untimed, some, "ts", ["id"], "90 minutes").orderBy("id").collect()] == [2, 4, 5, 9]
     empty = source.filter("id < 0")
     assert rows_since(source, empty, "ts").count() == 6
     assert rows_since_with_overlap(source, empty, "ts", ["id"], "1 hour").count() == 6
