@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from smelter.llm.batches import bound_batches
 from smelter.llm.hashing import NON_ALPHANUMERIC, chunks, distinct_per_text, shingle_hashes, word_hashes
 from smelter.operators.lineage import cut_lineage
 
@@ -106,6 +107,7 @@ def find_contained(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", it
     Items up to ``broadcast_bytes`` are sent to the tasks and the documents are read once without a shuffle.
     Beyond that, the sketches and the documents' shingle hashes meet by an equi-join on the hash.
     """
+    bound_batches(docs.sparkSession)
     tests = items.select(F.col(item_id).cast("bigint").alias("item_id"), F.lower(F.col(text)).alias("text")).filter(
         F.coalesce(F.trim("text"), F.lit("")) != "").distinct()
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.lower(F.col(text)).alias("text"))
@@ -128,7 +130,7 @@ def _by_broadcast(texts: DataFrame, tests: DataFrame, n: int, needed: int, out_o
                 out[t].append({"item_id": index.items[o][0], "shared": shared, "item_shingles": size})
             yield pd.Series(out)
 
-    found = texts.select("doc_id", probe("text").alias("found"))
+    found = texts.select("doc_id", probe.asNondeterministic()("text").alias("found"))
     return found.select("doc_id", F.inline("found"))
 
 
@@ -139,12 +141,12 @@ def _by_shuffle(texts: DataFrame, tests: DataFrame, n: int, needed: int, out_of:
             yield pd.Series([s.astype(np.int64) for s in _sets([x if isinstance(x, str) else None for x in batch], n)])
 
     # Sorted as unsigned numbers, so the first ones are the smallest hashes.
-    sized = tests.filter("item_id IS NOT NULL").select("item_id", "text", shingle_sets("text").alias("grams"))
+    sized = tests.filter("item_id IS NOT NULL").select("item_id", "text", shingle_sets.asNondeterministic()("text").alias("grams"))
     least = F.greatest(F.ceil(F.size("grams") * needed / out_of), F.lit(1))
     sketches = sized.withColumn("least", least).select(
         "item_id", "text", "least", F.explode(F.slice("grams", 1, F.greatest(
             F.size("grams") - F.col("least") + 1, F.lit(0)).cast("int"))).alias("gram"))
-    grams = texts.select("doc_id", shingle_sets("text").alias("grams")).select(
+    grams = texts.select("doc_id", shingle_sets.asNondeterministic()("text").alias("grams")).select(
         "doc_id", F.size("grams").alias("doc_size"), F.explode("grams").alias("gram"))
     met = grams.join(sketches.drop("text"), "gram").filter(F.col("doc_size") >= F.col("least"))
     pairs = cut_lineage(met.select("doc_id", "item_id").distinct())
@@ -156,7 +158,7 @@ def _by_shuffle(texts: DataFrame, tests: DataFrame, n: int, needed: int, out_of:
         rows = [(_shingles(d or "", n), _shingles(i, n)) for d, i in zip(doc, item)]
         return pd.DataFrame({"shared": [len(d & i) for d, i in rows], "item_shingles": [len(i) for _, i in rows]})
 
-    counted = both.select("doc_id", "item_id", shares("text", "item_text").alias("s")).select("doc_id", "item_id", "s.*")
+    counted = both.select("doc_id", "item_id", shares.asNondeterministic()("text", "item_text").alias("s")).select("doc_id", "item_id", "s.*")
     return counted.filter((F.col("item_shingles") > 0) & (
         F.col("shared") * out_of >= F.col("item_shingles") * needed))
 

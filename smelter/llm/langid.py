@@ -12,9 +12,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from smelter.llm.batches import bound_batches
+
 PIECE_BYTES = 1024
 LEVEL = 6
 #: Bytes of difference that make one language e times likelier than another.
@@ -83,6 +85,7 @@ def language_of(text: Column, dictionaries: dict[str, bytes]) -> Column:
     bounded size for each language, travel with the function.
     """
     names = list(dictionaries)
+    bound_batches(SparkSession.active())
 
     @F.pandas_udf("lang string, score double")
     def guess(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -91,7 +94,8 @@ def language_of(text: Column, dictionaries: dict[str, bytes]) -> Column:
             found = [predict(t if isinstance(t, str) else None, names, ready) for t in batch]
             yield pd.DataFrame(found, columns=["lang", "score"])
 
-    guessed = guess(text)
+    # Not to be evaluated once more for a filter on its result.
+    guessed = guess.asNondeterministic()(text)
     return F.struct(guessed["lang"].alias("lang"), guessed["score"].alias("score"),
                     (guessed["score"] >= LEAST_SCORE).alias("accepted"))
 

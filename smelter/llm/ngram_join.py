@@ -23,6 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from smelter.llm.batches import bound_batches
 from smelter.llm.components import connected_components
 from smelter.llm.hashing import chunks, distinct_per_text, shingle_hashes, word_hashes
 from smelter.llm.keys import BROADCAST_BYTES, keep_keys
@@ -63,10 +64,12 @@ def _sets_and_counts(text: Column, n: int) -> Column:
                 sizes.append(len(shingles))
             counted: list[list[bytes] | None] = [None] * len(batch)
             if len(batch):
+                counters = counters.astype(np.min_scalar_type(int(counters.max())))
                 counted[-1] = [packer.compress(counters[i:i + _SLICE].tobytes()) for i in range(0, COUNTERS, _SLICE)]
             yield pd.DataFrame({"digest": digests, "size": sizes, "counted": counted})
 
-    return look(text)
+    # Not to be evaluated once more for a filter on its result.
+    return look.asNondeterministic()(text)
 
 
 def _order_table(seen: DataFrame) -> np.ndarray:
@@ -80,7 +83,7 @@ def _order_table(seen: DataFrame) -> np.ndarray:
         total = np.zeros(_SLICE, np.uint64)
         for packed in frame["packed"]:
             raw = opener.decompress(packed)
-            total += np.frombuffer(raw, np.uint32 if len(raw) == 4 * _SLICE else np.uint64)
+            total += np.frombuffer(raw, f"u{len(raw) // _SLICE}")
         return pd.DataFrame({"slice": [int(frame["slice"].iloc[0])],
                              "packed": [zstandard.ZstdCompressor(level=1).compress(total.tobytes())]})
 
@@ -115,7 +118,8 @@ def _prefixes(text: Column, n: int, needed: int, out_of: int, table) -> Column:
                 grams.append(shingles[np.argsort(rarity, kind="stable")[:most]].astype(np.int64))
             yield pd.DataFrame({"digest": digests, "size": sizes, "grams": grams})
 
-    return look(text)
+    # Not to be evaluated once more for a filter on its result.
+    return look.asNondeterministic()(text)
 
 
 def _may_link(a: str, b: str, needed: int, out_of: int) -> Column:
@@ -164,7 +168,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, neede
             yield pd.DataFrame({"digest": list(map(_digest, found)), "shingles": [s.tobytes() for s in found]})
 
     texts = keep_keys(docs, keys.select(F.col("rep").alias("doc_id")).distinct(), limit=broadcast_bytes)
-    sets = texts.select(fetch("text").alias("s")).select("s.*").join(keys.select("digest"), "digest", "left_semi")
+    sets = texts.select(fetch.asNondeterministic()("text").alias("s")).select("s.*").join(keys.select("digest"), "digest", "left_semi")
     sets = sets.groupBy("digest").agg(F.first("shingles").alias("shingles"))
 
     @F.pandas_udf("boolean")
@@ -217,6 +221,7 @@ def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     and are never a component's id unless it has no other. An empty table gives no rows; further columns are
     left out. Shingles are compared by 64-bit hashes, sets of them by 128-bit digests.
     """
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     seen = cut_lineage(rows.select("doc_id", _sets_and_counts(F.col("text"), n).alias("s")).select("doc_id", "s.*"))
     table = docs.sparkSession.sparkContext.broadcast(_order_table(seen))
