@@ -79,21 +79,26 @@ def overlapping_versions(history: DataFrame, key: str) -> DataFrame:
 
 
 def as_of_version(facts: DataFrame, history: DataFrame, key: str, day: str) -> DataFrame:
-    """Left join each fact to the version in force on its day (half-open validity).
+    """Left join each fact to the version in force on its day (half-open validity); the history must be sound.
 
-    Every version is listed once per calendar year it covers, and the join runs on
-    (key, year) with the validity test on top. A fact meets only the versions of its
-    own year, and a hot key is spread over the years; adaptive execution splits what
-    is left of it, since the fact side of a left join can be split.
+    Versions that have ended are listed once per calendar month they cover and join on (key, month), so
+    a fact meets at most one version per day of its month. The open version of a key, one row, joins on the
+    key. Facts are read once; adaptive execution splits what a hot key leaves in one place, since
+    the fact side of a left join can be split.
     """
-    last_year = facts.agg(F.max(F.year(day))).scalar()
-    start = F.year("valid_from")
-    end = F.greatest(start, F.least(F.coalesce(F.year("valid_to"), last_year), last_year))
-    versions = history.withColumn("_year", F.explode(F.sequence(start, end))).alias("h")
-    rows = facts.withColumn("_year", F.year(day)).alias("f")
-    same = (F.col(f"f.{key}") == F.col(f"h.{key}")) & (F.col("f._year") == F.col("h._year"))
-    inside = (F.col(f"f.{day}") >= F.col("h.valid_from")) & (
-        F.col("h.valid_to").isNull() | (F.col(f"f.{day}") < F.col("h.valid_to"))
-    )
-    added = [f"h.{c}" for c in history.columns if c != key]
-    return rows.join(versions, same & inside, "left").select(*[f"f.{c}" for c in facts.columns], *added)
+    def month(c: str) -> Column:
+        return F.date_trunc("month", F.col(c)).cast("date")
+
+    columns = [c for c in history.columns if c != key]
+    version = F.struct(*columns).alias("_version")
+    ended = history.filter(F.col("valid_to") > F.col("valid_from")).select(
+        key, version, F.explode(F.sequence(month("valid_from"), month("valid_to"), F.expr("INTERVAL 1 MONTH"))).alias("_month"))
+    still = history.filter(F.col("valid_to").isNull()).select(key, version)
+    rows = facts.withColumn("_month", month(day)).alias("f")
+    inside = (F.col(f"f.{day}") >= F.col("e._version.valid_from")) & (F.col(f"f.{day}") < F.col("e._version.valid_to"))
+    met = rows.join(ended.alias("e"), (F.col(f"f.{key}") == F.col(f"e.{key}")) & (F.col("f._month") == F.col("e._month"))
+                    & inside, "left").select("f.*", F.col("e._version").alias("_ended")).alias("m")
+    both = met.join(still.alias("s"), (F.col(f"m.{key}") == F.col(f"s.{key}"))
+                    & (F.col(f"m.{day}") >= F.col("s._version.valid_from")), "left")
+    found = both.select(*[f"m.{c}" for c in facts.columns], F.coalesce("m._ended", "s._version").alias("_found"))
+    return found.select(*facts.columns, *[F.col(f"_found.{c}").alias(c) for c in columns])
