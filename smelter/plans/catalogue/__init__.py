@@ -2,6 +2,7 @@
 
 from smelter.plans.catalogue import (  # noqa: F401
     cleaning,
+    formats,
     gold,
     keys,
     layers,

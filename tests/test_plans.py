@@ -13,7 +13,7 @@ from smelter.operators.joins import broadcast_checked, enrich, join_null_safe
 from smelter.operators.lineage import kept
 from smelter.plans.registry import QUERIES
 
-WRITING = {"flows_gold", "partition_pruned", "incremental_files"}
+WRITING = {"flows_gold", "partition_pruned", "incremental_files", "json_bronze", "csv_rejects"}
 READ_ONLY = [n for n in sorted(QUERIES)
              if not n.startswith(("stream_", "snapshot_")) and n not in WRITING]
 
