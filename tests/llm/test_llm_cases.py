@@ -10,7 +10,7 @@ import re
 import numpy as np
 import public_tokenizers
 import pytest
-from fixtures_llm import AWKWARD, BASE, words
+from fixtures_llm import AWKWARD, BASE, awkward, empty, words  # noqa: F401
 from pyspark.sql import functions as F
 
 from smelter.llm import bpe, chat, components, decontam, langid, ngram_join, pii, quality, topk, urls, warc
