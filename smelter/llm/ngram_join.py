@@ -4,7 +4,7 @@ Texts with the same set of shingles form a class and count once. The shingles of
 by a table of counts over all documents. Two sets over the threshold must share a shingle among the first few of
 each (prefix filter; the smaller set needs an even shorter one), and that shingle's places and the sizes
 bound how much they can share at all (length and positional filters). What is left is verified once per
-pair, after a look at how the sets' hashes are spread (suffix filter).
+pair, unless the counts of their hashes in parts of the hash space rule it out (suffix filter).
 
 Copies by the thousand never become pairs of all with all. First each shingle's list is compared with one
 of its sets only, the one with the fewest rarer shingles, which is nearest to what the others were copied
@@ -30,9 +30,11 @@ from smelter.llm.keys import BROADCAST_BYTES, keep_keys
 from smelter.operators.lineage import cut_lineage
 
 #: Counters of the table that orders shingles; its size is fixed, so it can be sent to every task.
-COUNTERS = 1 << 20
-_SHIFT = np.uint64(64 - 20)
-_SLICE = 1 << 14
+COUNTERS = 1 << 22
+_SHIFT = np.uint64(64 - 22)
+_SLICE = 1 << 16
+#: Parts of the hash space in which a set's hashes are counted for the suffix filter.
+PARTS = 64
 
 
 def _text_sets(texts: list[str | None], n: int) -> Iterator[np.ndarray]:
@@ -105,18 +107,19 @@ def prefix_length(size: np.ndarray | int, needed: int, out_of: int):
 
 def _prefixes(text: Column, n: int, needed: int, out_of: int, table) -> Column:
     """Digest, size and the rarest shingles, rarest first, of each text that has any."""
-    @F.pandas_udf("digest binary, size bigint, grams array<bigint>")
+    @F.pandas_udf("digest binary, size bigint, grams array<bigint>, spread binary")
     def look(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         counts = table.value
         for batch in batches:
-            digests, sizes, grams = [], [], []
+            digests, sizes, grams, spreads = [], [], [], []
             for shingles in _text_sets(_strings(batch), n):
                 most = prefix_length(len(shingles), needed, out_of) if len(shingles) else 0
                 rarity = counts[(shingles >> _SHIFT).astype(np.int64)]
                 digests.append(_digest(shingles))
                 sizes.append(len(shingles))
                 grams.append(shingles[np.argsort(rarity, kind="stable")[:most]].astype(np.int64))
-            yield pd.DataFrame({"digest": digests, "size": sizes, "grams": grams})
+                spreads.append(_spread(shingles))
+            yield pd.DataFrame({"digest": digests, "size": sizes, "grams": grams, "spread": spreads})
 
     # Not to be evaluated once more for a filter on its result.
     return look.asNondeterministic()(text)
@@ -145,19 +148,36 @@ def _side(df: DataFrame, side: str) -> DataFrame:
     return df.select(*(F.col(c).alias(c if c == "gram" else f"{side}_{c}") for c in df.columns))
 
 
-def shares_enough(a: np.ndarray, b: np.ndarray, needed: int, out_of: int, parts: int = 16) -> bool:
-    """Whether two sorted sets reach the threshold; the spread of their hashes is looked at first."""
+def _spread(shingles: np.ndarray) -> bytes:
+    """How many hashes of a sorted set lie in each part of the hash space."""
+    cuts = np.arange(1, PARTS, dtype=np.uint64) * np.uint64((1 << 64) // PARTS)
+    return np.diff(np.concatenate(([0], np.searchsorted(shingles, cuts), [len(shingles)]))).astype(np.uint32).tobytes()
+
+
+def _suffix_filter(pairs: DataFrame, prefixes: DataFrame, needed: int, out_of: int) -> DataFrame:
+    """Pairs that can share enough: in each part of the hash space at most what the smaller has there."""
+    @F.pandas_udf("boolean")
+    def possible(left: pd.Series, right: pd.Series) -> pd.Series:
+        a, b = (np.frombuffer(b"".join(x), np.uint32).reshape(-1, PARTS).astype(np.int64) for x in (left, right))
+        both = a.sum(axis=1) + b.sum(axis=1)
+        return pd.Series(np.minimum(a, b).sum(axis=1) * (needed + out_of) >= both * needed)
+
+    spreads = prefixes.select("digest", "spread")
+    seen = (pairs.join(spreads.select(F.col("digest").alias("b"), F.col("spread").alias("b_spread")), "b")
+            .join(spreads.select(F.col("digest").alias("a"), F.col("spread").alias("a_spread")), "a"))
+    return seen.filter(possible("a_spread", "b_spread")).select("a", "b")
+
+
+def shares_enough(a: np.ndarray, b: np.ndarray, needed: int, out_of: int) -> bool:
+    """Whether two sorted sets reach the threshold."""
     least = -(-needed * (len(a) + len(b)) // (needed + out_of))
-    cuts = (np.arange(1, parts, dtype=np.uint64) * np.uint64((1 << 64) // parts))
-    in_a, in_b = (np.diff(np.concatenate(([0], np.searchsorted(x, cuts), [len(x)]))) for x in (a, b))
-    if np.minimum(in_a, in_b).sum() < least:
-        return False
     return len(np.intersect1d(a, b, assume_unique=True)) >= least
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, needed: int, out_of: int,
-            broadcast_bytes: int) -> DataFrame:
-    """The pairs that reach the threshold, as stored edges u, v. Only sets that occur in pairs are fetched."""
+def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, prefixes: DataFrame, n: int, needed: int,
+            out_of: int, broadcast_bytes: int) -> DataFrame:
+    """The pairs that reach the threshold, as stored edges u, v. Only sets that pass the suffix filter are fetched."""
+    pairs = cut_lineage(_suffix_filter(pairs, prefixes, needed, out_of))
     wanted = pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).distinct()
     keys = cut_lineage(wanted.join(classes, "digest").select("digest", "rep"))
 
@@ -237,9 +257,9 @@ def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     named = classes.select("digest", F.xxhash64("digest").alias("key"))
     postings = cut_lineage(postings.join(named, "key").select("gram", "digest", "size", F.col("pos").cast("bigint")))
 
-    near = _verify(_against_pivots(postings, needed, out_of), rows, classes, n, needed, out_of, broadcast_bytes)
+    near = _verify(_against_pivots(postings, needed, out_of), rows, classes, prefixes, n, needed, out_of, broadcast_bytes)
     merged = connected_components(near)
-    crossing = _verify(cut_lineage(_across(postings, merged, needed, out_of)), rows, classes, n, needed, out_of,
+    crossing = _verify(_across(postings, merged, needed, out_of), rows, classes, prefixes, n, needed, out_of,
                        broadcast_bytes)
     if not crossing.isEmpty():
         merged = connected_components(merged.unionByName(crossing))
