@@ -17,6 +17,7 @@ from smelter.plans.medallion import (
 )
 from smelter.sources.readers import all_strings, read_csv, with_lineage
 
+# The orders of the worked example.
 ORDERS = """order_id,product,price,quantity,order_ts
 1,widget,9.99,2,2026-01-15 14:30:00
 2,gadget,24.99,1,2026-01-15 09:15:00
@@ -41,6 +42,7 @@ def test_two_flows(spark, tmp_path):
 
     @flows.materialized_view()
     def first_orders(spark):
+        # The rows of the worked example.
         return spark.createDataFrame([("1", "widget", 9.99, 2), ("2", "gadget", 24.99, 1)],
                                      "order_id string, product string, price double, qty bigint")
 
@@ -52,6 +54,7 @@ def test_two_flows(spark, tmp_path):
 
 def test_bronze(spark, tmp_path):
     path = tmp_path / "orders.csv"
+    # The lines of the worked example.
     path.write_text("order_id,product,price,quantity\n1,widget,9.99,2\n2,gadget,24.99,1\n1,widget,9.99,2\n")
     raw = with_lineage(read_csv(spark, str(path), all_strings(["order_id", "product", "price", "quantity"])))
     bronze = bronze_orders(raw, ["order_id"], [F.desc("_source_file"), F.desc("price")])
@@ -62,6 +65,7 @@ def test_bronze(spark, tmp_path):
 
 
 def _bronze_rows(spark):
+    # The rows of the worked example.
     return spark.createDataFrame(
         [("1", "widget", "9.99", "2", "2026-01-15 14:30:00"),
          ("2", "gadget", "24.99", "1", "2026-01-15 09:15:00"),
@@ -93,6 +97,7 @@ def test_bad_quantity_stays_without_total(spark):
 
 
 def test_gold(spark):
+    # The rows of the worked example.
     silver = spark.createDataFrame(
         [("1", "widget", 9.99, 2, 19.98, 14), ("2", "gadget", 24.99, 1, 24.99, 9),
          ("3", "widget", 9.99, 5, 49.95, 16), ("4", "gizmo", 4.99, 10, 49.90, 11)],
