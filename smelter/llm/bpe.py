@@ -30,9 +30,9 @@ from smelter.llm.batches import bound_batches
 from smelter.operators.lineage import scratch_folder
 
 #: Characters of text in a block; bounds the memory of the tasks that read and rebuild it.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 4_000_000
 #: Documents whose numbers travel in one row.
-ROW_CHARS = 400_000
+ROW_CHARS = 200_000
 
 _CUT_TYPE = ("block string, bucket int, words binary, doc_ids array<string>, lengths array<bigint>, "
              "numbers binary")
