@@ -7,7 +7,7 @@ documents. ``run`` writes what a stage gives to the session's shared folder and
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smelter.llm import bpe, decontam, langid, ngram_join, pii
@@ -24,25 +24,35 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return found.filter("accepted").select(*docs.columns)
 
 
+def text_key(text: Column) -> Column:
+    """16 bytes of a digest of the text; null for null."""
+    return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
+
+
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group that shares 80 of 100 five-word shingles, link by link, the document with the smallest id.
+    """Of every group that shares 80 of 100 five-word shingles, link by link, one row: that with the smallest id.
 
-    Of rows that repeat a kept id, the one with the smallest text stays. Documents without an id or without
-    words stay.
+    Rows are told apart by id and text, so rows that repeat an id are linked by their texts alone. Null ids come
+    after all others; of equal ids the smallest digest of the text stays, and of rows equal in both
+    the smallest by the other columns. Documents without words stay.
     """
-    groups = cut_lineage(ngram_join.jaccard_groups(docs, n=5, needed=80, out_of=100).filter("doc_id IS NOT NULL"))
-    others = groups.filter("n_shingles > 0 AND component_id <> doc_id").select("doc_id").distinct()
-    repeated = groups.filter("n_shingles > 0 AND component_id = doc_id").groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("doc_id")
-    single = drop_keys(docs, others.unionByName(repeated).distinct())
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    first = keep_keys(docs, repeated).groupBy("doc_id").agg(F.min(F.struct("text", *rest)).alias("first"))
-    return single.unionByName(first.select("doc_id", "first.*"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), text_key(F.col("text")).alias("key"))
+    keyed = docs.withColumn("_row", order)
+    groups = cut_lineage(ngram_join.jaccard_groups(keyed, doc_id="_row", n=5, needed=80, out_of=100).filter("n_shingles > 0"))
+    others = groups.filter("component_id <> doc_id").select(F.col("doc_id").alias("_row")).distinct()
+    repeated = groups.filter("component_id = doc_id").groupBy(F.col("doc_id").alias("_row")).agg(
+        F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("_row")
+    single = drop_keys(keyed, others.unionByName(repeated), key="_row")
+    first = keep_keys(keyed, repeated, key="_row").groupBy("_row").agg(F.min(F.struct(*docs.columns)).alias("first"))
+    return single.select(*docs.columns).unionByName(first.select("first.*"))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no item of the benchmark."""
-    return drop_keys(docs, decontam.contaminated_ids(decontam.find_contained(docs, table(spark, sf_dir, "benchmark"))))
+    """Documents whose own text contains no item of the benchmark, whatever their ids."""
+    keyed = docs.withColumn("_text", text_key(F.col("text")))
+    found = decontam.find_contained(keyed, table(spark, sf_dir, "benchmark"), doc_id="_text")
+    leaks = decontam.contaminated_ids(found).withColumnRenamed("doc_id", "_text")
+    return drop_keys(keyed, leaks, key="_text").select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,42 @@
+"""Rows, levels, words and items that an earlier round left out."""
+
+from __future__ import annotations
+
+from fixtures_llm import words
+
+import corpus_pipeline
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def _docs(spark, rows):
+    return spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in rows], DOCS).repartition(3)
+
+
+def _benchmark(spark, folder, items):
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return str(folder)
+
+
+# --- pipeline: rows that share an id, or have none
+
+def test_near_copies_go_by_row(spark):
+    a, b, c = words(1, 60), words(2, 60), words(3, 60)
+    rows = [(1, a, "x"), (7, a + " end", "x"), (7, b, "x"), (8, b + " end", "x"), (8, c, "x"), (9, words(4, 60), "x"), (9, words(5, 60), "x"),
+            (None, a.upper(), "x"), (None, words(6, 60), "x"), (None, words(6, 60), "y"), (None, words(6, 60) + " end", "x"),
+            (None, words(7, 60), "x"), (None, None, "x"), (None, None, "x"), (None, "", "x"), (3, "", "x"), (3, "", "x"),
+            (4, words(8, 60), "z"), (4, words(8, 60), "y")]
+    found = sorted(((r.doc_id, r.text, r.source) for r in corpus_pipeline.keep_one_of_near_copies(spark, _docs(spark, rows), "").collect()), key=repr)
+    six = [r for r in found if r[0] is None and (r[1] or "").startswith(words(6, 60))]
+    assert len(six) == 1
+    assert sorted([r for r in found if r not in six], key=repr) == sorted([
+        (1, a, "x"), (7, b, "x"), (8, c, "x"), (9, words(4, 60), "x"), (9, words(5, 60), "x"), (None, words(7, 60), "x"),
+        (None, None, "x"), (None, None, "x"), (None, "", "x"), (3, "", "x"), (3, "", "x"), (4, words(8, 60), "y")], key=repr)
+
+
+def test_leaks_go_by_row(spark, tmp_path):
+    item = words(3, 20)
+    rows = [(1, words(1, 50), "x"), (1, words(2, 50) + " " + item, "x"), (None, item, "x"), (None, words(4, 50), "x"),
+            (None, None, "x"), (2, item + " " + words(5, 50), "x")]
+    found = corpus_pipeline.drop_benchmark_leaks(spark, _docs(spark, rows), _benchmark(spark, tmp_path, [(1, item)])).collect()
+    assert sorted(((r.doc_id, r.text) for r in found), key=repr) == sorted([(1, words(1, 50)), (None, words(4, 50)), (None, None)], key=repr)
