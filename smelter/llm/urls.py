@@ -1,8 +1,8 @@
 """URL filters: fixed rules first, then a path-template tree per host with labelled purity.
 
 Pages that a rule decides are the labelled ones. Path segments are generalised twice: by shape
-(numbers, dates, hex strings, long identifiers), then level by level by counts: where a place
-has too many different children, the rare ones become ``*``. Branches whose share of blocked
+(numbers, dates, hex strings, long identifiers), then level by level by counts, down to the deepest
+place where templates still branch: where a place has too many different children, the rare ones become ``*``. Branches whose share of blocked
 pages does not differ from that of all branches beside them are merged into ``*`` as well. A
 template is rejected when its smoothed share of blocked pages is high enough.
 """
@@ -15,6 +15,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from smelter.operators.lineage import cut_lineage
+
+#: Levels of the tree between two cuts of the lineage.
+LEVELS_AT_ONCE = 3
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Segment shapes, first match wins.
@@ -29,9 +34,9 @@ SHAPES = (
 
 @dataclass(frozen=True)
 class TreeSettings:
-    """``levels`` of the tree are tested by counts; deeper segments are generalised by shape only."""
+    """``levels``: how deep the tree is tested by counts; None for all of it. Deeper segments go by shape only."""
 
-    levels: int = 3
+    levels: int | None = None
     max_children: int = 50
     z: float = 1.96
     smoothing: float = 1.0
@@ -97,6 +102,16 @@ def _generalise(shapes: DataFrame, level: int, s: TreeSettings) -> DataFrame:
             .select("host", "shape", changed.alias("template"), "pages", "labelled", "blocked"))
 
 
+def _deepest_branch(tree: DataFrame, level: int) -> int:
+    """The most segments of a template that shares its first ``level`` with another one; 0 if none does.
+
+    Later levels change no earlier segment, so a template alone below its prefix stays as it is.
+    """
+    at = tree.groupBy("host", F.slice("template", 1, level).alias("prefix")).agg(
+        F.count(F.lit(1)).alias("templates"), F.max(F.size("template")).alias("deepest"))
+    return at.filter("templates > 1").agg(F.max("deepest")).collect()[0][0] or 0
+
+
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], page_id: str = "page_id", url: str = "url",
                settings: TreeSettings = TreeSettings()) -> DataFrame:
     """One row per page: host, path, rule, verdict, template and its purity.
@@ -104,7 +119,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], page_id: str
     A null url, or one without ``://``, has an empty host and path and is judged like any other. Null
     and repeated ids stay as they are; an empty table gives no rows; further columns are left out.
     A template without labelled pages has purity 0.5 and is allowed. Counts are summed before every
-    shuffle, so that a host with most pages is a few rows; the last join meets rows by
+    shuffle and the tree is stored every few levels, so that a host with most pages is a few rows; the last join meets rows by
     (host, shape), whose hot keys adaptive execution splits.
     """
     s = settings
@@ -116,9 +131,13 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], page_id: str
     shapes = ruled.groupBy("host", "shape").agg(
         F.count(F.lit(1)).alias("pages"), F.count("blocks").alias("labelled"),
         F.count_if("blocks").alias("blocked"))
-    tree = shapes.withColumn("template", F.split("shape", "/"))
-    for level in range(1, s.levels + 1):
-        tree = _generalise(tree, level, s)
+    deepest_wanted = 1 << 30 if s.levels is None else s.levels
+    tree, level = cut_lineage(shapes.withColumn("template", F.split("shape", "/"))), 0
+    while (deepest := min(_deepest_branch(tree, level), deepest_wanted)) > level:
+        upto = min(level + LEVELS_AT_ONCE, deepest)
+        for level in range(level + 1, upto + 1):
+            tree = _generalise(tree, level, s)
+        tree = cut_lineage(tree)
     tree = tree.withColumn("template", F.concat_ws("/", "template"))
     purity = tree.groupBy("host", "template").agg(
         ((F.sum("blocked") + s.smoothing) / (F.sum("labelled") + 2 * s.smoothing)).alias("purity"))

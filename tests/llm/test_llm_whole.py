@@ -5,6 +5,7 @@ from __future__ import annotations
 from fixtures_llm import words
 
 import corpus_pipeline
+from smelter.llm import urls
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -40,3 +41,19 @@ def test_leaks_go_by_row(spark, tmp_path):
             (None, None, "x"), (2, item + " " + words(5, 50), "x")]
     found = corpus_pipeline.drop_benchmark_leaks(spark, _docs(spark, rows), _benchmark(spark, tmp_path, [(1, item)])).collect()
     assert sorted(((r.doc_id, r.text) for r in found), key=repr) == sorted([(1, words(1, 50)), (None, words(4, 50)), (None, None)], key=repr)
+
+
+# --- urls: segments beyond the third
+
+def test_templates_of_deep_paths(spark):
+    for depth in (1, 4, 6):
+        front = "/".join("abcdefg"[:depth - 1])
+        rules = [("block", f"h.com/{front}/bad".replace("//", "/"))]
+        made = [f"http://h.com/{front}/bad{words(i, 1)}/page".replace("com//", "com/") for i in range(40)]
+        made += [f"http://h.com/{front}/{words(i, 1)}/page".replace("com//", "com/") for i in range(60)]
+        made += ["http://other.com/" + "x/" * 200]
+        pages = spark.createDataFrame(list(enumerate(made)), "page_id bigint, url string")
+        found = {r.page_id: r for r in urls.judge_urls(pages, rules).collect()}
+        assert len(found) == len(made)
+        assert {found[i].template for i in range(100)} == {f"/{front}/*/page".replace("//", "/")}
+        assert {found[i].verdict for i in range(100)} == {"block"} and found[100].verdict == "allow"
