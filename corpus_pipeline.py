@@ -48,9 +48,9 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose own text contains no item of the benchmark, whatever their ids."""
+    """Documents whose own text contains no item of the benchmark, whatever the ids of both and however short the item."""
     keyed = docs.withColumn("_text", text_key(F.col("text")))
-    found = decontam.find_contained(keyed, table(spark, sf_dir, "benchmark"), doc_id="_text")
+    found = decontam.find_contained(keyed, table(spark, sf_dir, "benchmark"), doc_id="_text", every_item=True)
     leaks = decontam.contaminated_ids(found).withColumnRenamed("doc_id", "_text")
     return drop_keys(keyed, leaks, key="_text").select(*docs.columns)
 

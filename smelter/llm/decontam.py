@@ -95,7 +95,7 @@ class _Index:
 
 def find_contained(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id",
                    text: str = "text", n: int = SHINGLE_WORDS, needed: int = NEEDED, out_of: int = OUT_OF,
-                   broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                   broadcast_bytes: int = BROADCAST_BYTES, every_item: bool = False) -> DataFrame:
     """doc_id, item_id, shared and item_shingles for every document that contains an item.
 
     Words are runs of letters and digits of the lower-cased text (anything beyond ASCII counts); a text of
@@ -104,21 +104,34 @@ def find_contained(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", it
     with the most shared; items that repeat an id with other texts count one by one. Empty tables give
     no rows; further columns are left out.
 
+    As in the SQL of op2, items with a null id take no part, and an item of fewer than ``n`` words meets only
+    documents of just these words. With ``every_item`` items without an id are reported with a null one, and a
+    shorter item is met by its run of words anywhere in a document; documents are then read once per length.
+
     Items up to ``broadcast_bytes`` are sent to the tasks and the documents are read once without a shuffle.
     Beyond that, the sketches and the documents' shingle hashes meet by an equi-join on the hash.
     """
     bound_batches(docs.sparkSession)
     tests = items.select(F.col(item_id).cast("bigint").alias("item_id"), F.lower(F.col(text)).alias("text")).filter(
         F.coalesce(F.trim("text"), F.lit("")) != "").distinct()
+    lengths = {n: tests if every_item else tests.filter("item_id IS NOT NULL")}
+    if every_item:
+        tests = cut_lineage(tests.withColumn("words", F.least(F.size(F.regexp_extract_all("text", F.lit(_WORD_RE), F.lit(0))), F.lit(n))))
+        present = sorted(r["words"] for r in tests.filter("words > 0").select("words").distinct().collect())
+        lengths = {m: tests.filter(F.col("words") == m).drop("words") for m in present or [n]}
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.lower(F.col(text)).alias("text"))
-    size = tests.agg(F.sum(F.octet_length("text") * 3 + 64)).collect()[0][0] or 0
-    find = _by_broadcast if size <= broadcast_bytes else _by_shuffle
-    return (find(texts, tests, n, needed, out_of).groupBy("doc_id", "item_id")
+    found = None
+    for length, some in lengths.items():
+        size = some.agg(F.sum(F.octet_length("text") * 3 + 64)).collect()[0][0] or 0
+        find = _by_broadcast if size <= broadcast_bytes else _by_shuffle
+        more = find(texts, some, length, needed, out_of).select("doc_id", "item_id", "shared", "item_shingles")
+        found = more if found is None else found.unionByName(more)
+    return (found.groupBy("doc_id", "item_id")
             .agg(F.max("shared").alias("shared"), F.max("item_shingles").alias("item_shingles")))
 
 
 def _by_broadcast(texts: DataFrame, tests: DataFrame, n: int, needed: int, out_of: int) -> DataFrame:
-    held = sorted((r["item_id"], r["text"]) for r in tests.collect() if r["item_id"] is not None)
+    held = sorted(((r["item_id"], r["text"]) for r in tests.collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
     spread = texts.sparkSession.sparkContext.broadcast(held)
 
     @F.pandas_udf(f"array<struct<{_MATCH_TYPE.replace(' ', ':').replace(',:', ',')}>>")
@@ -141,17 +154,19 @@ def _by_shuffle(texts: DataFrame, tests: DataFrame, n: int, needed: int, out_of:
             yield pd.Series([s.astype(np.int64) for s in _sets([x if isinstance(x, str) else None for x in batch], n)])
 
     # Sorted as unsigned numbers, so the first ones are the smallest hashes.
-    sized = tests.filter("item_id IS NOT NULL").select("item_id", "text", shingle_sets.asNondeterministic()("text").alias("grams"))
+    tests = tests.withColumn("key", F.xxhash64("text"))
+    sized = tests.select("item_id", "key", shingle_sets.asNondeterministic()("text").alias("grams"))
     least = F.greatest(F.ceil(F.size("grams") * needed / out_of), F.lit(1))
     sketches = sized.withColumn("least", least).select(
-        "item_id", "text", "least", F.explode(F.slice("grams", 1, F.greatest(
+        "item_id", "key", "least", F.explode(F.slice("grams", 1, F.greatest(
             F.size("grams") - F.col("least") + 1, F.lit(0)).cast("int"))).alias("gram"))
     grams = texts.select("doc_id", shingle_sets.asNondeterministic()("text").alias("grams")).select(
         "doc_id", F.size("grams").alias("doc_size"), F.explode("grams").alias("gram"))
-    met = grams.join(sketches.drop("text"), "gram").filter(F.col("doc_size") >= F.col("least"))
-    pairs = cut_lineage(met.select("doc_id", "item_id").distinct())
-    both = (texts.join(pairs, texts["doc_id"].eqNullSafe(pairs["doc_id"])).drop(pairs["doc_id"])
-            .join(tests.withColumnRenamed("text", "item_text"), "item_id"))
+    met = grams.join(sketches, "gram").filter(F.col("doc_size") >= F.col("least"))
+    pairs = cut_lineage(met.select("doc_id", F.col("item_id").alias("met_id"), F.col("key").alias("met_key")).distinct())
+    met_texts = texts.join(pairs, texts["doc_id"].eqNullSafe(pairs["doc_id"])).drop(pairs["doc_id"])
+    both = met_texts.join(tests.withColumnRenamed("text", "item_text"),
+                          F.col("item_id").eqNullSafe(F.col("met_id")) & (F.col("key") == F.col("met_key")))
 
     @F.pandas_udf("struct<shared:bigint,item_shingles:bigint>")
     def shares(doc: pd.Series, item: pd.Series) -> pd.DataFrame:

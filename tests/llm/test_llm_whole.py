@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import pytest
 from fixtures_llm import words
 
 import corpus_pipeline
-from smelter.llm import urls
+from smelter.llm import decontam, urls
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -57,3 +58,24 @@ def test_templates_of_deep_paths(spark):
         assert len(found) == len(made)
         assert {found[i].template for i in range(100)} == {f"/{front}/*/page".replace("//", "/")}
         assert {found[i].verdict for i in range(100)} == {"block"} and found[100].verdict == "allow"
+
+
+# --- decontamination: items without an id, and items of few words
+
+@pytest.mark.parametrize("limit", [1 << 24, 0])
+def test_every_item_is_met(spark, limit):
+    long = words(3, 20)
+    docs = [(1, words(1, 50) + " " + long), (2, words(2, 50) + " Red, hot IRON " + words(4, 50)), (3, "red hot"), (4, words(5, 50)),
+            (None, "cold iron"), (5, "hot red iron"), (6, None)]
+    items = [(None, long), (None, "red hot iron"), (7, "cold"), (7, "iron"), (8, "red hot"), (9, "?!"), (10, None)]
+    made = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontam.find_contained(*made, broadcast_bytes=limit, every_item=True).collect()
+    assert sorted(((r.doc_id, r.item_id, r.shared, r.item_shingles) for r in found), key=repr) == sorted([
+        (1, None, 16, 16), (2, None, 1, 1), (2, 7, 1, 1), (2, 8, 1, 1), (3, 8, 1, 1), (None, 7, 1, 1), (5, 7, 1, 1)], key=repr)
+    assert decontam.find_contained(made[0], made[1].filter("item_id > 8"), broadcast_bytes=limit, every_item=True).count() == 0
+
+
+def test_short_and_unnamed_items_leave_the_corpus(spark, tmp_path):
+    rows = [(1, words(1, 50) + " red hot iron " + words(2, 50), "x"), (2, words(4, 50), "x"), (3, words(5, 50) + " " + words(3, 20), "x")]
+    items = _benchmark(spark, tmp_path, [(1, "red hot iron"), (None, words(3, 20))])
+    assert [r.doc_id for r in corpus_pipeline.drop_benchmark_leaks(spark, _docs(spark, rows), items).collect()] == [2]
