@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import bpe, chat, decontam, langid, ngram_join, pii, quality, topk, urls, warc
+from smelter.llm import bpe, chat, decontam, langid, line_dedup, ngram_join, pii, quality, topk, urls, warc
 from smelter.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from smelter.sources.readers import table
 
@@ -191,3 +191,23 @@ def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("""
+WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+placed AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM cut),
+keyed AS (
+    SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM placed
+),
+shared AS (
+    SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+),
+judged AS (SELECT keyed.*, coalesce(keeper <> doc_id, false) AS dropped FROM keyed LEFT JOIN shared USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+""")
+def op12_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, sf, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
