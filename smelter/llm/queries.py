@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import bpe, chat, decontam, langid, line_dedup, ngram_join, pii, quality, topk, urls, warc
+from smelter.llm import bpe, chat, decontam, langid, line_dedup, ngram_join, pii, prefix_trie, quality, topk, urls, warc
 from smelter.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from smelter.sources.readers import table
 
@@ -211,3 +211,49 @@ FROM judged GROUP BY doc_id
 def op12_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, sf, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+#: Unsigned CRC-32 of an ASCII string, bit by bit.
+_CRC32 = ("xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split({}, ''), lambda c: CAST(ascii(c) AS BIGINT))), "
+          "lambda crc, code: list_reduce(list_prepend(xor(crc, code), range(8)), lambda x, i: "
+          "CASE WHEN x % 2 = 1 THEN xor(x // 2, CAST(3988292384 AS BIGINT)) ELSE x // 2 END)))")
+
+
+@query(f"""
+WITH own AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') AS said,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(said)) AS place
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (SELECT conv_id, {_CRC32.format('CAST(conv_id AS VARCHAR)')} % 9 AS h FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)),
+taken AS (
+    SELECT convs.conv_id, 0 AS part, place, said, text FROM convs JOIN own ON own.conv_id = convs.conv_id - convs.conv_id % 5 WHERE place <= h
+    UNION ALL
+    SELECT conv_id, 1, place, said, text FROM convs JOIN own USING (conv_id) WHERE place > h
+),
+turns AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, place) AS depth, sha256(said) AS said, strlen(text) AS bytes FROM taken),
+paths AS (
+    SELECT conv_id, depth, bytes, string_agg(said, '') OVER (PARTITION BY conv_id ORDER BY depth) AS key FROM turns
+    UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+),
+linked AS (SELECT *, lag(key) OVER (PARTITION BY conv_id ORDER BY depth) AS parent, max(depth) OVER (PARTITION BY conv_id) AS last FROM paths),
+nodes AS (
+    SELECT key, any_value(parent) AS parent, min(conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs, any_value(bytes) AS bytes,
+           sha256(coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (depth = last), '')) AS ends_sha256
+    FROM linked GROUP BY key
+),
+born AS (SELECT parent AS key, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+below AS (SELECT DISTINCT a.key AS top, b.key AS key FROM paths a JOIN paths b ON a.conv_id = b.conv_id AND a.depth <= b.depth),
+sums AS (
+    SELECT top AS key, count(*) FILTER (n_children IS NULL) AS n_leaves, CAST(sum((n_convs - 1) * bytes) AS BIGINT) AS saved_tokens
+    FROM below JOIN nodes USING (key) LEFT JOIN born USING (key) GROUP BY top
+)
+SELECT nodes.conv_id, nodes.depth, above.conv_id AS parent_conv_id, nodes.n_convs, coalesce(n_children, 0) AS n_children,
+       n_leaves, saved_tokens, nodes.ends_sha256
+FROM nodes JOIN sums USING (key) LEFT JOIN born USING (key) LEFT JOIN nodes above ON above.key = nodes.parent
+""")
+def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    lists = prefix_trie.turn_lists(table(spark, sf, "conversations"))
+    conv, take = F.col("conv_id"), (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).cast("int")
+    return prefix_trie.prefix_trie(prefix_trie.with_start_of(lists, conv - conv % 5, take, most=8))
