@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import bpe, chat, decontam, langid, line_dedup, ngram_join, pii, prefix_trie, quality, topk, urls, warc
+from smelter.llm import bpe, chat, decontam, langid, line_dedup, ngram_join, pii, prefix_trie, quality, repair, topk, urls, warc
 from smelter.llm.registry import ORACLES, QUERIES, query  # noqa: F401
+from smelter.operators.lineage import cut_lineage
 from smelter.sources.readers import table
 
 _ESCAPED = "regexp_replace({}, '([<\\[])(\\\\*)(\\|(?:turn|text|end|image|audio|document)\\|>|/?s>|/?INST\\])', '\\1\\\\\\2\\3', 'g')"
@@ -257,3 +258,98 @@ def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
     lists = prefix_trie.turn_lists(table(spark, sf, "conversations"))
     conv, take = F.col("conv_id"), (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).cast("int")
     return prefix_trie.prefix_trie(prefix_trie.with_start_of(lists, conv - conv % 5, take, most=8))
+
+
+def _sql_edit(letter: str, cost: str, then: str, line: str | None = None) -> str:
+    lines = f"[{line}] || {then}.lines" if line else f"{then}.lines"
+    return f"{{'cost': {cost} + {then}.cost, 'audit': '{letter}' || {then}.audit, 'lines': {lines}}}"
+
+
+def _sql_least(*options: str) -> str:
+    return f"list_sort([{', '.join(options)}])[1]"
+
+
+def _sql_taken(state: str, kept: dict[str, str], made: str, role: str) -> str:
+    """The best of deleting, keeping and reroling one turn, before insertions."""
+    best = _sql_least(_sql_edit("D", "3", state), _sql_edit("R", "2 + cut", made, f"'{role}:' || text"))
+    for initial, then in kept.items():
+        keep = _sql_edit("K", "cut", then, "role || ':' || text")
+        best = f"CASE WHEN initial = '{initial}' THEN {_sql_least(best, keep)} ELSE {best} END"
+    return f"CASE WHEN must_go THEN {_sql_edit('D', '3', state)} ELSE {best} END"
+
+
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+@query(f"""
+WITH RECURSIVE source AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           sha256(length(coalesce(role, ' ')) || ':' || coalesce(role, ' ') || coalesce(text, ' ')) AS tie,
+           {_CRC32.format("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS harm
+    FROM conversations
+),
+harmed AS (
+    SELECT conv_id, turn, tie, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+           CASE WHEN harm = 1 THEN '' WHEN harm = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(range(CASE WHEN harm = 0 THEN 0 WHEN harm = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM source
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, tie, copy) AS place, left(role, 1) AS initial,
+           rtrim(text, {_BLANKS}) AS bare FROM harmed
+),
+judged AS (
+    SELECT *, bare = '' AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 AS seen,
+           CAST(right(bare, 1) NOT IN ('.', '!', '?') AS INTEGER) AS cut, blank OR seen AS must_go,
+           lag(initial) OVER (PARTITION BY conv_id ORDER BY place) || initial AS pair
+    FROM placed
+),
+faults AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+           count(*) FILTER (seen AND NOT blank) AS duplicate, count(*) FILTER (cut = 1 AND NOT must_go) AS truncated,
+           count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS places
+    FROM judged GROUP BY conv_id
+),
+steps AS (
+    SELECT conv_id, places + 1 AS place, {{'cost': 0, 'audit': '', 'lines': CAST([] AS VARCHAR[])}} AS f0,
+           {{'cost': 4, 'audit': 'II', 'lines': ['user:', 'assistant:']}} AS f1, {{'cost': 2, 'audit': 'I', 'lines': ['assistant:']}} AS f2,
+           {{'cost': 0, 'audit': '', 'lines': CAST([] AS VARCHAR[])}} AS f3
+    FROM faults
+    UNION ALL
+    SELECT conv_id, place, {_sql_least('g0', _sql_edit('I', '2', 'h2', "'user:'"))}, {_sql_least('g1', _sql_edit('I', '2', 'h2', "'user:'"))}, h2, h3
+    FROM (
+        SELECT conv_id, place, g0, g1, {_sql_least('g2', _sql_edit('I', '2', 'g3', "'assistant:'"))} AS h2,
+               {_sql_least('g3', _sql_edit('I', '2', 'g2', "'user:'"))} AS h3
+        FROM (
+            SELECT judged.conv_id, judged.place, {_sql_taken('f0', {'s': 'f1', 'u': 'f2'}, 'f2', 'user')} AS g0,
+                   {_sql_taken('f1', {'u': 'f2'}, 'f2', 'user')} AS g1, {_sql_taken('f2', {'a': 'f3'}, 'f3', 'assistant')} AS g2,
+                   {_sql_taken('f3', {'u': 'f2'}, 'f2', 'user')} AS g3
+            FROM steps JOIN judged ON judged.conv_id IS NOT DISTINCT FROM steps.conv_id AND judged.place = steps.place - 1
+        )
+    )
+),
+originals AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(f0.cost, 0) AS BIGINT) AS cost,
+       coalesce(f0.audit, '') AS audit, sha256(coalesce(array_to_string(f0.lines, chr(10)), '')) AS repaired_sha256
+FROM originals o LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN steps s ON s.conv_id IS NOT DISTINCT FROM o.conv_id AND s.place = 1
+""")
+def op11_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    said = table(spark, sf, "conversations")
+    turns = repair.ordered_turns(said)
+    key = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    harm = F.crc32(key.cast("binary")) % 20
+    copies = F.when(harm == 0, F.array().cast("array<int>")).when(harm == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    harmed = turns.withColumn("harm", harm).withColumn("copy", F.explode(copies)).select(
+        "conv_id", "turn", "tie", F.when(F.col("harm") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("harm") == 1, "").when(F.col("harm") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"))
+    plans = cut_lineage(repair.repair_plans(harmed))
+    digests = repair.repaired_digests(harmed, plans).withColumnRenamed("conv_id", "_digest_of")
+    originals = said.select("conv_id").distinct()
+    known = plans.withColumnRenamed("conv_id", "_plan_of")
+    found = originals.join(known, F.col("conv_id").eqNullSafe(F.col("_plan_of")), "left").join(
+        digests, F.col("conv_id").eqNullSafe(F.col("_digest_of")), "left")
+    counts = (F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost"))
+    return found.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
