@@ -225,3 +225,51 @@ def trailing_sum(df: DataFrame, keys: Sequence[str], second: str, value: str, se
         .unionByName(join_null_safe(untimed, per_key, keys))
         .select(*df.columns, name)
     )
+
+
+def _placed(hot: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Rows in blocks with ``_place``, their number (from 1) in their group."""
+    counts = hot.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))
+    before = cut_lineage(counts.select(*keys, "_block", F.coalesce(F.sum("_n").over(_before(keys)), F.lit(0)).alias("_n_before")))
+    local = hot.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "_block").orderBy(*order)))
+    return _with_carry(local, before, keys).withColumn("_place", F.col("_rn") + F.col("_n_before")).drop("_rn", "_n_before")
+
+
+def moving_average(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, rows: int, name: str,
+                   hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Mean of ``value`` over this row and the ``rows - 1`` before it in its group; ``order`` must be unique.
+
+    A hot group is numbered through and cut into chunks of equal length, each with a halo: the last ``rows - 1`` rows of the chunk
+    before it, which only serve its first frames. No task holds more than one chunk and its halo.
+    """
+    last = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-(rows - 1), 0)
+    parts = split_hot(df, keys, order, hot_rows)
+    if parts is None:
+        return df.withColumn(name, F.avg(value).over(last))
+    cold, hot = parts
+    length = max(hot_rows, rows)
+    place = F.col("_place") - 1
+    chunk = F.floor(place / F.lit(length))
+    served = F.when(F.pmod(place, F.lit(length)) > length - rows, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
+    chunked = _placed(hot, keys, order).withColumn("_own", chunk).withColumn("_chunk", F.explode(served))
+    in_chunk = Window.partitionBy(*keys, "_chunk").orderBy("_place").rowsBetween(-(rows - 1), 0)
+    found = chunked.withColumn(name, F.avg(value).over(in_chunk)).filter(F.col("_own") == F.col("_chunk"))
+    return cold.withColumn(name, F.avg(value).over(last)).unionByName(found.select(*df.columns, name))
+
+
+def numbered(df: DataFrame, order: Sequence[str], name: str, block_rows: int = HOT_ROWS) -> DataFrame:
+    """All rows numbered from 1 without gaps along ``order``, which must be unique.
+
+    Rows are dealt to ranges and stored, counted per range, and numbered there; one small row per range carries how many come
+    before it. No task sorts the table.
+    """
+    ranges = max(1, -(-df.count() // block_rows))
+    dealt = df.repartitionByRange(ranges, *order)
+    stored = cut_lineage(dealt.withColumns({"_block": F.spark_partition_id(), "_whole": F.lit(0)}))
+    return _placed(stored, ["_whole"], order).withColumn(name, F.col("_place")).select(*df.columns, name)
+
+
+def rows_per_partition(df: DataFrame) -> DataFrame:
+    """How many rows each partition holds that has any, with its share of all rows: an audit of how ``df`` is dealt out."""
+    counts = cut_lineage(df.groupBy(F.spark_partition_id().alias("partition_id")).agg(F.count(F.lit(1)).alias("n_rows")))
+    return counts.withColumn("share", F.col("n_rows") / counts.agg(F.sum("n_rows")).scalar())

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from smelter.functions.typing import epoch_micros, epoch_seconds
 from smelter.operators import windows
+from smelter.operators.sessions import sessions
 from smelter.plans.registry import query
 from smelter.sources.readers import table
 
@@ -72,3 +73,51 @@ def trailing_hour_sum(spark: SparkSession, sf: str, hot_rows: int = windows.TRAI
     events = table(spark, sf, "events").select("event_id", "user_id", epoch_seconds("ts").alias("second"), "value")
     total = windows.trailing_sum(events, ["user_id"], "second", "value", 3600, "last_hour", hot_rows)
     return total.select("event_id", "user_id", F.round("last_hour", 2).alias("last_hour"))
+
+
+@query("""
+SELECT event_id, user_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
+           ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 4) AS moving_avg
+FROM events
+""")
+def moving_avg_user(spark: SparkSession, sf: str, hot_rows: int = windows.HOT_ROWS) -> DataFrame:
+    events = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    mean = windows.moving_average(events, ["user_id"], ["ts", "event_id"], "value", 7, "moving_avg", hot_rows)
+    return mean.select("event_id", "user_id", F.round("moving_avg", 4).alias("moving_avg"))
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_extendedprice,
+       row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_extendedprice) AS line_id
+FROM lineitem
+""")
+def numbered_lines(spark: SparkSession, sf: str, block_rows: int = windows.HOT_ROWS) -> DataFrame:
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return windows.numbered(lines, ["l_orderkey", "l_linenumber", "l_extendedprice"], "line_id", block_rows)
+
+
+@query("SELECT 16 AS n_partitions, count(*) AS n_rows, true AS is_even FROM lineitem")
+def partition_report(spark: SparkSession, sf: str) -> DataFrame:
+    # Dealt by a hash of the order: no partition has more than twice its share.
+    dealt = table(spark, sf, "lineitem").select("l_orderkey").repartition(16, "l_orderkey")
+    report = windows.rows_per_partition(dealt)
+    return report.agg(F.count(F.lit(1)).cast("int").alias("n_partitions"), F.sum("n_rows").alias("n_rows"),
+                      (F.max("share") <= 2 / 16).alias("is_even"))
+
+
+SESSION_GAP = 6 * 3600
+
+
+@query(f"""
+WITH gaps AS (
+    SELECT *, coalesce(epoch_us(ts) - epoch_us(lag(ts) OVER w) > {SESSION_GAP * 1_000_000}, true) AS fresh
+    FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)
+),
+islands AS (SELECT *, sum(CAST(fresh AS INTEGER)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM gaps)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL {SESSION_GAP} SECOND AS session_end, count(*) AS n_events,
+       round(sum(value), 2) AS total_value
+FROM islands GROUP BY user_id, island
+""")
+def event_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    found = sessions(table(spark, sf, "events"), ["user_id"], "value", SESSION_GAP)
+    return found.withColumn("total_value", F.round("total_value", 2))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +12,10 @@ from smelter.operators.lineage import scratch_folder
 from smelter.plans.catalogue.layers import RAW_SQL, raw_lines
 from smelter.plans.medallion import ORDER_COLUMNS, order_flows
 from smelter.plans.registry import query
-from smelter.sources.incremental import read_new_files, rows_since_with_overlap
-from smelter.sources.readers import read_any, table, with_lineage
+from smelter.sources.incremental import note_files, read_unseen, rows_since_with_overlap
+from smelter.sources.readers import read_any, table
 from smelter.sources.snapshots import SNAPSHOT, rows_as_of, snapshot_rows
-from smelter.sources.writers import write_by_partition
+from smelter.sources.writers import replace_partitions, save_bucketed, write_by_partition
 
 CUT = "2024-01-20 00:00:00"
 YEARS = (1998, 2000)
@@ -86,12 +87,16 @@ def incremental_files(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch_folder(spark)
     events = table(spark, sf, "events")
     cut = F.lit(CUT).cast("timestamp_ntz")
-    events.filter(F.col("ts") < cut).write.parquet(f"{folder}/source/first")
-    with_lineage(spark.read.parquet(f"{folder}/source/first")).write.parquet(f"{folder}/bronze")
-    events.filter(F.col("ts") >= cut).write.parquet(f"{folder}/source/second")
-    fresh = read_new_files(spark, f"{folder}/source", spark.read.parquet(f"{folder}/bronze"),
-                           lambda paths: spark.read.schema(events.schema).parquet(*paths), "*.parquet")
-    return fresh.select("event_id", "user_id", "event_type", "value")
+    source, ledger = f"{folder}/source", f"{folder}/ledger"
+
+    def unseen() -> DataFrame:
+        return read_unseen(spark, source, ledger, lambda reader, path: reader.schema(events.schema).parquet(path), "*.parquet")
+
+    events.filter(F.col("ts") < cut).write.parquet(f"{source}/first")
+    unseen().write.parquet(f"{folder}/bronze")
+    note_files(spark.read.parquet(f"{folder}/bronze"), ledger)
+    events.filter(F.col("ts") >= cut).write.parquet(f"{source}/second")
+    return unseen().select("event_id", "user_id", "event_type", "value")
 
 
 @query(f"""
@@ -112,3 +117,46 @@ def partition_pruned(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").select("event_id", "ts", "user_id", "value", "event_type")
     write_by_partition(events, folder, ["event_type"])
     return read_any(spark, "parquet", folder).filter(F.col("event_type") == "purchase")
+
+
+BUCKETS = 16
+
+
+def bucketed_tables(spark: SparkSession, sf: str, buckets: int = BUCKETS) -> tuple[str, str]:
+    """Names of orders and lines stored alike by order key, under the tables' names and a number of their own."""
+    run = uuid.uuid4().hex[:12]
+    folder, names = scratch_folder(spark), []
+    for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+        save_bucketed(table(spark, sf, name), f"{name}_{run}", [key], buckets, path=f"{folder}/{name}")
+        names.append(f"{name}_{run}")
+    return names[0], names[1]
+
+
+def order_lines(spark: SparkSession, orders: str, lines: str) -> DataFrame:
+    """Orders with their lines, joined bucket by bucket."""
+    return spark.table(orders).join(spark.table(lines), F.col("o_orderkey") == F.col("l_orderkey"))
+
+
+@query("""
+SELECT o_orderkey, o_orderpriority, count(*) AS n_lines, round(sum(l_extendedprice), 2) AS total
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey, o_orderpriority
+""")
+def bucketed_order_lines(spark: SparkSession, sf: str) -> DataFrame:
+    # Joined and summed where the buckets lie: neither needs a shuffle.
+    lines = order_lines(spark, *bucketed_tables(spark, sf))
+    return lines.groupBy("o_orderkey", "o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.round(F.sum("l_extendedprice"), 2).alias("total"))
+
+
+@query("""
+SELECT event_id, user_id, CASE WHEN event_type = 'click' THEN round(value * 2, 4) ELSE round(value, 4) END AS value, event_type FROM events
+""")
+def partitions_replaced(spark: SparkSession, sf: str) -> DataFrame:
+    # A second load with other values for one event type replaces that partition and leaves the others alone.
+    folder = scratch_folder(spark)
+    events = table(spark, sf, "events").select("event_id", "user_id", F.round("value", 4).alias("value"), "event_type")
+    write_by_partition(events, folder, ["event_type"])
+    clicks = table(spark, sf, "events").filter("event_type = 'click'").select(
+        "event_id", "user_id", F.round(F.col("value") * 2, 4).alias("value"), "event_type")
+    replace_partitions(clicks, folder, ["event_type"])
+    return read_any(spark, "parquet", folder)

@@ -27,9 +27,16 @@ def write_by_partition(df: DataFrame, path: str, partition_by: Sequence[str], mo
     df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-def save_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, mode: str = "overwrite") -> None:
-    """A catalog table bucketed and sorted by ``keys``: joins on them need no shuffle."""
-    df.write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+def save_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, mode: str = "overwrite",
+                  path: str | None = None) -> None:
+    """A catalog table bucketed and sorted by ``keys``: joins on them need no shuffle.
+
+    Rows are first brought together by bucket, so that each bucket is one file. With ``path`` its files lie there
+    and stay when the table is dropped.
+    """
+    dealt = df.repartition(buckets, *keys)
+    writer = dealt.write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def append_to_table(df: DataFrame, name: str) -> None:

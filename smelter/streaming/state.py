@@ -22,6 +22,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 COUNT_SCHEMA = "user_id bigint, n_events bigint, total_value double"
 IDLE_SCHEMA = "user_id bigint, n_events bigint"
+ACTIVITY_SCHEMA = "user_id bigint, started_at timestamp, last_at timestamp, n_events bigint"
 LATEST_SCHEMA = "user_id bigint, event_ids array<bigint>, times array<timestamp>"
 
 
@@ -136,3 +137,64 @@ def idle_users(events: DataFrame, idle_ms: int) -> DataFrame:
         return frame.groupby("user_id", dropna=False, as_index=False).agg(n=("event_id", "size"))
 
     return _track(_combined(events, ["event_id"], combine, "n bigint"), Idle(), IDLE_SCHEMA, "ProcessingTime")
+
+
+def merged_spans(spans: list[tuple[int, int, int]], gap: int) -> list[tuple[int, int, int]]:
+    """Spans (first, last, count) in order, joined where one begins at most ``gap`` after the last ended."""
+    out: list[tuple[int, int, int]] = []
+    for first, last, n in sorted(spans):
+        if out and first - out[-1][1] <= gap:
+            before = out.pop()
+            first, last, n = before[0], max(before[1], last), before[2] + n
+        out.append((first, last, n))
+    return out
+
+
+def closed_activities(events: DataFrame, idle_ms: int) -> DataFrame:
+    """A row per activity of a user, once no event has followed its last one for ``idle_ms`` of event time.
+
+    ``events`` has a watermark on ``ts``, and event-time timers fire when it passes them. A user's open activities are a
+    map in the state, by their first millisecond, and each has one timer: late events within the watermark's delay may still
+    join two of them or come before them. Every Arrow batch is combined to spans of activity before the shuffle.
+    A query over a finite source ends by itself, and leaves what the watermark has not passed in the state.
+    """
+
+    class Activities(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self._handle = handle
+            self._open = handle.getMapState("open", "first bigint", "last bigint, n bigint")
+
+        def _close(self, user, upto: int) -> pd.DataFrame:
+            done = [(first[0], *span) for first, span in list(self._open.iterator()) if span[0] + idle_ms <= upto]
+            for first, _, _ in done:
+                self._open.removeKey((first,))
+            return pd.DataFrame({
+                "user_id": [user] * len(done), "started_at": pd.to_datetime([d[0] for d in done], unit="ms"),
+                "last_at": pd.to_datetime([d[1] for d in done], unit="ms"), "n_events": [d[2] for d in done]})
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+            known = [(first[0], *span) for first, span in list(self._open.iterator())]
+            fresh = [span for batch in rows for span in zip(batch["first"].tolist(), batch["last"].tolist(), batch["n"].tolist())]
+            spans = merged_spans(known + fresh, idle_ms)
+            for first, last, _ in known:
+                self._open.removeKey((first,))
+                self._handle.deleteTimer(last + idle_ms)
+            for first, last, n in spans:
+                self._open.updateValue((first,), (last, n))
+                self._handle.registerTimer(last + idle_ms)
+            return iter(())
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            yield self._close(key[0], expiredTimerInfo.getExpiryTimeInMs())
+
+        def close(self) -> None:
+            pass
+
+    def combine(frame: pd.DataFrame) -> pd.DataFrame:
+        at = frame["ts"].astype("datetime64[ms]").astype("int64")
+        rows = [(user, *span) for user, own in at.groupby(frame["user_id"], dropna=False)
+                for span in merged_spans([(t, t, 1) for t in own.tolist()], idle_ms)]
+        return pd.DataFrame(rows, columns=["user_id", "first", "last", "n"])
+
+    timed = events.filter(F.col("ts").isNotNull())
+    return _track(_combined(timed, ["ts"], combine, "first bigint, last bigint, n bigint"), Activities(), ACTIVITY_SCHEMA, "EventTime")

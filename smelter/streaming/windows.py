@@ -22,6 +22,14 @@ def time_windows(events: DataFrame, key: str, value: str, length: str, slide: st
     return _bounds(_summary(events.groupBy(window.alias("window"), key), value))
 
 
+def session_windows(events: DataFrame, key: str, value: str, gap: str, time: str = "ts") -> DataFrame:
+    """Sessions per key of a stream: windows that grow while events follow within ``gap``, and merge where a late one joins them.
+
+    A batch has ``operators.sessions``, which combines a key's events before its shuffle.
+    """
+    return _bounds(_summary(events.groupBy(F.session_window(time, gap).alias("window"), key), value))
+
+
 def drop_replays(events: DataFrame, keys: list[str], delay: str, time: str = "ts") -> DataFrame:
     """Stream events once each, though they may be delivered again within ``delay``."""
     return events.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)

@@ -135,3 +135,21 @@ def test_kept_only_inside_its_block(spark):
         assert held.groupBy().sum("x").first()[0] == 90
         assert "InMemoryTableScan" in held.filter("x > 4")._jdf.queryExecution().executedPlan().toString()
     assert "InMemoryTableScan" not in silver.filter("x > 4")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bucketed_join_needs_no_shuffle(spark):
+    from smelter.plans.catalogue.stored import BUCKETS, bucketed_tables, order_lines
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        orders, lines = bucketed_tables(spark, SMALL)
+        joined = order_lines(spark, orders, lines)
+        plan = joined._jdf.queryExecution().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan.split("== Physical Plan ==")[1]
+        summed = joined.groupBy("o_orderkey").count()
+        assert "Exchange" not in summed._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+        one = spark.table(lines).filter("l_orderkey = 7")
+        assert f"SelectedBucketsCount: 1 out of {BUCKETS}" in one._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -8,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smelter.sources import readers, writers
-from smelter.sources.incremental import list_files, new_files, read_new_files, rows_since, rows_since_with_overlap
+from smelter.functions.nested import flatten_unknown_json, infer_json_schema
+from smelter.operators import sketches
+from smelter.sources.incremental import list_files, new_files, note_files, read_unseen, rows_since, rows_since_with_overlap
 from smelter.sources.snapshots import evolve, rows_as_of, snapshot_rows, with_bucket
 
 USERS = "user_id,name,age\nu1,Ann,31\nu2,Bo,unknown\n"
@@ -133,22 +136,76 @@ def test_csv_and_json_text_columns(spark):
         1, "a", "STRUCT<_c0: INT, _c1: STRING>", "STRUCT<k: BIGINT>", "5")
 
 
-def test_new_files_only(spark, tmp_path):
-    source = tmp_path / "in"
+def test_unseen_files_only(spark, tmp_path):
+    source, ledger = tmp_path / "in", str(tmp_path / "ledger")
     source.mkdir()
     (source / "a.csv").write_text(USERS)
-
-    def read(paths):
-        return readers.with_lineage(readers.read_csv(spark, paths, USER_SCHEMA))
-
-    processed = read([str(source)]).select("_source_file")
-    assert read_new_files(spark, str(source), processed, read) is None
+    old = dt.datetime.now().timestamp() - 86_400
+
+    def unseen(overlap="1 hour"):
+        return read_unseen(spark, str(source), ledger, lambda reader, path: reader.schema(USER_SCHEMA).csv(path, header=True), "*.csv", overlap)
+
+    os.utime(source / "a.csv", (old, old))
+    first = unseen()
+    n = first.count()
+    assert n == len(USERS.splitlines()) - 1
+    first.write.parquet(str(tmp_path / "bronze"))
+    note_files(spark.read.parquet(str(tmp_path / "bronze")), ledger)
+    listed = spark.read.parquet(ledger).collect()
+    assert [(r._source_file.endswith("in/a.csv"), r.n_rows) for r in listed] == [(True, n)]
+    assert unseen().count() == 0
     (source / "b.csv").write_text("user_id,name,age\nu9,Di,4\n")
-    assert [r.user_id for r in read_new_files(spark, str(source), processed, read).collect()] == ["u9"]
-    assert new_files(list_files(spark, str(source)), processed).count() == 1
+    # As old as the first file: told from it by the ledger, within the overlap; older files are not looked for.
+    (source / "c.csv").write_text("user_id,name,age\nu8,Ed,5\n")
+    os.utime(source / "c.csv", (old, old))
+    (source / "d.csv").write_text("user_id,name,age\nu7,Flo,6\n")
+    os.utime(source / "d.csv", (old - 7200, old - 7200))
+    assert sorted(r.user_id for r in unseen().collect()) == ["u8", "u9"]
+    assert sorted(r.user_id for r in unseen("3 hours").collect()) == ["u7", "u8", "u9"]
+    note_files(unseen(), ledger)
+    assert unseen().count() == 0 and spark.read.parquet(ledger).count() == 3
+    assert new_files(list_files(spark, str(source)), spark.read.parquet(ledger)).count() == 1
     assert "content" not in list_files(spark, str(source)).columns
 
 
+def test_unknown_json(spark):
+    texts = ['{"k": 1, "a b": [1, 2], "c": {"d": null, "e": "OBJECT<VOID>"}}', '{"k": 2.5, "OBJECT<x": true, "v": 1}', "no json", None,
+             '{"v": "text"}', "{}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, doc string")
+    schema = infer_json_schema(df, "doc")
+    kinds = {f.name: f.dataType.simpleString() for f in schema.fields}
+    assert kinds["a b"] == "array<bigint>" and kinds["c"] == "struct<d:string,e:string>" and kinds["OBJECT<x"] == "boolean"
+    assert kinds["k"].startswith("decimal") and kinds["v"] == "variant"
+    rows = {r.id: r for r in flatten_unknown_json(df.filter("id <> 4"), "doc", "ok").collect()}
+    assert rows[0]["a b"] == [1, 2] and rows[0].c.e == "OBJECT<VOID>" and float(rows[1].k) == 2.5 and rows[1]["OBJECT<x"]
+    assert [rows[i].ok for i in (0, 1, 2, 3, 5)] == [True, True, False, False, False]
+    for bad in ("[1]", "3", "no json", None):
+        with pytest.raises(ValueError):
+            infer_json_schema(spark.createDataFrame([(bad,)], "doc string"), "doc")
+
+
+def test_sketches_merge(spark):
+    rows = spark.range(40_000).select((F.col("id") % 10).alias("day"), F.pmod(F.xxhash64("id"), F.lit(5000)).alias("user"))
+    daily = sketches.distinct_sketches(rows.unionByName(spark.range(3).select(F.col("id").alias("day"), F.lit(None).cast("bigint").alias("user"))), ["day"], "user")
+    whole = sketches.merged_sketches(daily.withColumn("all", F.lit(1)), ["all"]).select(sketches.estimate("sketch")).first()[0]
+    exact = rows.select("user").distinct().count()
+    assert abs(whole - exact) <= sketches.error_bound() * exact
+    again = sketches.merged_sketches(daily.unionByName(daily).withColumn("all", F.lit(1)), ["all"]).select(sketches.estimate("sketch")).first()[0]
+    assert again == whole and daily.count() == 10
+
+
+def test_quantiles_and_their_ranks(spark):
+    df = spark.range(5000).select(F.when(F.col("id") > 9, F.col("id")).alias("a"), F.lit(None).cast("int").alias("none"), F.lit(7).alias("same"))
+    for accuracy in (20, 10_000):
+        profile = sketches.quantile_profile(df, ["a", "none", "same"], [0.0, 0.5, 1.0], accuracy)
+        found = {(r.column_name, r["quantile"]): r for r in sketches.rank_errors(df, profile).collect()}
+        assert all(r.rank_error <= 1 / accuracy for k, r in found.items() if k[0] != "none")
+        assert found["none", 0.5].value is None and found["none", 0.5].n == 0 and found["same", 0.5].value == 7.0
+        assert found["a", 0.5].n == 4990
+    wrong = spark.createDataFrame([("a", 0.5, 10.0, 4990)], profile.schema)
+    assert sketches.rank_errors(df, wrong).first().rank_error > 0.4
+
+
 def test_rows_since(spark):
     at = [dt.datetime(2024, 1, 1, h) for h in range(6)]
     source = spark.createDataFrame([(i, t) for i, t in enumerate(at)], "id int, ts timestamp")
@@ -158,7 +215,9 @@ def test_rows_since(spark):
     assert [r.id for r in late.orderBy("id").collect()] == [2, 4, 5]
     untimed = source.unionByName(spark.createDataFrame([(8, None), (9, None)], "id int, ts timestamp"))
     assert [r.id for r in rows_since(untimed, target, "ts").orderBy("id").collect()] == [4, 5]
+    assert [r.id for r in rows_since(untimed, target, "ts", ["id"]).orderBy("id").collect()] == [4, 5, 8, 9]
     some = target.unionByName(untimed.filter("id = 8"))
+    assert [r.id for r in rows_since(untimed, some, "ts", ["id"]).orderBy("id").collect()] == [4, 5, 9]
     assert [r.id for r in rows_since_with_overlap(untimed, some, "ts", ["id"], "90 minutes").orderBy("id").collect()] == [2, 4, 5, 9]
     empty = source.filter("id < 0")
     assert rows_since(source, empty, "ts").count() == 6

@@ -7,11 +7,22 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
+from smelter.operators.sessions import sessions
 from smelter.sources.readers import table
 from smelter.streaming import state
-from smelter.streaming.sinks import compact_upserted, read_upserted, start_batches, start_files, upsert_into
+from smelter.streaming.sinks import (
+    compact_upserted,
+    read_split,
+    read_totals,
+    read_upserted,
+    split_late_into,
+    start_batches,
+    start_files,
+    totals_into,
+    upsert_into,
+)
 from smelter.streaming.sources import bronze_stream, file_stream, parse_messages, with_event_time
-from smelter.streaming.windows import drop_replays, time_windows
+from smelter.streaming.windows import drop_replays, session_windows, time_windows
 
 SCHEMA = "event_id bigint, user_id bigint, ts timestamp, value double"
 
@@ -201,3 +212,78 @@ def test_a_busy_user_is_never_idle(spark, folder):
     finally:
         query.stop()
     assert users == {9}
+
+
+def test_session_windows_merge(spark, folder):
+    rows = [(i, i % 2, at(1 + i // 3, i * 17 % 60), float(i)) for i in range(40)]
+    folder.drop(rows[::2])
+    folder.drop(rows[1::2] + [(99, 7, at(23, 59), 0.0)])
+    grown = session_windows(folder.stream(files_per_trigger=1).withWatermark("ts", "1 day"), "user_id", "value", "30 minutes")
+    start_batches(grown, totals_into(folder.out), folder.state, "complete").awaitTermination()
+    batch = sessions(spark.createDataFrame(rows + [(99, 7, at(23, 59), 0.0)], SCHEMA), ["user_id"], "value", 1800)
+    found = read_totals(spark, folder.out).select("user_id", "window_start", "window_end", "n_events", "total_value")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_totals_are_read_whole_and_replayed(spark, folder):
+    write = totals_into(folder.out)
+    with pytest.raises(ValueError):
+        read_totals(spark, folder.out)
+    for n in range(4):
+        write(spark.range(n + 1), n)
+    write(spark.range(4), 3)
+    assert read_totals(spark, folder.out).count() == 4
+    assert sorted(p.name for p in folder.path.glob("out/*")) == ["_batch_id=2", "_batch_id=3"]
+    # A batch that broke while it was written is not read.
+    spark.range(9).write.parquet(f"{folder.out}/_batch_id=4")
+    (folder.path / "out/_batch_id=4/_SUCCESS").unlink()
+    assert read_totals(spark, folder.out).count() == 4
+    write(spark.range(5), 4)
+    assert read_totals(spark, folder.out).count() == 5
+
+
+def test_late_rows_are_kept_apart(spark, folder):
+    folder.drop([(1, 1, at(5), 1.0), (2, 1, at(1), 1.0)])
+    folder.drop([(3, 1, at(4, 40), 1.0), (4, 1, at(4, 55), 1.0), (5, 1, None, 1.0)])
+    folder.drop([(6, 1, at(4, 50), 1.0), (7, 1, at(9), 1.0), (8, 1, at(4), 1.0)])
+    write = split_late_into(folder.out, "10 minutes")
+    batches = {}
+
+    def noted(batch, n):
+        batches[n] = [tuple(r) for r in batch.collect()]
+        write(batch, n)
+
+    start_batches(folder.stream(files_per_trigger=1), noted, folder.state).awaitTermination()
+
+    def sides():
+        return [sorted(r.event_id for r in read_split(spark, folder.out, late).collect()) for late in (False, True)]
+
+    assert sides() == [[1, 2, 4, 5, 6, 7], [3, 8]]
+    # A batch seen again splits as it did before, though later ones have been seen.
+    write(spark.createDataFrame(batches[1], SCHEMA), 1)
+    assert sides() == [[1, 2, 4, 5, 6, 7], [3, 8]]
+
+
+def test_spans_join_within_the_gap():
+    assert state.merged_spans([(50, 60, 2), (0, 10, 1), (20, 30, 1)], 10) == [(0, 30, 2), (50, 60, 2)]
+    assert state.merged_spans([(0, 5, 1), (1, 2, 3), (16, 16, 1)], 10) == [(0, 5, 4), (16, 16, 1)]
+    assert state.merged_spans([], 10) == []
+
+
+def test_activities_close_behind_the_watermark(spark, folder):
+    folder.drop([(1, 1, at(1), 1.0), (2, 1, at(1, 20), 1.0), (3, 2, at(1, 5), 1.0), (9, None, at(1), 1.0), (10, 3, None, 1.0)])
+    folder.drop([(4, 1, at(1, 45), 1.0), (5, 2, at(3), 1.0)])
+    folder.drop([(6, 2, at(3, 10), 1.0), (7, 1, at(4), 1.0)])
+
+    def run():
+        with state.rocksdb_state(spark):
+            timed = folder.stream(files_per_trigger=1).withWatermark("ts", "10 minutes")
+            start_batches(state.closed_activities(timed, 1_800_000), upsert_into(folder.out, ["user_id", "started_at"], [F.desc("n_events")]),
+                          folder.state, "update").awaitTermination()
+        found = read_upserted(spark, folder.out, ["user_id", "started_at"], [F.desc("n_events")])
+        return {(r.user_id, r.started_at, r.last_at, r.n_events) for r in found.collect()}
+
+    closed = {(1, at(1), at(1, 45), 3), (2, at(1, 5), at(1, 5), 1), (None, at(1), at(1), 1), (2, at(3), at(3, 10), 2)}
+    assert run() == closed
+    folder.drop([(8, 2, at(9), 1.0)])
+    assert run() == closed | {(1, at(4), at(4), 1)}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import random
 
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from smelter.operators import windows
 from smelter.operators.blocks import split_hot
+from smelter.operators.sessions import sessions
 
 
 @pytest.fixture(scope="module")
@@ -102,3 +104,39 @@ def test_all_rows_at_one_time(spark):
     same = spark.range(500).select(F.lit("k").alias("key"), F.lit(5).alias("at"), "id", F.lit(1.0).alias("value"))
     total = windows.running_total(same, ["key"], ["at", "id"], "value", "total", 50)
     assert sorted(r.total for r in total.collect()) == [float(i) for i in range(1, 501)]
+
+
+@HOT
+@pytest.mark.parametrize("rows", [1, 3, 150])
+def test_moving_average(skewed, hot_rows, rows):
+    window = Window.partitionBy("key").orderBy("at", "id").rowsBetween(-(rows - 1), 0)
+    plain = skewed.withColumn("mean", F.avg("value").over(window))
+    found = windows.moving_average(skewed, ["key"], ["at", "id"], "value", rows, "mean", hot_rows)
+    _same(found.withColumn("mean", F.round("mean", 6)), plain.withColumn("mean", F.round("mean", 6)))
+
+
+@pytest.mark.parametrize("block_rows", [1, 100, 10_000])
+def test_rows_are_numbered_without_gaps(skewed, block_rows):
+    plain = skewed.withColumn("n", F.row_number().over(Window.orderBy("at", "id")).cast("bigint"))
+    _same(windows.numbered(skewed, ["at", "id"], "n", block_rows), plain)
+    assert windows.numbered(skewed.filter("id < 0"), ["id"], "n").count() == 0
+
+
+def test_rows_per_partition(spark):
+    report = windows.rows_per_partition(spark.range(0, 30, 1, 3).filter("id < 20 AND id NOT BETWEEN 8 AND 12")).collect()
+    assert sorted((r.partition_id, r.n_rows, r.share) for r in report) == [(0, 8, 8 / 15), (1, 7, 7 / 15)]
+
+
+@pytest.mark.parametrize("gap", [1, 5, 60])
+def test_sessions_equal_sparks_own(spark, gap):
+    rnd = random.Random(gap)
+    start = dt.datetime(2024, 1, 1)
+    rows = [(None if i % 40 == 0 else rnd.choice(["hot"] * 5 + ["a", "b"]),
+             None if i % 97 == 0 else start + dt.timedelta(microseconds=rnd.choice([0, 1_000_000, 999_999]), seconds=rnd.randrange(3000)),
+             float(i)) for i in range(2000)]
+    rows += [("edge", start + dt.timedelta(seconds=gap * i), 1.0) for i in range(5)] + [("edge", start + dt.timedelta(seconds=gap * 5, microseconds=1), 1.0)]
+    events = spark.createDataFrame(rows, "key string, ts timestamp, value double").repartition(5)
+    plain = events.groupBy(F.session_window("ts", f"{gap} seconds").alias("w"), "key").agg(
+        F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("total_value"))
+    found = sessions(events, ["key"], "value", gap)
+    _same(found, plain.select("key", F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n_events", "total_value"))
