@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm.batches import bound_batches
+from smelter.llm.batches import bound_batches, giving_back
 from smelter.operators.lineage import scratch_folder
 
 #: Characters of text in a block; bounds the memory of the tasks that read and rebuild it.
@@ -34,6 +34,11 @@ BLOCK_CHARS = 4_000_000
 #: Documents whose numbers travel in one row.
 ROW_CHARS = 200_000
 
+#: Buckets of words. A block writes a row for each, so they stay this few however many documents there are.
+BUCKETS = (16, 4096)
+#: Distinct words of a bucket whose ids a task remembers before it starts anew; a word met again is then encoded again.
+KNOWN_WORDS = 2_000_000
+
 _CUT_TYPE = ("block string, bucket int, words binary, doc_ids array<string>, lengths array<bigint>, "
              "numbers binary")
 
@@ -59,7 +64,7 @@ def _bucket(word: bytes, buckets: int) -> int:
 def _packed(items: list[bytes]) -> bytes:
     """Byte strings with their lengths before them, compressed."""
     lengths = np.fromiter(map(len, items), np.uint32, len(items))
-    return zstandard.ZstdCompressor(level=3).compress(
+    return zstandard.ZstdCompressor(level=6).compress(
         np.uint32(len(items)).tobytes() + lengths.tobytes() + b"".join(items))
 
 
@@ -121,9 +126,9 @@ class _Block:
         self.digest.update(f"{doc_id} {xxhash.xxh3_128_hexdigest(text.encode('utf-8', 'surrogatepass'))};".encode())
 
     def table(self, place: str) -> pd.DataFrame:
-        """One row for each bucket of words with their numbers, and the documents as numbers.
+        """One row for each bucket of sorted words, one with the numbers of all words in this order, and the documents as numbers.
 
-        The most frequent word of the block has number 0.
+        The most frequent word of the block has number 0. The numbers stay with the documents: words travel without them.
         """
         block = f"{place}-{self.digest.hexdigest()}"
         counts = np.zeros(len(self.words), np.int64)
@@ -135,11 +140,12 @@ class _Block:
         place_of[by_count] = np.arange(len(by_count), dtype=np.uint32)
         raws = [word.encode("utf-8", "surrogatepass") for word in self.words]
         buckets = np.fromiter((_bucket(raw, self.buckets) for raw in raws), np.int64, len(raws))
-        order = np.lexsort((place_of, buckets))
+        order = np.array(sorted(range(len(raws)), key=raws.__getitem__), np.int64)
+        order = order[np.argsort(buckets[order], kind="stable")]
         cuts = np.searchsorted(buckets[order], np.arange(self.buckets + 1))
-        rows = [(block, b, _packed([raws[i] for i in order[s:e]]), None, None,
-                 _planes(np.diff(place_of[order[s:e]], prepend=np.uint32(0))))
+        rows = [(block, b, _packed([raws[i] for i in order[s:e]]), None, None, None)
                 for b, (s, e) in enumerate(zip(cuts, cuts[1:])) if e > s]
+        rows.append((block, None, None, None, None, _planes(place_of[order])))
         rows += [(block, None, None, doc_ids, lengths, _stream(place_of[np.concatenate(numbers)]))
                  for doc_ids, lengths, numbers in self.rows]
         return pd.DataFrame(rows, columns=[c.split()[0] for c in _CUT_TYPE.split(", ")], dtype=object)
@@ -161,7 +167,7 @@ def _cut(docs: DataFrame, pattern: str, buckets: int) -> DataFrame:
         if block.rows:
             yield block.table(f"{place}-{done}")
 
-    return docs.mapInPandas(cut, _CUT_TYPE)
+    return docs.mapInPandas(lambda frames: giving_back(cut(frames)), _CUT_TYPE)
 
 
 def _stored_by_block(cut: DataFrame, parts: int) -> DataFrame:
@@ -183,13 +189,13 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, doc_id: str = "doc_id"
     Null and empty texts have no ids. Null and repeated ids stay rows of their own; an empty table gives
     no rows; further columns are left out. The rank file is read once on the driver and sent to the tasks:
     its size is that of the vocabulary. ``buckets`` deal out the words; by default they follow the number of
-    rows to the power 0.6, about as the distinct words of a text do.
+    rows to the power 0.6, about as the distinct words of a text do, within ``BUCKETS``.
     """
     spark = docs.sparkSession
     bound_batches(spark)
     rows = docs.count()
     if buckets is None:
-        buckets = max(64, math.ceil((rows / 4096) ** 0.6))
+        buckets = min(max(BUCKETS[0], math.ceil((rows / 4096) ** 0.6)), BUCKETS[1])
     ranks = spark.sparkContext.broadcast(load_ranks(rank_path))
     kind = docs.schema[doc_id].dataType
     texts = docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"))
@@ -203,7 +209,7 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, doc_id: str = "doc_id"
         for frame in frames:
             out = []
             for bucket, packed in zip(frame["bucket"], frame["words"]):
-                if bucket != now:
+                if bucket != now or len(known) > KNOWN_WORDS:
                     known, now = {}, bucket
                 found = []
                 for word in _unpacked(packed):
@@ -215,19 +221,21 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, doc_id: str = "doc_id"
                     found.append(ids)
                 lengths = np.fromiter(map(len, found), np.uint32, len(found))
                 out.append((_planes(lengths), _planes(np.concatenate(found))))
-            yield pd.DataFrame({"block": frame["block"], "numbers": frame["numbers"],
+            yield pd.DataFrame({"block": frame["block"], "bucket": frame["bucket"],
                                 "lengths": [o[0] for o in out], "ids": [o[1] for o in out]})
 
-    vocabularies = cut.filter("bucket IS NOT NULL").select("block", "bucket", "words", "numbers")
+    vocabularies = cut.filter("bucket IS NOT NULL").select("block", "bucket", "words")
     encoded = vocabularies.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(
-        encode_words, "block string, numbers binary, lengths binary, ids binary")
+        lambda frames: giving_back(encode_words(frames)), "block string, bucket int, lengths binary, ids binary")
     numbered = cut.filter("bucket IS NULL").select("block", "doc_ids", "lengths", "numbers")
 
     def put_together(documents: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        """The ids of a block's documents, from the ids of its words and the words' numbers."""
-        listed = [(np.cumsum(_from_planes(n), dtype=np.uint32), _from_planes(s), _from_planes(i))
-                  for n, s, i in zip(words["numbers"], words["lengths"], words["ids"])]
-        numbers, sizes, flat = (np.concatenate([x[k] for x in listed] or [np.zeros(0, np.uint32)]) for k in range(3))
+        """The ids of a block's documents, from the ids of its words by bucket and the numbers of all words."""
+        is_order = documents["doc_ids"].isna()
+        numbers = _from_planes(documents["numbers"][is_order].iloc[0])
+        documents, words = documents[~is_order], words.sort_values("bucket") if len(words) else words
+        listed = [(_from_planes(s), _from_planes(i)) for s, i in zip(words["lengths"], words["ids"])] if len(words) else []
+        sizes, flat = (np.concatenate([x[k] for x in listed] or [np.zeros(0, np.uint32)]) for k in range(2))
         lengths, begins = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
         lengths[numbers] = sizes
         begins[numbers] = np.cumsum(sizes, dtype=np.int64) - sizes
