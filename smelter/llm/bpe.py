@@ -15,6 +15,7 @@ import base64
 import hashlib
 import math
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -204,6 +205,7 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, doc_id: str = "doc_id"
     def encode_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows come sorted by bucket; a bucket's distinct words are encoded at their first row."""
         bpe = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks.value, special_tokens={})
+        # Ids are kept as bytes, as a bucket has far more words than an array each would leave room for.
         known: dict[bytes, bytes] = {}
         now = None
         for frame in frames:
@@ -217,10 +219,10 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, doc_id: str = "doc_id"
                     if ids is None:
                         whole = ranks.value.get(word)
                         listed = [whole] if whole is not None else bpe.encode_ordinary(word.decode("utf-8", "surrogatepass"))
-                        ids = known[word] = np.array(listed, np.uint32)
+                        ids = known[word] = array("I", listed).tobytes()
                     found.append(ids)
-                lengths = np.fromiter(map(len, found), np.uint32, len(found))
-                out.append((_planes(lengths), _planes(np.concatenate(found))))
+                lengths = np.fromiter(map(len, found), np.uint32, len(found)) // 4
+                out.append((_planes(lengths), _planes(np.frombuffer(b"".join(found), np.uint32))))
             yield pd.DataFrame({"block": frame["block"], "bucket": frame["bucket"],
                                 "lengths": [o[0] for o in out], "ids": [o[1] for o in out]})
 

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smelter.llm.batches import bound_batches
+from smelter.llm.batches import bound_batches, giving_back
 from smelter.llm.hashing import NON_ALPHANUMERIC, chunks, distinct_per_text, shingle_hashes, word_hashes
 from smelter.operators.lineage import cut_lineage
 
@@ -134,8 +134,7 @@ def _by_broadcast(texts: DataFrame, tests: DataFrame, n: int, needed: int, out_o
     held = sorted(((r["item_id"], r["text"]) for r in tests.collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
     spread = texts.sparkSession.sparkContext.broadcast(held)
 
-    @F.pandas_udf(f"array<struct<{_MATCH_TYPE.replace(' ', ':').replace(',:', ',')}>>")
-    def probe(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def matches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         index = _Index(spread.value, n, needed, out_of)
         for batch in batches:
             out: list[list[dict]] = [[] for _ in range(len(batch))]
@@ -143,6 +142,10 @@ def _by_broadcast(texts: DataFrame, tests: DataFrame, n: int, needed: int, out_o
                 out[t].append({"item_id": index.items[o][0], "shared": shared, "item_shingles": size})
             yield pd.Series(out)
 
+    @F.pandas_udf(f"array<struct<{_MATCH_TYPE.replace(' ', ':').replace(',:', ',')}>>")
+    def probe(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from giving_back(matches(batches))
+
     found = texts.select("doc_id", probe.asNondeterministic()("text").alias("found"))
     return found.select("doc_id", F.inline("found"))
 

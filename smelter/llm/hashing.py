@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 #: Bytes of text that are hashed at once; bounds the memory of a Python worker, never what is read.
-CHUNK_BYTES = 1_000_000
+CHUNK_BYTES = 250_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))

@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smelter.llm.batches import bound_batches
+from smelter.llm.batches import bound_batches, giving_back
 from smelter.llm.components import connected_components
 from smelter.llm.hashing import chunks, distinct_per_text, shingle_hashes, word_hashes
 from smelter.llm.keys import BROADCAST_BYTES, keep_keys
@@ -53,32 +53,38 @@ def _strings(batch: pd.Series) -> list[str | None]:
 
 
 def _sets_and_counts(text: Column, n: int) -> Column:
-    """Digest and size of each set; the last row of a batch also has the counters of the whole batch."""
-    @F.pandas_udf("digest binary, size bigint, counted array<binary>")
-    def look(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        packer = zstandard.ZstdCompressor(level=1)
+    """Digest and size of each set; the last row of a task also has the counters of all its texts."""
+    def seen(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        counters, held = np.zeros(COUNTERS, np.uint32), None
         for batch in batches:
-            counters = np.zeros(COUNTERS, np.uint32)
+            if held is not None:
+                yield held
             digests, sizes = [], []
             for shingles in _text_sets(_strings(batch), n):
                 np.add.at(counters, (shingles >> _SHIFT).astype(np.int64), 1)
                 digests.append(_digest(shingles))
                 sizes.append(len(shingles))
-            counted: list[list[bytes] | None] = [None] * len(batch)
-            if len(batch):
-                counters = counters.astype(np.min_scalar_type(int(counters.max())))
-                counted[-1] = [packer.compress(counters[i:i + _SLICE].tobytes()) for i in range(0, COUNTERS, _SLICE)]
-            yield pd.DataFrame({"digest": digests, "size": sizes, "counted": counted})
+            held = pd.DataFrame({"digest": digests, "size": sizes, "counted": [None] * len(batch)})
+        if held is not None:
+            if len(held):
+                packer, kind = zstandard.ZstdCompressor(level=1), np.min_scalar_type(int(counters.max()))
+                held.at[len(held) - 1, "counted"] = [
+                    packer.compress(counters[i:i + _SLICE].astype(kind).tobytes()) for i in range(0, COUNTERS, _SLICE)]
+            yield held
+
+    @F.pandas_udf("digest binary, size bigint, counted array<binary>")
+    def look(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        yield from giving_back(seen(batches))
 
     # Not to be evaluated once more for a filter on its result.
     return look.asNondeterministic()(text)
 
 
 def _order_table(seen: DataFrame) -> np.ndarray:
-    """The counters of all batches summed, in two steps of about equally many rows each."""
+    """The counters of all tasks summed, in two steps of about equally many rows each."""
     parts = seen.filter("counted IS NOT NULL").select("digest", F.posexplode("counted").alias("slice", "packed"))
-    batches = parts.count() // (COUNTERS // _SLICE)
-    salts = max(1, int(batches ** 0.5))
+    tasks = parts.count() // (COUNTERS // _SLICE)
+    salts = max(1, int(tasks ** 0.5))
 
     def added(frame: pd.DataFrame) -> pd.DataFrame:
         opener = zstandard.ZstdDecompressor()
@@ -107,8 +113,7 @@ def prefix_length(size: np.ndarray | int, needed: int, out_of: int):
 
 def _prefixes(text: Column, n: int, needed: int, out_of: int, table) -> Column:
     """Digest, size and the rarest shingles, rarest first, of each text that has any."""
-    @F.pandas_udf("digest binary, size bigint, grams array<bigint>, spread binary")
-    def look(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def shown(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         counts = table.value
         for batch in batches:
             digests, sizes, grams, spreads = [], [], [], []
@@ -121,6 +126,10 @@ def _prefixes(text: Column, n: int, needed: int, out_of: int, table) -> Column:
                 spreads.append(_spread(shingles))
             yield pd.DataFrame({"digest": digests, "size": sizes, "grams": grams, "spread": spreads})
 
+    @F.pandas_udf("digest binary, size bigint, grams array<bigint>, spread binary")
+    def look(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        yield from giving_back(shown(batches))
+
     # Not to be evaluated once more for a filter on its result.
     return look.asNondeterministic()(text)
 
@@ -181,12 +190,15 @@ def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, prefixes: Dat
     wanted = pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).distinct()
     keys = cut_lineage(wanted.join(classes, "digest").select("digest", "rep"))
 
-    @F.pandas_udf("digest binary, shingles binary")
-    def fetch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def whole_sets(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = list(_text_sets(_strings(batch), n))
             yield pd.DataFrame({"digest": list(map(_digest, found)), "shingles": [s.tobytes() for s in found]})
 
+    @F.pandas_udf("digest binary, shingles binary")
+    def fetch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        yield from giving_back(whole_sets(batches))
+
     texts = keep_keys(docs, keys.select(F.col("rep").alias("doc_id")).distinct(), limit=broadcast_bytes)
     sets = texts.select(fetch.asNondeterministic()("text").alias("s")).select("s.*").join(keys.select("digest"), "digest", "left_semi")
     sets = sets.groupBy("digest").agg(F.first("shingles").alias("shingles"))
