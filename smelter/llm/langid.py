@@ -12,10 +12,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm.batches import bound_batches
+from smelter.llm.batches import bound_batches, giving_back
+from smelter.llm.sampling import smallest_hashes
 
 PIECE_BYTES = 1024
 LEVEL = 6
@@ -28,22 +29,33 @@ UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
 
+#: Places of a text from which a dictionary takes ``SLICE_CHARS`` characters each.
+SLICES, SLICE_CHARS = 4, 250
+
+
+def _slices(text: Column) -> Column:
+    """Characters from a few places of the whole text, which its hash chooses; a short text whole."""
+    room = F.length(text) - SLICES * SLICE_CHARS
+    # One place in each quarter of what is left over.
+    places = [F.floor((F.lit(i) + F.pmod(F.xxhash64(text, F.lit(i)), F.lit(1000)) / 1000) * room / SLICES).cast("int") + i * SLICE_CHARS + 1
+              for i in range(SLICES)]
+    return F.when(room <= 0, text).otherwise(F.concat_ws("\n", *(F.substring(text, p, F.lit(SLICE_CHARS)) for p in places)))
+
+
 def fit_dictionaries(labelled: DataFrame, text: str = "text", lang: str = "lang", rows_per_lang: int = 256,
-                     chars_per_row: int = 1000) -> dict[str, bytes]:
+                     languages: int = 64) -> dict[str, bytes]:
     """A dictionary per language from a bounded sample of its distinct texts.
 
-    The sample holds at most ``rows_per_lang`` texts of each language, those with the smallest hashes,
-    and of each ``chars_per_row`` characters; so a dictionary has at most 256,000 of them.
-    Null and empty texts and null languages teach nothing. Texts are ranked as hashes, each once, so
-    groups of copies weigh no more than one; the chosen hashes (16 bytes and a label each) then
-    pick their texts.
+    The sample holds at most ``rows_per_lang`` texts of each of at most ``languages`` languages (those with the most distinct
+    texts), those with the smallest hashes, and of each text ``SLICES`` slices from places all over it; so a dictionary has at
+    most 256,000 characters. Null and empty texts and null languages teach nothing. Texts are ranked as hashes, each once, so
+    groups of copies weigh no more than one, and only hashes under a cutoff are ranked, so no language's texts meet in one
+    task; the chosen hashes (16 bytes and a label each) then pick their texts.
     """
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("h")
                            ).filter("lang IS NOT NULL AND text <> ''")
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    chosen = rows.select("lang", "h").distinct().withColumn("place", place).filter(F.col("place") <= rows_per_lang)
-    sample = (rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h")
-              .agg(F.min(F.substring("text", 1, chars_per_row)).alias("text")).collect())
+    chosen = smallest_hashes(rows.select("lang", "h"), "lang", rows_per_lang, groups=languages).distinct()
+    sample = rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min(_slices(F.col("text"))).alias("text")).collect()
     texts: dict[str, list[str]] = {}
     for row in sorted(sample, key=lambda r: (r["lang"], r["h"])):
         texts.setdefault(row["lang"], []).append(row["text"].lower())
@@ -87,13 +99,16 @@ def language_of(text: Column, dictionaries: dict[str, bytes]) -> Column:
     names = list(dictionaries)
     bound_batches(SparkSession.active())
 
-    @F.pandas_udf("lang string, score double")
-    def guess(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def guesses(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         ready = compressors_of(dictionaries)
         for batch in batches:
             found = [predict(t if isinstance(t, str) else None, names, ready) for t in batch]
             yield pd.DataFrame(found, columns=["lang", "score"])
 
+    @F.pandas_udf("lang string, score double")
+    def guess(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        yield from giving_back(guesses(batches))
+
     # Not to be evaluated once more for a filter on its result.
     guessed = guess.asNondeterministic()(text)
     return F.struct(guessed["lang"].alias("lang"), guessed["score"].alias("score"),
