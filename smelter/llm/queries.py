@@ -78,13 +78,12 @@ def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
 @query("""
 WITH vectors AS (
     SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS parts
-    FROM embeddings
+    FROM embeddings WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
-flat AS (SELECT vec_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS place FROM vectors),
 pairs AS (
-    SELECT q.vec_id AS query_id, v.vec_id, CAST(sum(q.part * v.part) AS BIGINT) AS score
-    FROM flat q JOIN flat v ON q.place = v.place AND q.vec_id <> v.vec_id
-    WHERE q.vec_id % 100 = 0 GROUP BY ALL
+    SELECT q.vec_id AS query_id, v.vec_id, CAST(coalesce(list_sum(list_transform(
+               range(1, least(len(q.parts), len(v.parts)) + 1), lambda i: q.parts[i] * v.parts[i])), 0) AS BIGINT) AS score
+    FROM vectors q JOIN vectors v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0
 )
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
        vec_id, score

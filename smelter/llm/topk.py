@@ -16,6 +16,8 @@ block of each, whatever the size of the table.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -26,21 +28,37 @@ from smelter.operators.lineage import cut_lineage
 GROUPS = 4
 BLOCK_ROWS = 4096
 QUERY_ROWS = 512
-#: Scaled components beyond this take no part, as scores of such vectors could leave bigint.
+#: Vectors with a scaled component beyond this are wide: their scores could leave bigint, so they are taken in Python's integers.
 LARGEST = float(2 ** 28)
+#: Scores have so many digits at most while they are compared; beyond that they tie. Given out, they end where bigint does.
+DIGITS = 38
 
 PAIR_TYPE = "query_id bigint, vec_id bigint, score bigint"
+WIDE_TYPE = f"query_id bigint, vec_id bigint, score decimal({DIGITS},0)"
+
+
+def takes_part(embedding: Column) -> Column:
+    """Whether a vector is there and all its components are finite numbers; an empty one is."""
+    finite = F.forall(embedding, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")), F.lit(False)))
+    return F.coalesce(finite, F.lit(False))
+
+
+def is_wide(embedding: Column, scale: int = 1024) -> Column:
+    return F.exists(embedding, lambda x: F.abs(x.cast("double")) * scale > LARGEST)
 
 
 def scaled(embedding: Column, scale: int = 1024) -> Column:
-    """floor(scale * x) of every component as bigint; null for vectors that take no part.
+    """floor(scale * x) of every component as bigint, of a vector that is not wide."""
+    return F.transform(embedding, lambda x: F.floor(x.cast("double") * scale))
 
-    Those are null and empty vectors and vectors with a null, infinite, NaN or too large component.
-    """
-    parts = F.transform(embedding, lambda x: F.floor(x.cast("double") * scale))
-    fits = F.forall(embedding, lambda x: F.coalesce(
-        ~F.isnan(x) & (F.abs(x.cast("double")) * scale <= LARGEST), F.lit(False)))
-    return F.when((F.size(embedding) > 0) & fits, parts)
+
+def _integers(embedding: np.ndarray, scale: int) -> np.ndarray:
+    """floor(scale * x) of every component in Python's integers; exact, as every double is a fraction."""
+    out = np.empty(len(embedding), object)
+    for i, x in enumerate(embedding):
+        numerator, denominator = float(x).as_integer_ratio()
+        out[i] = scale * numerator // denominator
+    return out
 
 
 def _blocked(vectors: DataFrame, rows: int, name: str) -> tuple[DataFrame, Column]:
@@ -60,7 +78,7 @@ def _matrix(frame: pd.DataFrame, width: int) -> np.ndarray:
 
 def _partials(left: pd.DataFrame, right: pd.DataFrame, groups: int) -> np.ndarray:
     """Partial scores: group, query, row. Sums beyond 2**53 are taken in integers instead of floats."""
-    width = max(max(map(len, left["parts"])), max(map(len, right["parts"])))
+    width = max(1, max(map(len, left["parts"])), max(map(len, right["parts"])))
     a, b = _matrix(left, width), _matrix(right, width)
     if np.abs(a).max() * np.abs(b).max() * width >= 2 ** 53:
         a, b = a.astype(np.int64), b.astype(np.int64)
@@ -75,18 +93,59 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "ve
 
     A query's own row is any row with its id. Rows that repeat an id with the same or other components
     count as rows of their own; equal ids among the queries with equal components are one query, and of
-    those with different components the smallest is taken. Null ids take no part. With fewer than ``k``
-    rows all are given; empty tables give no rows. Vectors of unequal length are compared as if filled
-    up with zeros. Further columns are left out.
+    those with different components the smallest is taken. Null ids, null vectors and vectors with a null or
+    non-finite component take no part. With fewer than ``k`` rows all are given; empty tables give no rows. Vectors of
+    unequal length are compared as if filled up with zeros, so an empty vector scores 0. Further columns are left out.
+
+    Pairs with a wide vector are scored in Python's integers, each block of the wide ones against all blocks of the other side;
+    of a score outside bigint the end of bigint is given out, in the order of the true scores.
     """
     def taking_part(df: DataFrame) -> DataFrame:
-        return df.select(F.col(vec_id).cast("bigint").alias("vec_id"), scaled(F.col(embedding), scale).alias("parts")
-                         ).filter(F.col("vec_id").isNotNull() & F.col("parts").isNotNull())
-
-    rows, row_blocks = _blocked(taking_part(vectors), block_rows, "row_block")
-    distinct = taking_part(queries).groupBy("vec_id").agg(F.min("parts").alias("parts"))
-    asked, query_blocks = _blocked(distinct, query_rows, "query_block")
-    return _search(rows.withColumn("query_block", F.explode(query_blocks)), asked, row_blocks, k, groups)
+        whole = df.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(embedding).cast("array<double>").alias("embedding"))
+        return whole.filter(F.col("vec_id").isNotNull() & takes_part(F.col("embedding"))).withColumn("wide", is_wide(F.col("embedding"), scale))
+
+    every, distinct = taking_part(vectors), taking_part(queries).groupBy("vec_id").agg(
+        F.min(F.struct("embedding", "wide")).alias("q")).select("vec_id", "q.*")
+
+    def narrow(df: DataFrame) -> DataFrame:
+        return df.filter(~F.col("wide")).select("vec_id", scaled(F.col("embedding"), scale).alias("parts"))
+
+    rows, row_blocks = _blocked(narrow(every), block_rows, "row_block")
+    asked, query_blocks = _blocked(narrow(distinct), query_rows, "query_block")
+    best = _search(rows.withColumn("query_block", F.explode(query_blocks)), asked, row_blocks, k, groups)
+    wide_rows, wide_queries = (df.filter("wide") for df in (every, distinct))
+    pairs = [(side, queries_of) for side, queries_of in ((wide_rows, distinct), (every.filter(~F.col("wide")), wide_queries))
+             if not (wide_rows if queries_of is distinct else wide_queries).isEmpty()]
+    if not pairs:
+        return best
+    best = best.select("query_id", "vec_id", F.col("score").cast(f"decimal({DIGITS},0)").alias("score"))
+    for side, queries_of in pairs:
+        best = best.unionByName(_search_wide(side, queries_of, k, scale, block_rows, query_rows))
+    low, high = (F.lit(x).cast(f"decimal({DIGITS},0)") for x in (-(1 << 63), (1 << 63) - 1))
+    ranked = best.withColumn("rank", F.row_number().over(_by_score())).filter(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", F.least(F.greatest("score", low), high).cast("bigint").alias("score"))
+
+
+def _search_wide(rows: DataFrame, asked: DataFrame, k: int, scale: int, block_rows: int, query_rows: int) -> DataFrame:
+    """The best pairs of each pair of blocks in exact integers."""
+    most = 10 ** DIGITS - 1
+
+    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(left) and len(right):
+            ids, vectors = right["vec_id"].to_numpy(), [_integers(e, scale) for e in right["embedding"]]
+            for own, embedding in zip(left["vec_id"], left["embedding"]):
+                query = _integers(embedding, scale)
+                scores = [(-min(max(int(sum(query[:len(v)] * v[:len(query)])), -most), most), int(i)) for i, v in zip(ids, vectors) if i != own]
+                out += [(own, i, Decimal(-s)) for s, i in sorted(scores)[:k]]
+        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+
+    dealt, row_blocks = _blocked(rows.withColumnRenamed("embedding", "parts"), block_rows, "row_block")
+    wanted, query_blocks = _blocked(asked.withColumnRenamed("embedding", "parts"), query_rows, "query_block")
+    pair = ["row_block", "query_block"]
+    left = wanted.withColumnRenamed("parts", "embedding").withColumn("row_block", F.explode(row_blocks)).drop("wide")
+    right = dealt.withColumnRenamed("parts", "embedding").withColumn("query_block", F.explode(query_blocks)).drop("wide")
+    return left.groupBy(*pair).cogroup(right.groupBy(*pair)).applyInPandas(best, WIDE_TYPE)
 
 
 def _search(dealt_rows: DataFrame, asked: DataFrame, row_blocks: Column, k: int, groups: int) -> DataFrame:
