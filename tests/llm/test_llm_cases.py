@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 import random
 import re
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 
 from smelter.llm import bpe, chat, components, decontam, langid, ngram_join, pii, quality, topk, urls, warc
 from smelter.llm.keys import drop_keys, keep_keys
+from smelter.llm.sampling import smallest_hashes
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -64,6 +67,55 @@ def test_urls_generalise_merge_and_reject(spark):
     assert urls.judge_urls(pages.filter("page_id < 0"), rules).count() == 0
 
 
+def test_quality_of_pieces_is_that_of_the_whole(monkeypatch):
+    dice = random.Random(5)
+    texts = [" ".join(dice.choice(["a", "ab", "abc\td", "é", "x" * 50, "\n"]) for _ in range(n)) for n in (0, 1, 50, 700)] + ["y" * 5000, " " * 900, None]
+    odds = np.random.default_rng(1).normal(size=quality.BUCKETS + 1)
+    whole, examples = quality.scores(texts, odds), [quality.example(t) for t in texts]
+    monkeypatch.setattr(quality, "PIECE_BYTES", 20)
+    assert len(list(quality._pieces(texts[3]))) > 5
+    assert np.allclose(quality.scores(texts, odds), whole)
+    assert [quality.example(t) for t in texts] == examples
+
+
+def test_samples_are_the_smallest_hashes(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") < 2500, "big").when(F.col("id") < 2990, "small").otherwise("tiny").alias("g"),
+                                    F.xxhash64((F.col("id") / 2).cast("int")).alias("h"), "id")
+    found = smallest_hashes(rows, "g", 20, groups=2).collect()
+    plain = {}
+    for r in rows.collect():
+        plain.setdefault(r.g, set()).add(r.h)
+    assert {r.g for r in found} == {"big", "small"}
+    for g in ("big", "small"):
+        assert {r.h for r in found if r.g == g} == set(sorted(plain[g])[:20]) and sum(r.g == g for r in found) >= 39
+    assert smallest_hashes(rows.filter("id < 0"), "g", 5).count() == 0
+
+
+def test_dictionaries_take_slices_from_all_over(spark):
+    text = "".join(f"<{i}>" for i in range(40_000))
+    taken = spark.createDataFrame([(text,), ("short",)], "text string").select(langid._slices(F.col("text")).alias("s")).collect()
+    starts = [int(re.search(r"<(\d+)>", s)[1]) for s in taken[0].s.split("\n")]
+    assert len(taken[0].s) == 1003 and starts == sorted(starts) and starts[0] < 12_000 and starts[-1] > 28_000 and taken[1].s == "short"
+
+
+def test_field_learns_from_a_table(spark):
+    table = pii.assignment_lines(lines=300) + [(["bad"], [0, 0])]
+    rows = [(w, [pii.LABELS[t] for t in tags], 1) for w, tags in table] + [(None, None, 1), (["a", None], ["", ""], 1), (["a"], ["unknown"], 1)]
+    field = pii.fit(spark.createDataFrame(rows, "words array<string>, kinds array<string>, masked int"))
+    assert pii.all_spans(['secret_key="abcDEF123456789xyz"'], field)[0][1][0][0] == "secret"
+    nothing = pii.fit(spark.createDataFrame([], "words array<string>, kinds array<string>"))
+    assert pii.all_spans(["token = abc"], nothing)[0] == ([], [])
+
+
+def test_added_spans_touch_none_of_the_base():
+    dice = random.Random(2)
+    for _ in range(300):
+        found = [("x", s, s + dice.randrange(1, 9)) for s in (dice.randrange(60) for _ in range(dice.randrange(8)))]
+        cuts = sorted(dice.sample(range(70), 12))
+        more = [("y", s, e) for s, e in zip(cuts[::2], cuts[1::2])]
+        assert pii._apart(more, found) == [m for m in more if all(m[2] <= s or e <= m[1] for _, s, e in found)]
+
+
 # --- top k
 
 @pytest.mark.parametrize("k, groups", [(3, 4), (10, 1), (50, 7)])
@@ -71,15 +123,19 @@ def test_top_k_against_brute_force(spark, k, groups):
     dice = np.random.default_rng(3)
     vectors = [(i, dice.normal(size=12).round(2).tolist()) for i in range(120)]
     vectors += [(200 + i, vectors[i][1]) for i in range(15)] + [(300, [0.5] * 5), (301, [2000.0] * 12), (-100, [-1.0] * 12)]
-    useless = [(400, None), (401, []), (402, [1.0, None]), (403, [float("nan")] * 12), (404, [float("inf")] * 12), (None, [1.0] * 12)]
+    vectors += [(310, []), (311, []), (320, [1e6] * 12), (321, [1e6, -1e6, 0.1]), (330, [1e12, 3.0]), (331, [-1e12] * 12), (340, [-1e300, 1e300]),
+                (341, [262_144.0, 0.3]), (342, [262_145.0, 0.3])]
+    useless = [(400, None), (402, [1.0, None]), (403, [float("nan")] * 12), (404, [float("inf")] * 12), (None, [1.0] * 12)]
     df = spark.createDataFrame(vectors + useless, "vec_id bigint, embedding array<double>").withColumn("score", F.lit(0))
     asked = df.filter("vec_id % 10 = 0")
     found = topk.top_k(df, asked, k, groups=groups, block_rows=40, query_rows=5).collect()
-    whole = {i: [int(np.floor(1024 * x)) for x in v] for i, v in vectors}
+    whole = {i: [math.floor(1024 * Fraction(x)) for x in v] for i, v in vectors}
     for q in [i for i in whole if i % 10 == 0]:
-        scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)[:k]
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)
+        # Scores of more than 38 digits tie.
+        scores = sorted((min(max(s, 1 - 10 ** 38), 10 ** 38 - 1), i) for s, i in scores)[:k]
         assert [(r.rank, r.vec_id, r.score) for r in sorted(found, key=lambda r: r.rank) if r.query_id == q] == [
-            (n + 1, i, -s) for n, (s, i) in enumerate(scores)]
+            (n + 1, i, min(max(-s, -(1 << 63)), (1 << 63) - 1)) for n, (s, i) in enumerate(scores)]
     assert topk.top_k(df.filter("vec_id < -500"), asked, k).count() == 0
     assert topk.top_k(df, asked.filter("vec_id < -500"), k).count() == 0
 

@@ -10,10 +10,12 @@ import zlib
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from compare import differences, duck_result, spark_result
 from conftest import SF
 
 import __spark_entry__ as contract
+from smelter.llm import pii
 from smelter.llm.queries import ORACLES, QUERIES
 
 
@@ -85,6 +87,21 @@ def test_personal_data_is_found(spark):
     assert some > 20
 
 
+def test_secrets_are_found_by_the_field(spark):
+    """Every secret of the documents as they are written there, and hardly anything else; figures are in the README."""
+    docs = spark.read.parquet(f"{SF.rsplit('/', 1)[0]}/sf0.1/documents.parquet").filter("text ILIKE '%token = %'").select("text")
+    found = docs.select("text", pii.personal_data(F.col("text"), with_masked=True).alias("p")).select("text", "p.*").collect()
+    wanted = caught = given = right = 0
+    for row in found:
+        secrets = [m.span(1) for m in re.finditer(r'token = "([0-9a-f]{40})"', row.text, re.IGNORECASE)]
+        spans = [(s["start"], s["end"]) for s in row.spans if s["kind"] == "secret"]
+        wanted, given = wanted + len(secrets), given + len(spans)
+        caught += sum(any(s <= a and e >= b for s, e in spans) for a, b in secrets)
+        right += sum(any(s <= a and e >= b for a, b in secrets) for s, e in spans)
+        assert not any(row.text[a:b] in row.masked for a, b in secrets if any(s <= a and e >= b for s, e in spans))
+    assert wanted > 100 and caught >= 0.9 * wanted and right >= 0.9 * given
+
+
 def test_urls_against_plain_rules(spark):
     rules = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block", "com/fr/": "allow", "com/de/": "block"}
     pages = {r.page_id: r.url for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
