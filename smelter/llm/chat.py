@@ -4,7 +4,7 @@ A message holds parts of type text, image, audio or document. Text is escaped; e
 part becomes one placeholder, and what it stands for is recorded in order: kind, reference
 and the number of tokens that its placeholder expands to.
 
-A turn is ``<|turn|>role<|text|>parts<|end|>``. A control string inside a role or text gets
+A turn is ``<|turn|>role<|text|>parts<|end|>``, with ``<|text|>`` once more between two texts that follow each other. A control string inside a role or text gets
 one backslash more after its first character (``</s>`` becomes ``<\/s>``, ``<\/s>`` becomes
 ``<\\/s>``), so no control string of a text survives and taking one away restores it.
 """
@@ -51,12 +51,24 @@ def text_parts(text: Column) -> Column:
                             *(F.lit(None).cast(t).alias(n) for n, t in nothing.items())))
 
 
-def _visit(part: Column) -> Column:
-    """A part as it stands in the formatted text; a kind that is unknown counts as text."""
-    shown = escaped(F.coalesce(part["text"], F.lit("")))
-    for kind, placeholder in PLACEHOLDERS.items():
-        shown = F.when(part["type"] == kind, F.lit(placeholder)).otherwise(shown)
-    return shown
+def _is_text(part: Column) -> Column:
+    return ~F.coalesce(part["type"].isin(*PLACEHOLDERS), F.lit(False))
+
+
+def _visit(parts: Column) -> Column:
+    """The parts as they stand in the formatted text; a kind that is unknown counts as text.
+
+    Between two texts stands a mark: each is escaped on its own, and together they could make a control string.
+    """
+    def one(part: Column, i: Column) -> Column:
+        shown = escaped(F.coalesce(part["text"], F.lit("")))
+        before = F.get(parts, i - 1)
+        shown = F.when((i > 0) & _is_text(before), F.concat(F.lit(TEXT), shown)).otherwise(shown)
+        for kind, placeholder in PLACEHOLDERS.items():
+            shown = F.when(part["type"] == kind, F.lit(placeholder)).otherwise(shown)
+        return shown
+
+    return F.transform(parts, one)
 
 
 def _expanded(part: Column, costs: TokenCosts) -> Column:
@@ -85,7 +97,7 @@ def format_chats(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
     """
     kept = F.coalesce(F.col(parts), F.array().cast(PART_TYPE))
     shown = F.concat(F.lit(TURN), escaped(F.coalesce(F.col(role), F.lit(""))), F.lit(TEXT),
-                     F.concat_ws("", F.transform(kept, _visit)), F.lit(END))
+                     F.concat_ws("", _visit(kept)), F.lit(END))
     attached = F.transform(
         F.filter(kept, lambda p: F.coalesce(p["type"].isin(*PLACEHOLDERS), F.lit(False))),
         lambda p: F.struct(p["type"].alias("kind"), p["ref"].alias("ref"), _expanded(p, costs).alias("tokens")))
@@ -111,7 +123,8 @@ def read_turns(formatted: Column) -> Column:
 
     def one(turn: Column) -> Column:
         sides = F.split(F.regexp_replace(turn, r"<\|end\|>", ""), r"<\|text\|>", 2)
-        return F.struct(unescaped(sides[0]).alias("role"), unescaped(sides[1]).alias("text"))
+        texts = F.transform(F.split(sides[1], r"<\|text\|>"), unescaped)
+        return F.struct(unescaped(sides[0]).alias("role"), F.concat_ws("", texts).alias("text"))
 
     return F.transform(said, one)
 
