@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smelter.operators.lineage import cut_lineage
+from smelter.operators.windows import neighbours
 
 #: Levels of the tree between two cuts of the lineage.
 LEVELS_AT_ONCE = 3
@@ -70,7 +71,8 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tup
 
 
 def _shape(segment: Column) -> Column:
-    shown = segment
+    # A segment that looks like a name of the template's own is told from it by a backslash.
+    shown = F.when(segment.rlike(r"^(\*|\\|\{)"), F.concat(F.lit("\\"), segment)).otherwise(segment)
     for pattern, name in reversed(SHAPES):
         shown = F.when(segment.rlike(pattern), F.lit(name)).otherwise(shown)
     return shown
@@ -102,14 +104,15 @@ def _generalise(shapes: DataFrame, level: int, s: TreeSettings) -> DataFrame:
             .select("host", "shape", changed.alias("template"), "pages", "labelled", "blocked"))
 
 
-def _deepest_branch(tree: DataFrame, level: int) -> int:
-    """The most segments of a template that shares its first ``level`` with another one; 0 if none does.
+def _next_branch(tree: DataFrame, level: int) -> int | None:
+    """The first level beyond ``level`` at which two templates of a host part; None if there is none.
 
-    Later levels change no earlier segment, so a template alone below its prefix stays as it is.
+    Where templates part, two that follow each other in order do. Levels at which nothing parts are no work, however long a path.
     """
-    at = tree.groupBy("host", F.slice("template", 1, level).alias("prefix")).agg(
-        F.count(F.lit(1)).alias("templates"), F.max(F.size("template")).alias("deepest"))
-    return at.filter("templates > 1").agg(F.max("deepest")).collect()[0][0] or 0
+    distinct = tree.select("host", "template").distinct()
+    beside = neighbours(distinct, ["host"], ["template"], "template", "before", "after")
+    parted = F.array_position(F.zip_with("before", "template", lambda a, b: F.coalesce(a != b, F.lit(False))), F.lit(True))
+    return beside.select(parted.alias("level")).filter(F.col("level") > level).agg(F.min("level")).collect()[0][0]
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], page_id: str = "page_id", url: str = "url",
@@ -133,9 +136,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], page_id: str
         F.count_if("blocks").alias("blocked"))
     deepest_wanted = 1 << 30 if s.levels is None else s.levels
     tree, level = cut_lineage(shapes.withColumn("template", F.split("shape", "/"))), 0
-    while (deepest := min(_deepest_branch(tree, level), deepest_wanted)) > level:
-        upto = min(level + LEVELS_AT_ONCE, deepest)
-        for level in range(level + 1, upto + 1):
+    while (following := _next_branch(tree, level)) is not None and following <= deepest_wanted:
+        for level in range(following, min(following + LEVELS_AT_ONCE, deepest_wanted + 1)):
             tree = _generalise(tree, level, s)
         tree = cut_lineage(tree)
     tree = tree.withColumn("template", F.concat_ws("/", "template"))
