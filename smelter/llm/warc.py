@@ -7,6 +7,7 @@ file and offset, joins ranges that lie close together, and reads each joined ran
 
 from __future__ import annotations
 
+import datetime as dt
 import gzip
 import hashlib
 import uuid
@@ -17,6 +18,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from smelter.llm.keys import sendable
 from smelter.operators.lineage import scratch_folder
 
 INDEX_TYPE = ("record_id bigint, url string, file string, offset bigint, length bigint, payload_bytes bigint, "
@@ -30,15 +32,16 @@ REVISIT_BYTES = 1000
 GAP_BYTES = 64 * 1024
 READ_BYTES = 8 * 1024 * 1024
 #: Records of one task of the reader lie in one span of a file.
-SPAN_BYTES = 16 * 1024 * 1024
+SPAN_BYTES = 4 * 1024 * 1024
 
 
 def plan_records(pages: DataFrame, record_id: str = "page_id", url: str = "url", payload: str = "html",
                  revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
     """Each page with its payload, digest and the record it refers to (null: it is a response).
 
-    Digests that occur once take no part beyond the aggregation, which sums up before its shuffle;
-    the join by digest is an equi-join whose hot digests adaptive execution splits.
+    Digests that occur once take no part beyond the aggregation, which sums up before its shuffle. The repeated ones
+    are sent to the pages while their counted size allows it, so that payloads stay where they are read; beyond it pages
+    and digests meet by an equi-join whose hot digests adaptive execution splits.
     """
     body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
     rows = pages.select(F.col(record_id).cast("bigint").alias("record_id"), F.col(url).alias("url"),
@@ -48,7 +51,7 @@ def plan_records(pages: DataFrame, record_id: str = "page_id", url: str = "url",
     kept = (large.groupBy("payload_digest").agg(F.max("record_id").alias("kept"), F.count(F.lit(1)).alias("copies"))
             .filter("copies > 1").drop("copies"))
     refers = F.when((F.col("payload_bytes") >= revisit_bytes) & (F.col("record_id") < F.col("kept")), F.col("kept"))
-    return rows.join(kept, "payload_digest", "left").withColumn("refers_to", refers).drop("kept")
+    return rows.join(sendable(kept), "payload_digest", "left").withColumn("refers_to", refers).drop("kept")
 
 
 def _opened(folder: str) -> tuple[fs.FileSystem, str]:
@@ -57,30 +60,34 @@ def _opened(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri("file://" + folder.removeprefix("file:") if short else folder)
 
 
-def _member(row, record_type: str) -> bytes:
+def _member(row, record_type: str, date: str) -> bytes:
+    """A record as one gzip member: its block is the page as an HTTP response, or of a revisit only the response's head."""
     revisit = record_type == "revisit"
-    block = b"" if revisit else bytes(row.payload)
     target = "" if pd.isna(row.url) else " ".join(row.url.split())
     record_id = "" if pd.isna(row.record_id) else row.record_id
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {row.payload_bytes}\r\n\r\n".encode()
+    block = http if revisit else http + bytes(row.payload)
     names = [
-        "WARC/1.1", f"WARC-Type: {record_type}",
-        f"WARC-Record-ID: <urn:page:{record_id}>",
+        "WARC/1.1", f"WARC-Type: {record_type}", f"WARC-Record-ID: <urn:page:{record_id}>", f"WARC-Date: {date}",
         f"WARC-Target-URI: {target}", f"WARC-Payload-Digest: sha1:{row.payload_digest}",
-        f"WARC-Payload-Length: {row.payload_bytes}",
     ]
     if revisit:
         names += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
                   f"WARC-Refers-To: <urn:page:{row.refers_to}>"]
-    names += ["Content-Type: text/html", f"Content-Length: {len(block)}", "", ""]
+    names += ["Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}", "", ""]
     return gzip.compress("\r\n".join(names).encode() + block + b"\r\n\r\n", compresslevel=3, mtime=0)
 
 
-def write_archives(planned: DataFrame, folder: str) -> DataFrame:
+def write_archives(planned: DataFrame, folder: str, date: str | None = None) -> DataFrame:
     """Write every planned record to an archive in ``folder`` and give the index, stored beside it.
 
+    ``date`` is the records' time (as 2026-01-31T12:00:00Z), now unless given; all records have the same.
+
     Each attempt of a task writes a file of its own name; the index holds the rows of the attempts
     that Spark committed, so what a lost executor left half written is never read.
     """
+    date = date or dt.datetime.now(dt.UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, root = _opened(folder)
         name, out, offset = f"{uuid.uuid4().hex}.warc.gz", None, 0
@@ -92,7 +99,7 @@ def write_archives(planned: DataFrame, folder: str) -> DataFrame:
                         store.create_dir(root, recursive=True)
                         out = store.open_output_stream(f"{root}/{name}", compression=None)
                     record_type = "response" if pd.isna(row.refers_to) else "revisit"
-                    member = _member(row, record_type)
+                    member = _member(row, record_type, date)
                     out.write(member)
                     record_id = None if pd.isna(row.record_id) else int(row.record_id)
                     places.append((record_id, row.url, name, offset, len(member), row.payload_bytes,
@@ -142,10 +149,12 @@ def parse_record(member: bytes) -> tuple:
         return int(digits) if digits else None
 
     digest = fields["warc-payload-digest"].removeprefix("sha1:")
-    if fields["warc-type"] == "response" and hashlib.sha1(block).hexdigest() != digest:
+    http, _, payload = block.partition(b"\r\n\r\n")
+    lengths = [line.partition(b":")[2] for line in http.split(b"\r\n") if line.lower().startswith(b"content-length:")]
+    if fields["warc-type"] == "response" and (hashlib.sha1(payload).hexdigest() != digest or len(payload) != int(lengths[0])):
         raise ValueError(f"payload of record {fields['warc-record-id']} does not have its digest")
-    return (number("warc-record-id"), fields.get("warc-target-uri"), int(fields["warc-payload-length"]), digest,
-            fields["warc-type"], number("warc-refers-to"), block)
+    return (number("warc-record-id"), fields.get("warc-target-uri"), int(lengths[0]), digest,
+            fields["warc-type"], number("warc-refers-to"), payload)
 
 
 def read_records(selected: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
@@ -172,8 +181,10 @@ def read_records(selected: DataFrame, folder: str, with_payload: bool = True) ->
                             out["payload"] = None
                         yield out
 
-    span = F.floor(F.col("offset") / SPAN_BYTES)
-    dealt = selected.select("file", "offset", "length").repartition("file", span).sortWithinPartitions("file", "offset")
+    # By the bytes to read: adaptive execution would see only the index's few rows and put them into one task.
+    size = selected.agg(F.sum("length")).collect()[0][0] or 0
+    tasks, span = max(1, -(-size // SPAN_BYTES)), F.floor(F.col("offset") / SPAN_BYTES)
+    dealt = selected.select("file", "offset", "length").repartition(tasks, "file", span).sortWithinPartitions("file", "offset")
     return dealt.mapInPandas(read, RECORD_TYPE)
 
 
