@@ -95,7 +95,7 @@ class _Index:
 
 def find_contained(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id",
                    text: str = "text", n: int = SHINGLE_WORDS, needed: int = NEEDED, out_of: int = OUT_OF,
-                   broadcast_bytes: int = BROADCAST_BYTES, every_item: bool = False) -> DataFrame:
+                   broadcast_bytes: int = BROADCAST_BYTES, every_item: bool = True) -> DataFrame:
     """doc_id, item_id, shared and item_shingles for every document that contains an item.
 
     Words are runs of letters and digits of the lower-cased text (anything beyond ASCII counts); a text of
@@ -104,9 +104,9 @@ def find_contained(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", it
     with the most shared; items that repeat an id with other texts count one by one. Empty tables give
     no rows; further columns are left out.
 
-    As in the SQL of op2, items with a null id take no part, and an item of fewer than ``n`` words meets only
-    documents of just these words. With ``every_item`` items without an id are reported with a null one, and a
-    shorter item is met by its run of words anywhere in a document; documents are then read once per length.
+    Items without an id are reported with a null one, and an item of fewer than ``n`` words is met by its run of words
+    anywhere in a document: items are partitioned by their size in words up to ``n``, and documents are read once per
+    partition. Without ``every_item`` items with a null id take no part, and a shorter item meets only documents of just its words.
 
     Items up to ``broadcast_bytes`` are sent to the tasks and the documents are read once without a shuffle.
     Beyond that, the sketches and the documents' shingle hashes meet by an equi-join on the hash.

@@ -128,22 +128,27 @@ def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-WITH worded AS (
-    SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(lower(text), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS words
-    FROM documents
-    UNION ALL
-    SELECT 'i', item_id, regexp_extract_all(lower(text), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') FROM benchmark
+WITH said AS (
+    SELECT doc_id, regexp_extract_all(lower(text), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS words FROM documents
 ),
-placed AS (
-    SELECT kind, id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS place FROM worded WHERE len(words) > 0
+items AS (
+    SELECT item_id, key, words, least(len(words), 5) AS n
+    FROM (SELECT item_id, row_number() OVER () AS key, regexp_extract_all(text, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS words
+          FROM (SELECT DISTINCT item_id, lower(text) AS text FROM benchmark))
+    WHERE len(words) > 0
 ),
-shingles AS (SELECT DISTINCT kind, id, array_to_string(words[place:place + 4], ' ') AS shingle FROM placed),
-sizes AS (SELECT id AS item_id, count(*) AS item_shingles FROM shingles WHERE kind = 'i' GROUP BY id),
-met AS (
-    SELECT d.id AS doc_id, i.id AS item_id, count(*) AS shared
-    FROM shingles d JOIN shingles i USING (shingle) WHERE d.kind = 'd' AND i.kind = 'i' GROUP BY ALL
-)
-SELECT doc_id, item_id, shared, item_shingles FROM met JOIN sizes USING (item_id) WHERE shared * 100 >= item_shingles * 80
+wanted AS (
+    SELECT DISTINCT item_id, key, n, array_to_string(words[place:place + n - 1], ' ') AS shingle
+    FROM (SELECT *, unnest(range(1, len(words) - n + 2)) AS place FROM items)
+),
+sizes AS (SELECT key, count(*) AS item_shingles FROM wanted GROUP BY key),
+shown AS (
+    SELECT DISTINCT doc_id, n, array_to_string(words[place:place + n - 1], ' ') AS shingle
+    FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS place FROM said, (SELECT DISTINCT n FROM items))
+),
+met AS (SELECT doc_id, item_id, key, count(*) AS shared FROM shown JOIN wanted USING (n, shingle) GROUP BY ALL)
+SELECT doc_id, item_id, max(shared) AS shared, max(item_shingles) AS item_shingles
+FROM met JOIN sizes USING (key) WHERE shared * 100 >= item_shingles * 80 GROUP BY doc_id, item_id
 """)
 def op2_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontam.find_contained(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
