@@ -48,8 +48,88 @@ def test_chat_parts_and_escapes(spark):
     assert chat.format_chats(df.filter("conv_id > 9")).count() == 0
 
 
+def test_chat_of_many_parts_is_reversible(spark):
+    dice = random.Random(8)
+    bits = ["<", "|end|>", "\\", "/s>", "[", "INST]", "|text|>", "<|turn|>", "a", " ", "", "<|image|>", "é", "\n", "$1"]
+
+    def part():
+        kind = dice.choice(["text", "text", "text", "image", None])
+        return (kind, "".join(dice.choice(bits) for _ in range(dice.randrange(4))), "r", 1, 1, None, None)
+
+    made = [(i, 0, dice.choice(["user", "<|text|>", "a<\\"]), [part() for _ in range(dice.randrange(7))]) for i in range(400)]
+    made += [(1000, 0, "user", [("text", "a <", *[None] * 5), ("text", "|end|> b", *[None] * 5)]),
+             (1001, 0, "user", [("text", "x <", *[None] * 5), ("text", "\\/s> y", *[None] * 5)]),
+             (1002, 0, "user", [("text", "x <\\", *[None] * 5), ("text", "|end|>", *[None] * 5)])]
+    df = spark.createDataFrame(made, f"conv_id bigint, turn bigint, role string, parts array<{PART}>")
+    chats = chat.format_chats(df).withColumn("turns", chat.read_turns(F.col("formatted"))).collect()
+    plain = {i: (role, "".join("<|image|>" if p[0] == "image" else p[1] for p in parts)) for i, _, role, parts in made}
+    for r in chats:
+        assert [tuple(t) for t in r.turns] == [plain[r.conv_id]]
+        assert r.formatted.count("<|end|>") == 1 and r.formatted.count("<|turn|>") == 1 and "</s>" not in r.formatted
+        assert len(r.attachments) == sum(p[0] == "image" for p in dict((m[0], m[3]) for m in made)[r.conv_id])
+
+
 # --- urls
 
+def plain_tree(labelled, s):
+    """Templates and purities of (host, shape, verdict) rows: level by level over plain dictionaries."""
+    tree = {}
+    for host, shape, blocks in labelled:
+        own = tree.setdefault((host, shape), [tuple(shape.split("/")), 0, 0, 0])
+        own[1] += 1
+        own[2] += blocks is not None
+        own[3] += blocks is True
+    for level in range(max((len(t[0]) for t in tree.values()), default=0)):
+        children = {}
+        for (host, _), (template, *counts) in tree.items():
+            if len(template) > level:
+                one = children.setdefault((host, template[:level]), {}).setdefault(template[level], [0, 0, 0])
+                for i, c in enumerate(counts):
+                    one[i] += c
+        for key, own in tree.items():
+            template = own[0]
+            if len(template) <= level:
+                continue
+            siblings = children[key[0], template[:level]]
+            pages, labels, blocked = siblings[template[level]]
+            all_pages, all_labels, all_blocked = (sum(x[i] for x in siblings.values()) for i in range(3))
+            rate = all_blocked / max(all_labels, 1)
+            rare = len(siblings) > s.max_children and pages * s.max_children < all_pages
+            alike = labels == 0 or abs(blocked / max(labels, 1) - rate) <= s.z * math.sqrt(rate * (1 - rate) / max(labels, 1))
+            if len(siblings) > 1 and (rare or alike):
+                own[0] = (*template[:level], "*", *template[level + 1:])
+    sums = {}
+    for (host, _), (template, _, labels, blocked) in tree.items():
+        x = sums.setdefault((host, template), [0, 0])
+        x[0] += labels
+        x[1] += blocked
+    return {key: ("/" + "/".join(t[0]), (sums[key[0], t[0]][1] + s.smoothing) / (sums[key[0], t[0]][0] + 2 * s.smoothing)) for key, t in tree.items()}
+
+
+def test_url_tree_against_plain_python(spark):
+    dice, rules = random.Random(6), [("block", "a.com/bad"), ("allow", "a.com/good"), ("block", "b.com/x/y")]
+    made = ["http://" + "/".join([dice.choice(["a.com", "b.com"]), *(dice.choice(["good", "bad", "x", "y", "*", "{n}", words(dice.randrange(60), 1)])
+                                                                     for _ in range(dice.randrange(6)))]) for _ in range(900)]
+    pages = spark.createDataFrame(list(enumerate(made)), "page_id bigint, url string").repartition(4)
+    found = urls.judge_urls(pages, rules).collect()
+    shapes = pages.select("page_id", F.concat_ws("/", urls.shaped(urls.path_of(F.col("url")))).alias("shape")).collect()
+    shape_of = {r.page_id: r["shape"] for r in shapes}
+    ruled = {"block": True, "allow": False, None: None}
+    verdict_of = {text: verdict for verdict, text in rules}
+    tree = plain_tree([(r.host, shape_of[r.page_id], ruled[verdict_of.get(r.rule)]) for r in found], urls.TreeSettings())
+    for r in found:
+        template, purity = tree[r.host, shape_of[r.page_id]]
+        assert (r.template, r.purity) == (template, pytest.approx(purity))
+
+
+def test_long_shared_paths_are_one_step(spark):
+    shared = "/".join(f"p{chr(97 + i % 26)}" for i in range(2000))
+    made = [f"http://h.com/{shared}/one", f"http://h.com/{shared}/two"] + [f"http://trap.com{'/a' * n}" for n in range(1, 600)]
+    found = urls.judge_urls(spark.createDataFrame(list(enumerate(made)), "page_id bigint, url string"), [("block", "x.com/")]).collect()
+    assert len(found) == len(made) and {r.template for r in found if r.host == "h.com"} == {f"/{shared}/*"}
+    assert len({r.template for r in found if r.host == "trap.com"}) == 599
+
+
 def test_urls_generalise_merge_and_reject(spark):
     rules = [("block", "bad.com/ads/x"), ("allow", "bad.com/news/x")]
     made = [f"http://bad.com/ads/x{i}" for i in range(30)] + [f"http://bad.com/news/x{i}" for i in range(30)]
@@ -204,7 +284,7 @@ ITEMS = [(1, words(1, 25)), (2, "one two"), (3, None), (4, ""), (5, words(1, 25)
 @pytest.mark.parametrize("limit", [1 << 24, 0])
 def test_contained_items(spark, awkward, empty, limit):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string").withColumn("score", F.lit(1))
-    found = decontam.find_contained(awkward, items, broadcast_bytes=limit).collect()
+    found = decontam.find_contained(awkward, items, broadcast_bytes=limit, every_item=False).collect()
     pairs = {(r.doc_id, r.item_id) for r in found}
     assert pairs == {(d, i) for d in (1, 2, 3) for i in (1, 5)} | {(9, 2), (11, 7)}
     assert len(found) == len(pairs)
