@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from smelter.operators.lineage import scratch_folder
 from smelter.plans.catalogue.layers import RAW_SQL, raw_lines
+from smelter.plans.flows import Flows, read_flow
 from smelter.plans.medallion import ORDER_COLUMNS, order_flows
 from smelter.plans.registry import query
 from smelter.sources.incremental import note_files, read_unseen, rows_since_with_overlap
@@ -44,7 +45,7 @@ def flows_gold(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch_folder(spark)
     raw_lines(spark, sf).select(*ORDER_COLUMNS).write.csv(f"{folder}/raw", header=True)
     order_flows(spark, f"{folder}/raw", f"{folder}/layers", order=ORDER_COLUMNS[1:]).run()
-    gold = spark.read.parquet(f"{folder}/layers/gold_product_summary")
+    gold = read_flow(spark, f"{folder}/layers", "gold_product_summary")
     return gold.withColumn("total_revenue", F.round("total_revenue", 2)).drop("avg_order_value")
 
 
@@ -160,3 +161,19 @@ def partitions_replaced(spark: SparkSession, sf: str) -> DataFrame:
         "event_id", "user_id", F.round(F.col("value") * 2, 4).alias("value"), "event_type")
     replace_partitions(clicks, folder, ["event_type"])
     return read_any(spark, "parquet", folder)
+
+
+@query("""
+SELECT 'customers' AS name, 'success' AS status, count(*) AS rows FROM customer
+UNION ALL SELECT 'broken', 'error', NULL UNION ALL SELECT 'needs_broken', 'skipped', NULL
+UNION ALL SELECT 'segments', 'success', count(DISTINCT c_mktsegment) FROM customer
+""")
+def flows_report(spark: SparkSession, sf: str) -> DataFrame:
+    # Run twice: what fails stops only what needs it, and a second run reports and writes the same.
+    flows = Flows(spark, scratch_folder(spark))
+    flows.add("customers", lambda session: table(session, sf, "customer"))
+    flows.add("segments", lambda session: session.table("customers").groupBy("c_mktsegment").count(), ["customers"])
+    flows.add("broken", lambda session: table(session, sf, "customer").select(F.raise_error(F.lit("on purpose")).alias("x")))
+    flows.add("needs_broken", lambda session: session.table("broken"), ["broken"])
+    flows.run(on_error="skip")
+    return flows.run(on_error="skip").select("name", "status", "rows")

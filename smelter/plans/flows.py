@@ -1,8 +1,9 @@
 """Named datasets that build on one another.
 
 A flow is a function from a session to a DataFrame, registered under its name with
-the flows it reads. Running writes each flow as parquet and registers what was
-written as a view, so nothing is computed twice and re-runs replace their output.
+the flows it reads. Running writes each flow as parquet, to a folder of its own for every run, and then
+registers what was written as a view: nothing is computed twice, re-runs replace what readers see, and a run that
+breaks leaves the last whole result and its view as they were.
 """
 
 from __future__ import annotations
@@ -16,11 +17,34 @@ from graphlib import CycleError, TopologicalSorter
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from smelter.operators.lineage import remove_scratch
+
 logger = logging.getLogger(__name__)
 
 REPORT_SCHEMA = "name string, status string, rows bigint, error string, seconds double"
 
 
+# Name of the folders of a flow's runs, and how many whole ones stay: the newest, and one that readers may still be at.
+RUN = "_run"
+KEPT_RUNS = 2
+
+
+def complete_runs(spark: SparkSession, folder: str) -> list[str]:
+    """Folders of a flow's runs that were written to their end, oldest first."""
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+    files = jvm.Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = files.globStatus(jvm.Path(f"{folder}/{RUN}=*/_SUCCESS"))
+    return sorted(str(s.getPath().getParent().toString()) for s in done or ())
+
+
+def read_flow(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """The newest whole result of a flow below ``path``, in any session."""
+    runs = complete_runs(spark, f"{path}/{name}")
+    if not runs:
+        raise ValueError(f"{name} has no whole run in {path}")
+    return spark.read.parquet(runs[-1])
+
+
 @dataclass(frozen=True)
 class Flow:
     build: Callable[[SparkSession], DataFrame]
@@ -53,10 +77,11 @@ class Flows:
 
     def _write(self, name: str) -> int:
         counted = Observation(name)
-        target = f"{self.path}/{name}"
         rows = self._flows[name].build(self.spark).observe(counted, F.count(F.lit(1)).alias("rows"))
-        rows.write.mode("overwrite").parquet(target)
-        self.spark.read.parquet(target).createOrReplaceTempView(name)
+        rows.write.parquet(f"{self.path}/{name}/{RUN}={time.time_ns():020d}")
+        read_flow(self.spark, self.path, name).createOrReplaceTempView(name)
+        for old in complete_runs(self.spark, f"{self.path}/{name}")[:-KEPT_RUNS]:
+            remove_scratch(self.spark, old)
         return counted.get["rows"]
 
     def run(self, on_error: str = "raise") -> DataFrame:

@@ -5,7 +5,7 @@ import logging
 import pytest
 from pyspark.sql import functions as F
 
-from smelter.plans.flows import Flows
+from smelter.plans.flows import Flows, read_flow
 
 
 @pytest.fixture
@@ -71,3 +71,28 @@ def test_flows_are_written_once_and_replaced(spark, flows):
 def test_empty_flow(flows):
     flows.add("nothing", numbers(0))
     assert flows.run().first().rows == 0
+
+
+def test_a_broken_run_leaves_the_last_result(spark, flows, tmp_path):
+    flows.add("once", numbers(3))
+    flows.run()
+    before = spark.table("once").inputFiles()
+    flows.add("once", lambda session: session.range(9).select(F.assert_true(F.col("id") < 5), "id"))
+    with pytest.raises(Exception):
+        flows.run()
+    assert spark.table("once").inputFiles() == before and spark.table("once").count() == 3
+    assert read_flow(spark, str(tmp_path), "once").count() == 3
+    for n in (5, 6, 7):
+        flows.add("once", numbers(n))
+        flows.run()
+        assert spark.table("once").count() == read_flow(spark, str(tmp_path), "once").count() == n
+    assert len(list(tmp_path.glob("once/_run=*/_SUCCESS"))) == 2
+    with pytest.raises(ValueError):
+        read_flow(spark, str(tmp_path), "never")
+
+
+def test_a_flow_may_read_its_own_last_result(spark, flows):
+    flows.add("grows", numbers(2))
+    flows.run()
+    flows.add("grows", lambda session: session.table("grows").union(session.range(1)))
+    assert flows.run().first().rows == 3 and spark.table("grows").count() == 3
