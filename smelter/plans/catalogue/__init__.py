@@ -13,4 +13,5 @@ from smelter.plans.catalogue import (  # noqa: F401
     streams,
     texts,
     tracking,
+    written,
 )
