@@ -41,6 +41,10 @@ def _sets(texts: list[str | None], n: int) -> Iterator[np.ndarray]:
         yield from np.split(hashes, np.cumsum(counts)[:-1])
 
 
+#: Bytes of a worker's memory for a byte of an item's text, whose shingles are held as tuples of words.
+HELD_BYTES = 40
+
+
 def _shingles(text: str, n: int) -> set[tuple[str, ...]]:
     """The distinct shingles themselves; fewer words than ``n`` make one."""
     words = re.findall(_WORD_RE, text)
@@ -122,7 +126,7 @@ def find_contained(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", it
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.lower(F.col(text)).alias("text"))
     found = None
     for length, some in lengths.items():
-        size = some.agg(F.sum(F.octet_length("text") * 3 + 64)).collect()[0][0] or 0
+        size = some.agg(F.sum(F.octet_length("text") * HELD_BYTES + 64)).collect()[0][0] or 0
         find = _by_broadcast if size <= broadcast_bytes else _by_shuffle
         more = find(texts, some, length, needed, out_of).select("doc_id", "item_id", "shared", "item_shingles")
         found = more if found is None else found.unionByName(more)
@@ -163,11 +167,14 @@ def _by_shuffle(texts: DataFrame, tests: DataFrame, n: int, needed: int, out_of:
     sketches = sized.withColumn("least", least).select(
         "item_id", "key", "least", F.explode(F.slice("grams", 1, F.greatest(
             F.size("grams") - F.col("least") + 1, F.lit(0)).cast("int"))).alias("gram"))
-    grams = texts.select("doc_id", shingle_sets.asNondeterministic()("text").alias("grams")).select(
-        "doc_id", F.size("grams").alias("doc_size"), F.explode("grams").alias("gram"))
+    # Rows are told apart by id and text, so rows of one id, or of none, meet only their own hits.
+    texts = texts.withColumn("text_key", F.xxhash64("text"))
+    grams = texts.select("doc_id", "text_key", shingle_sets.asNondeterministic()("text").alias("grams")).select(
+        "doc_id", "text_key", F.size("grams").alias("doc_size"), F.explode("grams").alias("gram"))
     met = grams.join(sketches, "gram").filter(F.col("doc_size") >= F.col("least"))
-    pairs = cut_lineage(met.select("doc_id", F.col("item_id").alias("met_id"), F.col("key").alias("met_key")).distinct())
-    met_texts = texts.join(pairs, texts["doc_id"].eqNullSafe(pairs["doc_id"])).drop(pairs["doc_id"])
+    pairs = cut_lineage(met.select(F.col("doc_id").alias("met_doc"), F.col("text_key").alias("met_text"), F.col("item_id").alias("met_id"),
+                                   F.col("key").alias("met_key")).distinct())
+    met_texts = texts.join(pairs, F.col("doc_id").eqNullSafe(F.col("met_doc")) & (F.col("text_key") == F.col("met_text")))
     both = met_texts.join(tests.withColumnRenamed("text", "item_text"),
                           F.col("item_id").eqNullSafe(F.col("met_id")) & (F.col("key") == F.col("met_key")))
 
