@@ -184,9 +184,12 @@ def _stored_by_block(cut: DataFrame, parts: int) -> DataFrame:
 
 
 def encode(docs: DataFrame, rank_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text",
-           buckets: int | None = None) -> DataFrame:
+           buckets: int | None = None, decoded: bool = False) -> DataFrame:
     """doc_id and ``ids`` (array of int) of every row, as the vocabulary's merges of each pre-token give them.
 
+    With ``decoded`` also the bytes that the ids stand for, which the task that puts a document together looks up in
+    the table of token bytes: ``decode`` would take another Python worker beside it.
+
     Null and empty texts have no ids. Null and repeated ids stay rows of their own; an empty table gives
     no rows; further columns are left out. The rank file is read once on the driver and sent to the tasks:
     its size is that of the vocabulary. ``buckets`` deal out the words; by default they follow the number of
@@ -198,6 +201,7 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, doc_id: str = "doc_id"
     if buckets is None:
         buckets = min(max(BUCKETS[0], math.ceil((rows / 4096) ** 0.6)), BUCKETS[1])
     ranks = spark.sparkContext.broadcast(load_ranks(rank_path))
+    by_id = spark.sparkContext.broadcast(token_bytes(rank_path) if decoded else None)
     kind = docs.schema[doc_id].dataType
     texts = docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"))
     cut = _stored_by_block(_cut(texts, pattern, buckets), min(max(12, rows // 8192), 20_000))
@@ -250,11 +254,15 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, doc_id: str = "doc_id"
             upto = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(word_counts).astype(np.int64)))]
             doc_ids += list(own)
             found += [ids[s:e] for s, e in zip(upto, upto[1:])]
-        return pd.DataFrame({"doc_id": pd.Series(doc_ids, dtype=object), "ids": pd.Series(found, dtype=object)})
+        out = {"doc_id": pd.Series(doc_ids, dtype=object), "ids": pd.Series(found, dtype=object)}
+        if decoded:
+            out["decoded"] = pd.Series([bytes_of(own, by_id.value) for own in found], dtype=object)
+        return pd.DataFrame(out)
 
+    more = ["decoded"] if decoded else []
     together = numbered.groupBy("block").cogroup(encoded.groupBy("block")).applyInPandas(
-        put_together, "doc_id string, ids array<int>")
-    return together.select(F.col("doc_id").cast(kind).alias("doc_id"), "ids")
+        put_together, "doc_id string, ids array<int>" + "".join(f", {c} binary" for c in more))
+    return together.select(F.col("doc_id").cast(kind).alias("doc_id"), "ids", *more)
 
 
 def token_bytes(rank_path: str) -> tuple[bytes, np.ndarray]:
@@ -265,6 +273,15 @@ def token_bytes(rank_path: str) -> tuple[bytes, np.ndarray]:
     return b"".join(listed), np.concatenate(([0], np.cumsum([len(t) for t in listed]))).astype(np.int64)
 
 
+def bytes_of(ids: np.ndarray, table: tuple[bytes, np.ndarray]) -> bytes:
+    """The bytes of ids one after the other; an id outside the table is an error."""
+    flat, begins = np.frombuffer(table[0], np.uint8), table[1]
+    own = np.asarray(ids, dtype=np.int64)
+    counts = begins[own + 1] - begins[own]
+    shift = begins[own] - (np.cumsum(counts) - counts)
+    return flat[np.repeat(shift, counts) + np.arange(counts.sum())].tobytes()
+
+
 def decode(ids: Column, spark: SparkSession, rank_path: str) -> Column:
     """The bytes that an array of ids stands for; null for null.
 
@@ -274,18 +291,8 @@ def decode(ids: Column, spark: SparkSession, rank_path: str) -> Column:
 
     @F.pandas_udf("binary")
     def joined(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        raw, begins = table.value
-        flat, lengths = np.frombuffer(raw, np.uint8), np.diff(begins)
         for batch in batches:
-            out = []
-            for own in batch:
-                if own is None:
-                    out.append(None)
-                    continue
-                own = np.asarray(own, dtype=np.int64)
-                counts = lengths[own]
-                shift = begins[own] - (np.cumsum(counts) - counts)
-                out.append(flat[np.repeat(shift, counts) + np.arange(counts.sum())].tobytes())
+            out = [None if own is None else bytes_of(own, table.value) for own in batch]
             yield pd.Series(out, dtype=object)
 
     # Not to be evaluated once more for a filter on its result.

@@ -190,9 +190,8 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 @query()
 def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path(RANKS)
-    encoded = bpe.encode(table(spark, sf, "documents"), path, public_tokenizers.PATTERN)
-    decoded = encoded.withColumn("decoded", bpe.decode(F.col("ids"), spark, path))
-    return decoded.select(
+    encoded = bpe.encode(table(spark, sf, "documents"), path, public_tokenizers.PATTERN, decoded=True)
+    return encoded.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
