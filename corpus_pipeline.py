@@ -65,9 +65,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and whether they decode to the text again."""
     path = public_tokenizers.path(RANKS)
-    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN)
-    checked = encoded.withColumn("decoded", bpe.decode(F.col("ids"), spark, path))
-    return checked.select(
+    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN, decoded=True)
+    return encoded.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
         F.sha2("decoded", 256).alias("text_sha256"))
 
