@@ -1,9 +1,10 @@
-"""Custom per-user state with ``transformWithStateInPandas`` (needs the RocksDB state store).
+"""Custom per-user state with ``transformWithState`` (needs the RocksDB state store).
 
 All state of one user lives in one task. Before the shuffle, every Arrow batch of events is therefore
 combined to one row per user (or the few latest events of each), without any state: however many events a
-user has, now or later, the user's task gets one such row per batch. The processors are built inside
-functions, so Spark sends them to the executors by value.
+user has, now or later, the user's task gets one such row per batch. What is done per user goes over rows, as a
+data frame per user costs far more than the state. The processors are built inside functions, so Spark sends
+them to the executors by value.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -22,8 +23,8 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 COUNT_SCHEMA = "user_id bigint, n_events bigint, total_value double"
 IDLE_SCHEMA = "user_id bigint, n_events bigint"
-ACTIVITY_SCHEMA = "user_id bigint, started_at timestamp, last_at timestamp, n_events bigint"
-LATEST_SCHEMA = "user_id bigint, event_ids array<bigint>, times array<timestamp>"
+CLOSED_SCHEMA = "user_id bigint, first array<bigint>, last array<bigint>, n array<bigint>"
+LATEST_SCHEMA = "user_id bigint, event_ids array<bigint>, times array<bigint>"
 
 
 @contextmanager
@@ -49,7 +50,7 @@ def _combined(events: DataFrame, columns: list[str], combine: Callable[[pd.DataF
 
 
 def _track(combined: DataFrame, processor: StatefulProcessor, schema: str, time_mode: str = "None") -> DataFrame:
-    return combined.groupBy("user_id").transformWithStateInPandas(
+    return combined.groupBy("user_id").transformWithState(
         statefulProcessor=processor, outputStructType=schema, outputMode="Update", timeMode=time_mode)
 
 
@@ -60,13 +61,13 @@ def event_counts(events: DataFrame) -> DataFrame:
         def init(self, handle: StatefulProcessorHandle) -> None:
             self._totals = handle.getValueState("totals", "n bigint, total double")
 
-        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
             n, total = self._totals.get() or (0, 0.0)
-            for batch in rows:
-                n += int(batch["n"].sum())
-                total += float(batch["total"].sum())
+            for row in rows:
+                n += row.n
+                total += row.total or 0.0
             self._totals.update((n, total))
-            yield pd.DataFrame({"user_id": [key[0]], "n_events": [n], "total_value": [total]})
+            yield Row(user_id=key[0], n_events=n, total_value=total)
 
         def close(self) -> None:
             pass
@@ -79,29 +80,34 @@ def event_counts(events: DataFrame) -> DataFrame:
 
 
 def latest_events(events: DataFrame, keep: int) -> DataFrame:
-    """Ids and times of each user's latest ``keep`` events, oldest first."""
+    """Ids and times of each user's latest ``keep`` events, oldest first; an event without a time is the latest."""
 
     class Latest(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
-            self._latest = handle.getListState("latest", "ts timestamp, event_id bigint")
-
-        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-            known = pd.DataFrame(list(self._latest.get()), columns=["ts", "event_id"])
-            known["ts"] = pd.to_datetime(known["ts"])
-            for batch in rows:
-                both = pd.concat([f for f in (known, batch[["ts", "event_id"]]) if len(f)])
-                known = both.sort_values(["ts", "event_id"]).tail(keep)
-            times, ids = [t.to_pydatetime() for t in known["ts"]], [int(i) for i in known["event_id"]]
-            self._latest.put(list(zip(times, ids)))
-            yield pd.DataFrame({"user_id": [key[0]], "event_ids": [ids], "times": [times]})
+            self._latest = handle.getValueState("latest", "micros array<bigint>, event_ids array<bigint>")
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+            known = list(zip(*(self._latest.get() or ())))
+            for row in rows:
+                known.append((row.micros, row.event_id))
+                if len(known) > 100 * keep:
+                    known = sorted(known, key=in_time)[-keep:]
+            times, ids = map(list, zip(*sorted(known, key=in_time)[-keep:]))
+            self._latest.update((times, ids))
+            yield Row(user_id=key[0], event_ids=ids, times=times)
 
         def close(self) -> None:
             pass
 
+    def in_time(event: tuple[int | None, int | None]) -> tuple:
+        return tuple((v is None, v or 0) for v in event)
+
     def combine(frame: pd.DataFrame) -> pd.DataFrame:
-        return frame.sort_values(["ts", "event_id"]).groupby("user_id", dropna=False).tail(keep)
+        return frame.sort_values(["micros", "event_id"]).groupby("user_id", dropna=False).tail(keep)
 
-    return _track(_combined(events, ["ts", "event_id"], combine, "ts timestamp, event_id bigint"), Latest(), LATEST_SCHEMA)
+    timed = events.withColumn("micros", F.unix_micros("ts"))
+    found = _track(_combined(timed, ["micros", "event_id"], combine, "micros bigint, event_id bigint"), Latest(), LATEST_SCHEMA)
+    return found.withColumn("times", F.transform("times", F.timestamp_micros))
 
 
 def idle_users(events: DataFrame, idle_ms: int) -> DataFrame:
@@ -116,19 +122,19 @@ def idle_users(events: DataFrame, idle_ms: int) -> DataFrame:
             self._handle = handle
             self._seen = handle.getValueState("seen", "n bigint, timer bigint")
 
-        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
             n, timer = self._seen.get() or (0, None)
             if timer is not None:
                 self._handle.deleteTimer(timer)
             timer = timerValues.getCurrentProcessingTimeInMs() + idle_ms
             self._handle.registerTimer(timer)
-            self._seen.update((n + sum(int(batch["n"].sum()) for batch in rows), timer))
+            self._seen.update((n + sum(row.n for row in rows), timer))
             return iter(())
 
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
             n, _ = self._seen.get()
             self._seen.clear()
-            yield pd.DataFrame({"user_id": [key[0]], "n_events": [n]})
+            yield Row(user_id=key[0], n_events=n)
 
         def close(self) -> None:
             pass
@@ -153,8 +159,9 @@ def merged_spans(spans: list[tuple[int, int, int]], gap: int) -> list[tuple[int,
 def closed_activities(events: DataFrame, idle_ms: int) -> DataFrame:
     """A row per activity of a user, once no event has followed its last one for ``idle_ms`` of event time.
 
-    ``events`` has a watermark on ``ts``, and event-time timers fire when it passes them. A user's open activities are a
-    map in the state, by their first millisecond, and each has one timer: late events within the watermark's delay may still
+    ``events`` has a watermark on ``ts``, and event-time timers fire when it passes them. A user's open activities are one
+    value of the state, in order, and the user has one timer, for the first of them to end; when it fires, all that the watermark has
+    passed are closed at once, in one row, and the timer moves on to the next. Late events within the watermark's delay may still
     join two of them or come before them. Every Arrow batch is combined to spans of activity before the shuffle.
     A query over a finite source ends by itself, and leaves what the watermark has not passed in the state.
     """
@@ -162,39 +169,50 @@ def closed_activities(events: DataFrame, idle_ms: int) -> DataFrame:
     class Activities(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
             self._handle = handle
-            self._open = handle.getMapState("open", "first bigint", "last bigint, n bigint")
-
-        def _close(self, user, upto: int) -> pd.DataFrame:
-            done = [(first[0], *span) for first, span in list(self._open.iterator()) if span[0] + idle_ms <= upto]
-            for first, _, _ in done:
-                self._open.removeKey((first,))
-            return pd.DataFrame({
-                "user_id": [user] * len(done), "started_at": pd.to_datetime([d[0] for d in done], unit="ms"),
-                "last_at": pd.to_datetime([d[1] for d in done], unit="ms"), "n_events": [d[2] for d in done]})
-
-        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-            known = [(first[0], *span) for first, span in list(self._open.iterator())]
-            fresh = [span for batch in rows for span in zip(batch["first"].tolist(), batch["last"].tolist(), batch["n"].tolist())]
-            spans = merged_spans(known + fresh, idle_ms)
-            for first, last, _ in known:
-                self._open.removeKey((first,))
-                self._handle.deleteTimer(last + idle_ms)
-            for first, last, n in spans:
-                self._open.updateValue((first,), (last, n))
-                self._handle.registerTimer(last + idle_ms)
+            self._open = handle.getValueState("open", "first array<bigint>, last array<bigint>, n array<bigint>")
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+            known = list(zip(*(self._open.get() or ())))
+            spans = merged_spans(known + [(row.first, row.last, row.n) for row in rows], idle_ms)
+            self._open.update(tuple(map(list, zip(*spans))))
+            before, now = first_end(known), first_end(spans)
+            if before != now:
+                if before is not None:
+                    self._handle.deleteTimer(before)
+                self._handle.registerTimer(now)
             return iter(())
 
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-            yield self._close(key[0], expiredTimerInfo.getExpiryTimeInMs())
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+            known = list(zip(*(self._open.get() or ())))
+            upto = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+            still = [span for span in known if span[1] + idle_ms > upto]
+            done = [span for span in known if span[1] + idle_ms <= upto]
+            if still:
+                self._open.update(tuple(map(list, zip(*still))))
+                self._handle.registerTimer(first_end(still))
+            else:
+                self._open.clear()
+            if done:
+                first, last, n = map(list, zip(*done))
+                yield Row(user_id=key[0], first=first, last=last, n=n)
 
         def close(self) -> None:
             pass
 
-    def combine(frame: pd.DataFrame) -> pd.DataFrame:
-        at = frame["ts"].astype("datetime64[ms]").astype("int64")
-        rows = [(user, *span) for user, own in at.groupby(frame["user_id"], dropna=False)
-                for span in merged_spans([(t, t, 1) for t in own.tolist()], idle_ms)]
-        return pd.DataFrame(rows, columns=["user_id", "first", "last", "n"])
+    def first_end(spans: list[tuple[int, int, int]]) -> int | None:
+        return min((last + idle_ms for _, last, _ in spans), default=None)
 
-    timed = events.filter(F.col("ts").isNotNull())
-    return _track(_combined(timed, ["ts"], combine, "first bigint, last bigint, n bigint"), Activities(), ACTIVITY_SCHEMA, "EventTime")
+    def combine(frame: pd.DataFrame) -> pd.DataFrame:
+        # In order, a span begins where the user changes or the gap is too long.
+        codes, users = pd.factorize(frame["user_id"], use_na_sentinel=False)
+        ordered = frame.assign(code=codes).sort_values(["code", "at"])
+        fresh = (ordered["code"] != ordered["code"].shift()) | (ordered["at"].diff() > idle_ms)
+        spans = ordered.groupby(fresh.cumsum()).agg(
+            code=("code", "first"), first=("at", "first"), last=("at", "last"), n=("at", "size"))
+        return spans.assign(user_id=users.take(spans["code"])).drop(columns="code")
+
+    timed = events.filter(F.col("ts").isNotNull()).withColumn("at", F.unix_millis("ts"))
+    closed = _track(_combined(timed, ["at"], combine, "first bigint, last bigint, n bigint"), Activities(), CLOSED_SCHEMA, "EventTime")
+    return closed.select("user_id", F.inline(F.arrays_zip("first", "last", "n"))).select(
+        "user_id", F.timestamp_millis("first").alias("started_at"), F.timestamp_millis("last").alias("last_at"),
+        F.col("n").alias("n_events"))

@@ -5,6 +5,7 @@ import time
 
 import pytest
 from conftest import SMALL
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from smelter.operators.sessions import sessions
@@ -287,3 +288,56 @@ def test_activities_close_behind_the_watermark(spark, folder):
     assert run() == closed
     folder.drop([(8, 2, at(9), 1.0)])
     assert run() == closed | {(1, at(4), at(4), 1)}
+
+
+class Handle:
+    """A processor's handle that keeps one user's value and timers in plain sight."""
+
+    def __init__(self):
+        self.value, self.timers = None, []
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+def processor_of(spark, monkeypatch, build):
+    """The processor that ``build`` gives to Spark, with a handle of its own."""
+    taken = []
+    with monkeypatch.context() as patched:
+        patched.setattr(state, "_track", lambda rows, processor, schema, *_: taken.append(processor) or spark.createDataFrame([], schema))
+        build(spark.createDataFrame([], SCHEMA))
+    handle = Handle()
+    taken[0].init(handle)
+    return taken[0], handle
+
+
+def test_a_user_has_one_timer_however_many_activities(spark, monkeypatch):
+    activities, handle = processor_of(spark, monkeypatch, lambda events: state.closed_activities(events, 10))
+    list(activities.handleInputRows((1,), iter([Row(first=i * 100, last=i * 100 + 5, n=2) for i in range(50)]), None))
+    assert handle.timers == [15]
+
+    class Now:
+        getCurrentWatermarkInMs = staticmethod(lambda: 3015)
+        getExpiryTimeInMs = staticmethod(lambda: 15)
+
+    closed = list(activities.handleExpiredTimer((1,), Now, Now))
+    handle.deleteTimer(15)  # as Spark does
+    assert closed == [Row(user_id=1, first=[i * 100 for i in range(31)], last=[i * 100 + 5 for i in range(31)], n=[2] * 31)]
+    assert handle.timers == [3115]
+    list(activities.handleInputRows((1,), iter([Row(first=3090, last=3095, n=1)]), None))
+    assert handle.timers == [3115] and handle.value[2][:2] == [3, 2]
