@@ -341,3 +341,21 @@ def test_a_user_has_one_timer_however_many_activities(spark, monkeypatch):
     assert handle.timers == [3115]
     list(activities.handleInputRows((1,), iter([Row(first=3090, last=3095, n=1)]), None))
     assert handle.timers == [3115] and handle.value[2][:2] == [3, 2]
+
+
+def test_latest_events_go_over_rows(spark, monkeypatch):
+    latest, handle = processor_of(spark, monkeypatch, lambda events: state.latest_events(events, 2))
+    many = [Row(micros=i * 7 % 1000, event_id=i) for i in range(1000)]
+    assert list(latest.handleInputRows((1,), iter(many), None)) == [Row(user_id=1, event_ids=[714, 857], times=[998, 999])]
+    assert list(latest.handleInputRows((1,), iter([Row(micros=998, event_id=900)]), None)) == [
+        Row(user_id=1, event_ids=[900, 857], times=[998, 999])]
+
+
+def test_user_ids_stay_exact_beside_null(spark, folder):
+    folder.drop([(1, 2**53 + 1, at(1), 1.0), (2, None, at(2), 1.0), (3, 2**53, at(3), 1.0)])
+    with state.rocksdb_state(spark):
+        start_batches(state.latest_events(folder.stream(), 3), upsert_into(folder.out, ["user_id"], [F.desc("times")]),
+                      folder.state, "update").awaitTermination()
+    found = read_upserted(spark, folder.out, ["user_id"], [F.desc("times")]).collect()
+    assert sorted((r.user_id or 0, r.event_ids, r.times) for r in found) == [
+        (0, [2], [at(2)]), (2**53, [3], [at(3)]), (2**53 + 1, [1], [at(1)])]
