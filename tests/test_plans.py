@@ -97,6 +97,12 @@ def test_log_rules_are_worked_out_once(plans):
     assert plans["log_rule_hits"].count("get_json_object") == len(LOG_KINDS)
 
 
+def test_no_sketch_per_value(plans):
+    """An estimate of distinct values has a sketch per group, not one beside every value that is counted exactly."""
+    grouped = re.findall(r"keys=\[([^\]]*)\], functions=\[[^\]]*approx_count_distinct", plans["approx_orders"])
+    assert grouped and not any("l_orderkey" in keys for keys in grouped)
+
+
 @pytest.mark.parametrize("name, exchanges", [
     ("running_total", 1), ("rank_family", 1), ("event_gaps", 1), ("trailing_hour_sum", 1), ("scd2_build", 2),
     ("doc_rule_hits", 0), ("doc_tokens", 1), ("norm_text_dups", 1), ("medallion_silver", 1), ("funnel_progress", 2)])
