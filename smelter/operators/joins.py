@@ -67,6 +67,10 @@ def build_history(changes: DataFrame, key: str, day: str, attribute: str, tie: s
     )
 
 
+# Versions that a fact looks through one by one, in ``as_of_version``.
+BLOCK = 64
+
+
 def overlapping_versions(history: DataFrame, key: str) -> DataFrame:
     """Versions that start before their predecessor ends; empty for a sound history."""
     in_time = Window.partitionBy(key).orderBy("valid_from")
@@ -81,24 +85,28 @@ def overlapping_versions(history: DataFrame, key: str) -> DataFrame:
 def as_of_version(facts: DataFrame, history: DataFrame, key: str, day: str) -> DataFrame:
     """Left join each fact to the version in force on its day (half-open validity); the history must be sound.
 
-    Versions that have ended are listed once per calendar month they cover and join on (key, month), so
-    a fact meets at most one version per day of its month. The open version of a key, one row, joins on the
-    key. Facts are read once; adaptive execution splits what a hot key leaves in one place, since
-    the fact side of a left join can be split.
+    A key's versions, at most one per day, come as one list in order, so that each fact is shuffled once and meets one row; versions
+    are not repeated for the time they cover. The list is held in blocks of ``BLOCK`` versions, and a fact looks into the last block
+    that has begun. Facts are read once; adaptive execution splits what a hot key leaves in one place, since the fact side of
+    a left join can be split. That needs a history shuffled for the join, which the second join column sees to.
     """
-    def month(c: str) -> Column:
-        return F.date_trunc("month", F.col(c)).cast("date")
-
     columns = [c for c in history.columns if c != key]
-    version = F.struct(*columns).alias("_version")
-    ended = history.filter(F.col("valid_to") > F.col("valid_from")).select(
-        key, version, F.explode(F.sequence(month("valid_from"), month("valid_to"), F.expr("INTERVAL 1 MONTH"))).alias("_month"))
-    still = history.filter(F.col("valid_to").isNull()).select(key, version)
-    rows = facts.withColumn("_month", month(day)).alias("f")
-    inside = (F.col(f"f.{day}") >= F.col("e._version.valid_from")) & (F.col(f"f.{day}") < F.col("e._version.valid_to"))
-    met = rows.join(ended.alias("e"), (F.col(f"f.{key}") == F.col(f"e.{key}")) & (F.col("f._month") == F.col("e._month"))
-                    & inside, "left").select("f.*", F.col("e._version").alias("_ended")).alias("m")
-    both = met.join(still.alias("s"), (F.col(f"m.{key}") == F.col(f"s.{key}"))
-                    & (F.col(f"m.{day}") >= F.col("s._version.valid_from")), "left")
-    found = both.select(*[f"m.{c}" for c in facts.columns], F.coalesce("m._ended", "s._version").alias("_found"))
+    sound = history.filter((F.col("valid_to") > F.col("valid_from")) | F.col("valid_to").isNull()).filter(
+        F.col("valid_from").isNotNull() & F.col(key).isNotNull())
+    # In order of the start, which comes first in the struct; no two versions of a sound history start together.
+    version = F.struct("valid_from", *[c for c in columns if c != "valid_from"])
+    listed = sound.groupBy(F.col(key).alias("_key")).agg(F.sort_array(F.collect_list(version)).alias("_all"))
+    blocks = F.transform(F.sequence(F.lit(0), F.size("_all") - 1, F.lit(BLOCK)), lambda i: F.struct(
+        F.get("_all", i)["valid_from"].alias("begun"), F.slice("_all", i + 1, F.lit(BLOCK)).alias("versions")))
+
+    def side(c: str) -> Column:
+        return F.pmod(F.hash(F.col(c)), F.lit(2)).cast("byte")
+
+    met = facts.withColumn("_side", side(key)).join(
+        listed.select("_key", side("_key").alias("_of"), blocks.alias("_blocks")),
+        (F.col(key) == F.col("_key")) & (F.col("_side") == F.col("_of")), "left")
+    block = F.try_element_at(F.filter("_blocks", lambda b: b["begun"] <= F.col(day)), F.lit(-1))["versions"]
+    found = met.withColumn("_block", block).withColumn(
+        "_found", F.try_element_at(F.filter("_block", lambda v: (v["valid_from"] <= F.col(day)) & (
+            v["valid_to"].isNull() | (F.col(day) < v["valid_to"]))), F.lit(-1)))
     return found.select(*facts.columns, *[F.col(f"_found.{c}").alias(c) for c in columns])

@@ -197,6 +197,19 @@ def test_version_in_force(spark, history):
     assert found.filter("id = 6").first().valid_from is not None
 
 
+def test_versions_beyond_one_block(spark):
+    """Facts before, between, on and after the versions of a key with several blocks of them, and with gaps."""
+    history = spark.range(200).select(
+        F.lit(1).alias("k"), F.col("id").cast("string").alias("v"),
+        F.expr("TIMESTAMP_NTZ '2024-01-01' + make_dt_interval(cast(id AS int) * 2)").alias("valid_from"),
+        F.expr("CASE WHEN id < 199 THEN TIMESTAMP_NTZ '2024-01-02' + make_dt_interval(cast(id AS int) * 2) END").alias("valid_to"))
+    facts = spark.range(-2, 410).select("id", F.lit(1).alias("k"), F.expr(
+        "TIMESTAMP_NTZ '2024-01-01' + make_dt_interval(cast(id AS int))").alias("day"))
+    more = spark.createDataFrame([(1000, 2, None), (1001, None, None)], "id long, k int, day timestamp_ntz")
+    found = {r.id: r.v for r in as_of_version(facts.union(more), history, "k", "day").collect()}
+    assert found == {i: str(min(i // 2, 199)) if i >= 398 or i >= 0 and i % 2 == 0 else None for i in range(-2, 410)} | {1000: None, 1001: None}
+
+
 # --- aggregates
 
 def test_salted_sum_of_a_hot_key(spark):

@@ -103,6 +103,17 @@ def test_no_sketch_per_value(plans):
     assert grouped and not any("l_orderkey" in keys for keys in grouped)
 
 
+def test_facts_are_shuffled_once_for_their_version(spark):
+    """Once to find the owner, once for the history; versions are not repeated for the months they cover."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = plan_of(spark, "scd2_enrich")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("SortMergeJoin") == 2 and "Generate" not in plan
+
+
 @pytest.mark.parametrize("name, exchanges", [
     ("running_total", 1), ("rank_family", 1), ("event_gaps", 1), ("trailing_hour_sum", 1), ("scd2_build", 2),
     ("doc_rule_hits", 0), ("doc_tokens", 1), ("norm_text_dups", 1), ("medallion_silver", 1), ("funnel_progress", 2)])
