@@ -80,7 +80,8 @@ def event_counts(events: DataFrame) -> DataFrame:
 
 
 def latest_events(events: DataFrame, keep: int) -> DataFrame:
-    """Ids and times of each user's latest ``keep`` events, oldest first; an event without a time is the latest."""
+    """Ids and times of each user's latest ``keep`` events, oldest first; events without a time are
+    the first to go, and come last."""
 
     class Latest(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
@@ -92,7 +93,8 @@ def latest_events(events: DataFrame, keep: int) -> DataFrame:
                 known.append((row.micros, row.event_id))
                 if len(known) > 100 * keep:
                     known = sorted(known, key=in_time)[-keep:]
-            times, ids = map(list, zip(*sorted(known, key=in_time)[-keep:]))
+            newest = sorted(known, key=in_time)[-keep:]
+            times, ids = map(list, zip(*sorted(newest, key=lambda event: event[0] is None)))
             self._latest.update((times, ids))
             yield Row(user_id=key[0], event_ids=ids, times=times)
 
@@ -100,10 +102,10 @@ def latest_events(events: DataFrame, keep: int) -> DataFrame:
             pass
 
     def in_time(event: tuple[int | None, int | None]) -> tuple:
-        return tuple((v is None, v or 0) for v in event)
+        return tuple((v is not None, v or 0) for v in event)
 
     def combine(frame: pd.DataFrame) -> pd.DataFrame:
-        return frame.sort_values(["micros", "event_id"]).groupby("user_id", dropna=False).tail(keep)
+        return frame.sort_values(["micros", "event_id"], na_position="first").groupby("user_id", dropna=False).tail(keep)
 
     timed = events.withColumn("micros", F.unix_micros("ts"))
     found = _track(_combined(timed, ["micros", "event_id"], combine, "micros bigint, event_id bigint"), Latest(), LATEST_SCHEMA)

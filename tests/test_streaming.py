@@ -359,3 +359,20 @@ def test_user_ids_stay_exact_beside_null(spark, folder):
     found = read_upserted(spark, folder.out, ["user_id"], [F.desc("times")]).collect()
     assert sorted((r.user_id or 0, r.event_ids, r.times) for r in found) == [
         (0, [2], [at(2)]), (2**53, [3], [at(3)]), (2**53 + 1, [1], [at(1)])]
+
+
+def test_events_without_user_or_time(spark, folder):
+    """Users are told apart from NULL, and events without a time are kept only where there are too few others."""
+    rows = [(i, None if i % 3 == 0 else 5, at(1, i), 1.0) for i in range(12)]
+    folder.drop(rows[:7] + [(20, 5, None, 1.0), (21, 6, None, 1.0), (22, 6, at(2), 1.0)])
+    folder.drop(rows[7:])
+
+    def run(latest, out, order):
+        with state.rocksdb_state(spark):
+            start_batches(latest, upsert_into(out, ["user_id"], order), f"{out}-state", "update").awaitTermination()
+        return {r[0]: r[1] for r in read_upserted(spark, out, ["user_id"], order).collect()}
+
+    stream = folder.stream(files_per_trigger=1)
+    order = [F.desc(F.array_max("times")), F.desc(F.size("times")), F.desc(F.reverse("times"))]
+    assert run(state.latest_events(stream, 3), f"{folder.out}-latest", order) == {None: [3, 6, 9], 5: [8, 10, 11], 6: [22, 21]}
+    assert run(state.event_counts(stream), f"{folder.out}-counts", [F.desc("n_events")]) == {None: 4, 5: 9, 6: 2}
